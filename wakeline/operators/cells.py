@@ -15,53 +15,59 @@ from wakeline.operators.sliced import previous_row
 TRIP_KEYS = ("node_name", "tripID")
 
 
-def exact_median(
-    df: DataFrame, column: str, *, keys: Sequence[str], bucket: float = 0.01, out: str | None = None
+def exact_medians(
+    df: DataFrame, columns: Sequence[str], *, keys: Sequence[str], bucket: float = 0.01
 ) -> DataFrame:
-    """Exact median per key without gathering a key in one task.
+    """Exact medians per key without gathering a key in one task.
 
     Equal values are counted first. The counts of value buckets tell which bucket
-    holds the middle ranks; only there are single values ranked. A bucket holds
+    holds the middle ranks; only there are single values ranked. A bucket costs
     as many rows as it has distinct values.
     """
-    out = out or column
+    part = [*keys, "_c"]
     counts = (
-        df.filter(col(column).isNotNull())
-        .groupBy(*keys, column)
+        df.select(*keys, *columns)
+        .unpivot(list(keys), list(columns), "_c", "_v")
+        .filter("_v is not null")
+        .groupBy(*part, "_v")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bucket", F.floor(F.col(column) / bucket))
+        .withColumn("_bucket", F.floor(F.col("_v") / bucket))
     )
-    across = Window.partitionBy(*keys)
+    across = Window.partitionBy(*part)
     upto = across.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     low, high = F.floor((F.col("_total") + 1) / 2), F.floor(F.col("_total") / 2) + 1
-    buckets = (
-        counts.groupBy(*keys, "_bucket")
+    middle = (
+        counts.groupBy(*part, "_bucket")
         .agg(F.sum("_n").alias("_in"))
-        .withColumns({"_upto": F.sum("_in").over(upto), "_total": F.sum("_in").over(across)})
-        .withColumn("_before", F.col("_upto") - F.col("_in"))
+        .select(
+            *part,
+            "_bucket",
+            F.sum("_in").over(upto).alias("_upto"),
+            (F.sum("_in").over(upto) - F.col("_in")).alias("_before"),
+            F.sum("_in").over(across).alias("_total"),
+        )
         .filter((F.col("_upto") >= low) & (F.col("_before") < high))
-        .select(*keys, "_bucket", "_before", "_total")
     )
     running = (
-        Window.partitionBy(*keys, "_bucket")
-        .orderBy(column)
-        .rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(*part, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    end = F.col("_before") + F.sum("_n").over(running)
+    ranked = counts.join(middle, [*part, "_bucket"]).select(
+        *part, "_v", "_total", end.alias("_end"), (end - F.col("_n")).alias("_start")
     )
-    ranked = (
-        counts.join(buckets, [*keys, "_bucket"])
-        .withColumn("_end", F.col("_before") + F.sum("_n").over(running))
-        .withColumn("_start", F.col("_end") - F.col("_n"))
+
+    def at(rank, column):
+        here = (F.col("_c") == column) & (F.col("_end") >= rank) & (F.col("_start") < rank)
+        return F.min(F.when(here, F.col("_v")))
+
+    return ranked.groupBy(*keys).agg(
+        *(((at(low, c) + at(high, c)) / 2).alias(c) for c in columns)
     )
-    lower = F.min(F.when((F.col("_end") >= low) & (F.col("_start") < low), F.col(column)))
-    upper = F.min(F.when((F.col("_end") >= high) & (F.col("_start") < high), F.col(column)))
-    return ranked.groupBy(*keys).agg(((lower + upper) / 2).alias(out))
 
 
 def median_positions(df: DataFrame, *, keys: Sequence[str] = TRIP_KEYS) -> DataFrame:
     """Median latitude and longitude per trip."""
-    lat = exact_median(df, "LAT", keys=keys)
-    lon = exact_median(df, "LON", keys=keys)
-    return lat.join(lon, list(keys), "full")
+    return exact_medians(df, ["LAT", "LON"], keys=keys)
 
 
 def vessel_names(df: DataFrame, *, trip: Sequence[str], name: str = "node_name") -> DataFrame:

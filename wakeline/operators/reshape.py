@@ -20,7 +20,7 @@ from wakeline.functions.timeops import (
     time_of_day,
 )
 from wakeline.operators.joins import salted_join, small_lookup
-from wakeline.session import cut_lineage
+from wakeline.session import stored
 
 MAX_BROADCAST_ALIASES = 100_000
 
@@ -174,7 +174,7 @@ def resolve_aliases(
     spread_by: Sequence[str] = ("time",),
 ) -> DataFrame:
     """Fuzzy signal names to known ones; the map is built once over distinct names."""
-    mapping = cut_lineage(alias_map(df, alias=alias, signals=signals, cutoff=cutoff))
+    mapping = stored(alias_map(df, alias=alias, signals=signals, cutoff=cutoff), "aliases")
     return apply_alias_map(df, mapping, alias=alias, spread_by=spread_by)
 
 

@@ -65,7 +65,7 @@ def to_sequences(
         F.struct("row_no", ts, *carry).alias("key"),
     )
     grouped = numbered.groupBy(*keys, "seq_id").agg(
-        F.array_sort(F.collect_list(item), lambda a, b: a["row_no"] - b["row_no"]).alias("_items")
+        F.array_sort(F.collect_list(item)).alias("_items")
     )
     return grouped.select(
         *keys,

@@ -11,8 +11,8 @@ from wakeline import schema
 from wakeline.functions import geo, severity
 from wakeline.functions import values as V
 from wakeline.functions.text import strip_prefix
-from wakeline.operators import cells, impute, reshape, scoring, trips
-from wakeline.session import cut_lineage
+from wakeline.operators import cells, impute, reshape, scoring, sequences, trips
+from wakeline.session import stored
 
 TRIP_KEYS = ("node_name", "tripID")
 
@@ -50,14 +50,14 @@ def map_tables(
     ``gps`` feeds several branches, so it is written once to the shared folder.
     """
     if materialise:
-        gps = cut_lineage(gps)
-    trimmed = scoring.trim_to_multiple(gps, rows, keys=TRIP_KEYS).drop("row_no")
+        gps = stored(gps, "gps")
+    trimmed = sequences.trim_to_multiple(gps, rows, keys=TRIP_KEYS).drop("row_no")
     scored = scoring.score_windows(
         scoring.gps_features(trimmed), model, rows=rows, threshold=threshold
     )
     flagged = scoring.flagged_trips(scored)
     if materialise:
-        flagged = cut_lineage(flagged)
+        flagged = stored(flagged, "flagged")
     anomalous, normal = scoring.split_by_flag(trimmed, flagged)
     counts = cells.cell_counts(anomalous, normal, size=size)
     return cells.coloured_cells(counts, palette=palette, size=size), cells.trip_summary(anomalous)

@@ -11,6 +11,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+NUDGE = 3.1e-8
 
 
 def query(name: str, sql: str | None = None):
@@ -28,9 +29,9 @@ def query(name: str, sql: str | None = None):
 
 
 def r6(column: str | Column) -> Column:
-    """Doubles are compared to six digits; adding 0.0 turns -0.0 into 0.0."""
+    """Six digits, nudged off ties, which engines round differently; no -0.0."""
     c = F.col(column) if isinstance(column, str) else column
-    return F.round(c, 6) + F.lit(0.0)
+    return F.round(c + F.lit(NUDGE), 6) + F.lit(0.0)
 
 
 def rounded(df: DataFrame, *names: str) -> DataFrame:
@@ -38,7 +39,7 @@ def rounded(df: DataFrame, *names: str) -> DataFrame:
 
 
 def s6(expression: str, name: str) -> str:
-    return f"round({expression}, 6) + 0e0 AS {name}"
+    return f"round({expression} + 3.1e-8, 6) + 0e0 AS {name}"
 
 
 # --- SQL fragments -----------------------------------------------------------------------

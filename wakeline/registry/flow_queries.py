@@ -26,7 +26,7 @@ from wakeline.registry.base import (
 )
 from wakeline.registry.frames import TIE
 from wakeline.registry.join_queries import _FLAG, _METRICS, GPS, HOURLY, hourly_cells
-from wakeline.session import cut_lineage, fresh_path
+from wakeline.session import fresh_path, stored
 from wakeline.sources import events, files
 from wakeline.streaming import jobs
 
@@ -61,7 +61,7 @@ def _event_stream(spark, folder):
 @query(
     "t03_hourly_refresh",
     with_(TEL)
-    + f"""SELECT CAST(time AS DATE) AS date, hour(time) AS hour, node_name, count(*) AS n_rows, {s6('avg(value)', 'value')}
+    + f"""SELECT CAST(time AS DATE) AS date, CAST(hour(time) AS INTEGER) AS hour, node_name, count(*) AS n_rows, {s6('avg(value)', 'value')}
     FROM tel GROUP BY ALL""",
 )
 def t03(spark, folder):
@@ -244,7 +244,7 @@ hot AS (SELECT DISTINCT node_name, tripID FROM windows WHERE score >= {CUT}e0)""
     + f'SELECT node_name, tripID, seq_id, {s6("score", "score")}, CAST(score >= {CUT}e0 AS INTEGER) AS anomaly FROM windows',
 )
 def m03(spark, folder):
-    rows = cut_lineage(frames.gps_rows(spark, folder))
+    rows = stored(frames.gps_rows(spark, folder), "gps")
     trimmed = sequences.trim_to_multiple(rows, ROWS, keys=gps.TRIP_KEYS).drop("row_no")
     scored = scoring.score_windows(
         scoring.gps_features(trimmed), _speed_model(), rows=ROWS, threshold=CUT
@@ -346,14 +346,14 @@ def m07(spark, folder):
     marked AS (SELECT * FROM kept
       UNION ALL SELECT NULL, node_name, date, min(time) - INTERVAL 1 SECOND, signal_instance, TRIP_ID, NULL FROM kept GROUP BY ALL
       UNION ALL SELECT NULL, node_name, date, max(time) + INTERVAL 1 SECOND, signal_instance, TRIP_ID, NULL FROM kept GROUP BY ALL)
-    SELECT node_name, date, time, signal_instance, CASE WHEN count(value) OVER w = 2 THEN round(avg(value) OVER w, 6) + 0e0 END AS value
+    SELECT node_name, date, time, signal_instance, CASE WHEN count(value) OVER w = 2 THEN round(avg(value) OVER w + 3.1e-8, 6) + 0e0 END AS value
     FROM marked WINDOW w AS (PARTITION BY node_name, date, signal_instance ORDER BY time, TRIP_ID, event_id NULLS FIRST ROWS 1 PRECEDING)""",
 )
 def m08(spark, folder):
     """Engine speed of both sides, every vessel and day."""
     rpm = frames.tel(spark, folder).filter("signal_name_alias = 'RPM'")
     series = views.comparison_series(rpm, smoothing_rows=2, threshold=1.5, tie=TIE)
-    return series.select("node_name", "date", "time", "signal_instance", "value")
+    return rounded(series.select("node_name", "date", "time", "signal_instance", "value"), "value")
 
 
 _ERRORS = (
@@ -435,7 +435,7 @@ C02_SQL = with_(
 ) + (
     "SELECT node_name, signal_instance, ts, TRIP_ID, "
     + ", ".join(s6(s, s) for s in (*ENGINE, "SOG", "COG"))
-    + ", wind_velocity, round(CASE WHEN d > 180 THEN d - 360 WHEN d < -180 THEN d + 360 ELSE d END / 180, 6) + 0e0 AS alignment_factor"
+    + ", wind_velocity, round(CASE WHEN d > 180 THEN d - 360 WHEN d < -180 THEN d + 360 ELSE d END / 180 + 3.1e-8, 6) + 0e0 AS alignment_factor"
     + " FROM m SEMI JOIN long_trips USING (node_name, TRIP_ID)"
 )
 
@@ -473,7 +473,7 @@ def c03(spark, folder):
     )
 
 
-_HOT_CELLS = f"""placed AS ({hex_sql('LAT', 'LON', 'trimmed')}),
+_HOT_CELLS = f"""placed AS ({hex_sql('LAT', 'LON', 'trimmed', '* EXCLUDE (CELL)')}),
 counts AS (SELECT cell, count(DISTINCT CASE WHEN h.tripID IS NOT NULL THEN (p.node_name, p.tripID) END) AS trips
   FROM placed p LEFT JOIN hot h ON h.node_name = p.node_name AND h.tripID = p.tripID GROUP BY cell)"""
 

