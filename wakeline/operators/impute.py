@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wakeline import schema
 from wakeline.functions.timeops import MICROS, micros
 from wakeline.functions.values import ensure_columns, to_number
-from wakeline.operators.sliced import neighbours, previous_row
+from wakeline.operators.sliced import look_around, previous_row
 
 _ORDERS = {
     "forward": ("prev",),
@@ -35,15 +35,8 @@ def fill(
     ``order`` is ``forward``, ``back_then_forward`` or ``forward_then_back``.
     """
     sides = _ORDERS[order]
-    found = neighbours(
-        df,
-        columns,
-        keys,
-        ts,
-        tie,
-        previous="prev" in sides,
-        following="next" in sides,
-        slice_seconds=slice_seconds,
+    found = look_around(
+        df, {c: sides for c in columns}, keys, ts, tie, slice_seconds=slice_seconds
     )
     extra = [] if default is None else [F.lit(default)]
     return found.select(
@@ -54,6 +47,41 @@ def fill(
     )
 
 
+def fill_and_deltas(
+    df: DataFrame,
+    columns: Sequence[str],
+    deltas: Sequence[str],
+    *,
+    keys: Sequence[str],
+    ts: str = "ts",
+    tie: Sequence[str] = (),
+    default: float = 0.0,
+    slice_seconds: int | None = schema.DAY_SECONDS,
+) -> DataFrame:
+    """``fill(order="back_then_forward")`` and then ``add_deltas``, in one pass.
+
+    The filled value of the preceding row needs no second pass: it is that row's
+    own value, else the next one known (which is also the next known from here),
+    else the last one known before.
+    """
+    base = df.withColumn("_row", F.lit(1))
+    wanted = {c: ["prev", "next", *(["before", "lag"] if c in deltas else [])] for c in columns}
+    found = look_around(base, {**wanted, "_row": ["lag"]}, keys, ts, tie, slice_seconds=slice_seconds)
+    zero = F.lit(default)
+
+    def filled(c):
+        return F.coalesce(f"{c}_next", f"{c}_prev", zero)
+
+    def change(c):
+        last = F.coalesce(f"{c}_lag", f"{c}_next", f"{c}_before", zero)
+        return F.when(F.col("_row_lag").isNull(), 0.0).otherwise(filled(c) - last)
+
+    return found.select(
+        *(filled(c).alias(c) if c in columns else c for c in df.columns),
+        *(change(c).alias(f"{c}_Delta") for c in deltas),
+    )
+
+
 def fill_constants(df: DataFrame, values: dict[str, float | str]) -> DataFrame:
     return df.na.fill(values)
 
@@ -115,7 +143,7 @@ def near_activity(
     """Rows within reach after the last or before the next positive value."""
     coerced = df.withColumn(value, to_number(F.col(value)))
     marked = coerced.withColumn("_on", F.when(F.col(value) > 0, micros(ts)))
-    found = neighbours(marked, ["_on"], keys, ts, tie)
+    found = look_around(marked, {"_on": ["prev", "next"]}, keys, ts, tie)
     reach = reach_seconds * MICROS
     near = (micros(ts) - F.col("_on_prev") <= reach) | (F.col("_on_next") - micros(ts) <= reach)
     return found.filter(near).select(*df.columns)

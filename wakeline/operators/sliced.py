@@ -7,13 +7,16 @@ to one summary row, carries state across the summaries, and joins the carry back
 on the same ``(key, slice)`` the rows are already partitioned by. The rows are
 shuffled once; the summaries number one per key and slice.
 
+The summary and the rows are two reads of the input. Feed these operators a
+table, or ``stored()`` what is costly to compute.
+
 Rows whose key or time is null belong to no sequence: they are kept, and get
 null from the operators that number rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,6 +26,13 @@ from wakeline.functions.timeops import MICROS, micros
 
 SLICE = "_slice"
 _ALL = (Window.unboundedPreceding, Window.unboundedFollowing)
+_UPTO = (Window.unboundedPreceding, 0)
+
+
+def _descending(keys: Sequence[str], order: Sequence[str]):
+    """Reverse window. Looking ahead as "up to here" in reverse order takes one
+    pass; a frame that ends at unbounded following restarts at every row."""
+    return Window.partitionBy(*keys).orderBy(*(F.desc_nulls_last(c) for c in order))
 
 
 def slice_number(ts: str | Column, slice_seconds: int) -> Column:
@@ -33,51 +43,55 @@ def with_slices(df: DataFrame, ts: str, slice_seconds: int = schema.DAY_SECONDS)
     return df.withColumn(SLICE, slice_number(ts, slice_seconds))
 
 
-def neighbours(
+# What can be looked up from a row, and the suffix of the resulting column.
+PREV, NEXT, BEFORE, LAG = "prev", "next", "before", "lag"
+
+
+def look_around(
     df: DataFrame,
-    columns: Sequence[str],
+    wanted: Mapping[str, Sequence[str]],
     keys: Sequence[str],
     ts: str,
     tie: Sequence[str] = (),
     *,
-    previous: bool = True,
-    following: bool = True,
     slice_seconds: int | None = schema.DAY_SECONDS,
 ) -> DataFrame:
-    """Nearest non-null value at or before (``<c>_prev``) and at or after (``<c>_next``).
+    """Values around each row of a key, all in one pass. ``wanted`` maps columns to
 
-    ``slice_seconds=None`` uses one plain window per key, for keys whose size is
-    bounded by construction (a trip that ends at midnight).
-    """
-    if slice_seconds is None:
-        ahead = Window.partitionBy(*keys).orderBy(ts, *tie)
-        out = {}
-        for c in columns:
-            if previous:
-                out[f"{c}_prev"] = F.last(c, ignorenulls=True).over(
-                    ahead.rowsBetween(Window.unboundedPreceding, 0)
-                )
-            if following:
-                out[f"{c}_next"] = F.first(c, ignorenulls=True).over(
-                    ahead.rowsBetween(0, Window.unboundedFollowing)
-                )
-        return df.withColumns(out)
+    ``prev``    nearest non-null value at or before the row
+    ``next``    nearest non-null value at or after it
+    ``before``  nearest non-null value strictly before it
+    ``lag``     the preceding row's value, null or not
 
-    part = [*keys, SLICE]
+    and the results are named ``<column>_<what>``. ``slice_seconds=None`` uses
+    plain windows, for keys bounded by construction (trips that end at midnight).
+    """
+    whole = slice_seconds is None
+    part = [*keys] if whole else [*keys, SLICE]
     inside = Window.partitionBy(*part).orderBy(ts, *tie)
-    local, ends = {}, {}
-    for c in columns:
-        if previous:
-            local[f"{c}_prev"] = F.last(c, ignorenulls=True).over(
-                inside.rowsBetween(Window.unboundedPreceding, 0)
-            )
+    reverse = _descending(part, [ts, *tie])
+    upto, strictly = inside.rowsBetween(*_UPTO), inside.rowsBetween(Window.unboundedPreceding, -1)
+    local = {}
+    for c, kinds in wanted.items():
+        if PREV in kinds:
+            local[f"{c}_prev"] = F.last(c, ignorenulls=True).over(upto)
+        if NEXT in kinds:
+            local[f"{c}_next"] = F.last(c, ignorenulls=True).over(reverse.rowsBetween(*_UPTO))
+        if BEFORE in kinds:
+            local[f"{c}_before"] = F.last(c, ignorenulls=True).over(strictly)
+        if LAG in kinds:
+            local[f"{c}_lag"] = F.lag(c).over(inside)
+    if whole:
+        return df.withColumns(local)
+
+    ends = {}
+    for c, kinds in wanted.items():
+        if PREV in kinds or BEFORE in kinds:
             ends[f"_{c}_last"] = F.last(c, ignorenulls=True).over(inside.rowsBetween(*_ALL))
-        if following:
-            local[f"{c}_next"] = F.first(c, ignorenulls=True).over(
-                inside.rowsBetween(0, Window.unboundedFollowing)
-            )
+        if NEXT in kinds:
             ends[f"_{c}_first"] = F.first(c, ignorenulls=True).over(inside.rowsBetween(*_ALL))
-
+        if LAG in kinds:
+            ends[f"_{c}_end"] = F.last(c).over(inside.rowsBetween(*_ALL))
     sliced = with_slices(df, ts, slice_seconds)
     summary = (
         sliced.select(*part, *(e.alias(name) for name, e in ends.items()))
@@ -85,24 +99,33 @@ def neighbours(
         .agg(*(F.first(name).alias(name) for name in ends))
     )
     across = Window.partitionBy(*keys).orderBy(SLICE)
-    carry = []
-    for c in columns:
-        if previous:
-            before = across.rowsBetween(Window.unboundedPreceding, -1)
-            carry.append(F.last(f"_{c}_last", ignorenulls=True).over(before).alias(f"_{c}_in"))
-        if following:
-            after = across.rowsBetween(1, Window.unboundedFollowing)
-            carry.append(F.first(f"_{c}_first", ignorenulls=True).over(after).alias(f"_{c}_out"))
-    carried = summary.select(*part, *carry)
-
-    joined = sliced.withColumns(local).join(carried, part, "left")
-    filled = {}
-    for c in columns:
-        if previous:
-            filled[f"{c}_prev"] = F.coalesce(f"{c}_prev", f"_{c}_in")
-        if following:
-            filled[f"{c}_next"] = F.coalesce(f"{c}_next", f"_{c}_out")
-    return joined.select(*df.columns, *(e.alias(n) for n, e in filled.items()))
+    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
+    later = _descending(keys, [SLICE]).rowsBetween(Window.unboundedPreceding, -1)
+    carry = {}
+    for name in ends:
+        if name.endswith("_last"):
+            carry[name + "_in"] = F.last(name, ignorenulls=True).over(earlier)
+        elif name.endswith("_first"):
+            carry[name + "_in"] = F.last(name, ignorenulls=True).over(later)
+        else:
+            carry[name + "_in"] = F.lag(name).over(across)
+    carried = summary.select(*part, *(e.alias(n) for n, e in carry.items()))
+
+    needs_position = any(LAG in kinds for kinds in wanted.values())
+    position = {"_rn": F.row_number().over(inside)} if needs_position else {}
+    joined = sliced.withColumns({**local, **position}).join(carried, part, "left")
+    out = []
+    for c, kinds in wanted.items():
+        if PREV in kinds:
+            out.append(F.coalesce(f"{c}_prev", f"_{c}_last_in").alias(f"{c}_prev"))
+        if NEXT in kinds:
+            out.append(F.coalesce(f"{c}_next", f"_{c}_first_in").alias(f"{c}_next"))
+        if BEFORE in kinds:
+            out.append(F.coalesce(f"{c}_before", f"_{c}_last_in").alias(f"{c}_before"))
+        if LAG in kinds:
+            first = F.col("_rn") == 1
+            out.append(F.when(first, F.col(f"_{c}_end_in")).otherwise(F.col(f"{c}_lag")).alias(f"{c}_lag"))
+    return joined.select(*df.columns, *out)
 
 
 def previous_row(
@@ -112,33 +135,10 @@ def previous_row(
     ts: str,
     tie: Sequence[str] = (),
     *,
-    slice_seconds: int = schema.DAY_SECONDS,
+    slice_seconds: int | None = schema.DAY_SECONDS,
 ) -> DataFrame:
     """``<c>_lag``: the value of the preceding row of the key, null on its first row."""
-    part = [*keys, SLICE]
-    inside = Window.partitionBy(*part).orderBy(ts, *tie)
-    sliced = with_slices(df, ts, slice_seconds)
-    summary = (
-        sliced.select(
-            *part, *(F.last(c).over(inside.rowsBetween(*_ALL)).alias(f"_{c}_last") for c in columns)
-        )
-        .groupBy(*part)
-        .agg(*(F.first(f"_{c}_last").alias(f"_{c}_last") for c in columns))
-    )
-    across = Window.partitionBy(*keys).orderBy(SLICE)
-    carried = summary.select(
-        *part, *(F.lag(f"_{c}_last").over(across).alias(f"_{c}_in") for c in columns)
-    )
-    local = {f"{c}_lag": F.lag(c).over(inside) for c in columns}
-    local["_rn"] = F.row_number().over(inside)
-    joined = sliced.withColumns(local).join(carried, part, "left")
-    return joined.select(
-        *df.columns,
-        *(
-            F.when(F.col("_rn") == 1, F.col(f"_{c}_in")).otherwise(F.col(f"{c}_lag")).alias(f"{c}_lag")
-            for c in columns
-        ),
-    )
+    return look_around(df, {c: [LAG] for c in columns}, keys, ts, tie, slice_seconds=slice_seconds)
 
 
 def row_numbers(

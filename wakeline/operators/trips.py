@@ -24,19 +24,23 @@ def number_trips(
     break_at_midnight: bool = False,
     out: str = "trip_id",
     slice_seconds: int = schema.DAY_SECONDS,
+    slice_column: str | None = None,
 ) -> DataFrame:
     """Number the trips of each key 1, 2, ...; a new one starts after a gap.
 
     The gap test is ``>`` or, with ``inclusive``, ``>=``. Breaks inside a slice
     come from a window over ``(key, slice)``; whether a slice itself opens a trip
     follows from the last time of the slice before it; the offsets are a running
-    sum over the slices.
+    sum over the slices. ``slice_column`` names a column that can serve as slice
+    because it never falls as time rises, such as the date: what is partitioned
+    by it afterwards needs no further shuffle.
     """
-    part = [*keys, SLICE]
+    cut = slice_column or SLICE
+    part = [*keys, cut]
     gap = F.lit(gap_seconds * MICROS)
     day = F.lit(float(schema.DAY_SECONDS * MICROS))
     inside = Window.partitionBy(*part).orderBy(ts, *tie)
-    across = Window.partitionBy(*keys).orderBy(SLICE)
+    across = Window.partitionBy(*keys).orderBy(cut)
 
     def breaks(now, before):
         step = now - before
@@ -46,7 +50,7 @@ def number_trips(
         return F.when(before.isNull(), 0).when(long_gap, 1).otherwise(0)
 
     local = (
-        with_slices(df, ts, slice_seconds)
+        (df if slice_column else with_slices(df, ts, slice_seconds))
         .withColumn("_us", micros(ts))
         .withColumn("_break", breaks(F.col("_us"), F.lag("_us").over(inside)))
         .withColumn(
@@ -153,8 +157,17 @@ def drop_short_trips(
     keys: Sequence[str] = ("node_name", "TRIP_ID"),
     ts: str = "ts",
     longer_than: float = schema.MIN_TRIP_MINUTES,
+    bounded: bool = False,
 ) -> DataFrame:
-    """Rows of the trips that last long enough."""
+    """Rows of the trips that last long enough.
+
+    ``bounded`` says that a key is small by construction (a day of one vessel):
+    then a window finds the span without reading the input again.
+    """
+    if bounded:
+        trip = Window.partitionBy(*keys)
+        span = minutes_between(F.min(ts).over(trip), F.max(ts).over(trip))
+        return df.withColumn("_span", span).filter(F.col("_span") > longer_than).drop("_span")
     long_enough = trip_spans(df, keys=keys, ts=ts, longer_than=longer_than).select(*keys)
     return salted_join(df, long_enough, keys, [ts], "left_semi")
 

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wakeline import schema
+from wakeline.functions import values as V
 from wakeline.operators import impute, joins, reshape, trips, weather
-from wakeline.sources import files
+from wakeline.session import stored
 
 
 def trip_signals(signals: DataFrame, intervals: DataFrame, **options) -> DataFrame:
@@ -46,7 +47,11 @@ def resampled(
 def trip_filled(
     even: DataFrame, signals: Sequence[str], *, gap_seconds: int = schema.TRIP_GAP_SECONDS
 ) -> DataFrame:
-    """Number the trips (new day or long gap) and fill forward inside trip and side."""
+    """Number the trips (new day or long gap) and fill forward inside trip and side.
+
+    Trips end at midnight, so vessel and date bound every window, and one shuffle
+    on them serves the numbering and the filling.
+    """
     numbered = trips.number_trips(
         even,
         gap_seconds=gap_seconds,
@@ -55,16 +60,34 @@ def trip_filled(
         inclusive=True,
         break_at_midnight=True,
         out="TRIP_ID",
+        slice_column="date",
     )
     return impute.fill(
         numbered,
         signals,
-        keys=["node_name", "TRIP_ID", "signal_instance"],
+        keys=["node_name", "date", "TRIP_ID", "signal_instance"],
         order="forward",
         slice_seconds=None,
     )
 
 
+def measurement_map(
+    signals: DataFrame, *, group: str, alias: str = "signal_name_alias"
+) -> DataFrame:
+    """Per measurement and alias: is it a position, and which signal is meant.
+
+    One aggregation over three columns; a few rows come out, stored.
+    """
+    seen = signals.groupBy(group, alias).agg(
+        F.bool_and(F.col("signal_instance").isNull()).alias("_no_side")
+    )
+    seen = stored(seen, "aliases")
+    kinds = seen.groupBy(group).agg(F.bool_and("_no_side").alias("is_geo"))
+    names = reshape.alias_map(seen, alias=alias)
+    mapped = seen.select(group, alias).join(kinds, group).join(names, alias, "left")
+    return stored(mapped, "measurements")
+
+
 def engine_table(
     signals: DataFrame,
     wind: DataFrame,
@@ -78,10 +101,12 @@ def engine_table(
     min_minutes: float = schema.MIN_TRIP_MINUTES,
     tie: Sequence[str] = (),
 ) -> DataFrame:
-    """The whole batch job as one lazy plan; only the alias map is built ahead.
+    """The whole batch job.
 
     ``signals`` is long telemetry with a ``group`` column naming the measurement
-    a row came from.
+    a row came from. The wide scan runs once: positions and engine rows go through
+    the pivot and the resampling together, and the even rows are stored before
+    they part.
     """
     intervals = trips.discover_trips(
         signals.filter(F.col(group) == discovery_signal),
@@ -89,31 +114,42 @@ def engine_table(
         padding_seconds=padding_seconds,
         tie=tie,
     )
-    inside = trip_signals(signals, intervals)
-    kinds = signals.groupBy(group).agg(
-        F.bool_and(F.col("signal_instance").isNull()).alias("is_geo")
-    )
-    classified = joins.salted_join(inside, kinds, [group], ["time"], "left")
-    geo, engine = files.split_geo_engine(classified)
-    geo = reshape.resolve_aliases(geo)
-    engine = reshape.resolve_aliases(engine)
-
-    engine_even = resampled(
-        widen(engine, schema.ENGINE_SIGNALS, geo=False, tie=tie),
-        schema.ENGINE_SIGNALS,
-        step_seconds=step_seconds,
-    )
-    geo_even = resampled(
-        widen(geo, schema.GEO_SIGNALS, geo=True, tie=tie),
-        schema.GEO_SIGNALS,
-        step_seconds=step_seconds,
+    alias = "signal_name_alias"
+    lookup = measurement_map(signals, group=group)
+    small = joins.small_lookup(lookup, reshape.MAX_BROADCAST_ALIASES)
+    keys = [group, alias]
+    if small is lookup:
+        named = joins.salted_join(signals, lookup, keys, ["time"], "left")
+    else:
+        named = signals.join(small, keys, "left")
+    known = named.withColumn(alias, F.coalesce("resolved", alias)).drop("resolved")
+    inside = trip_signals(known, intervals)
+    sided = inside.withColumn(
+        "signal_instance",
+        F.when(F.col("is_geo"), F.col("signal_instance")).otherwise(V.side_name("signal_instance")),
+    ).filter(F.col("is_geo") | F.col("signal_instance").isNotNull())
+
+    cell = ["node_name", "is_geo", "signal_instance"]
+    wide = reshape.pivot_first(
+        sided, keys=[*cell, "time"], signals=schema.SIGNALS, tie=tie, keep_null_keys=True
     )
-    engine_filled = trip_filled(
-        engine_even, schema.ENGINE_SIGNALS, gap_seconds=gap_seconds
+    even = stored(
+        reshape.resample_mean(
+            impute.fill_side(wide), keys=cell, values=schema.SIGNALS, step_seconds=step_seconds
+        ),
+        "even",
     )
+    engine = even.filter("not is_geo").drop("is_geo", *schema.GEO_SIGNALS)
+    geo = even.filter("is_geo").drop("is_geo", *schema.ENGINE_SIGNALS)
+    engine_filled = trip_filled(engine, schema.ENGINE_SIGNALS, gap_seconds=gap_seconds)
     geo_filled = trip_filled(
-        impute.fill_constants(geo_even, {"SOG": 0.0}), schema.GEO_SIGNALS, gap_seconds=gap_seconds
+        impute.fill_constants(geo, {"SOG": 0.0}), schema.GEO_SIGNALS, gap_seconds=gap_seconds
+    )
+    lasting = trips.drop_short_trips(
+        engine_filled,
+        keys=["node_name", "date", "TRIP_ID"],
+        longer_than=min_minutes,
+        bounded=True,
     )
-    merged = weather.merge_positions(engine_filled, geo_filled)
-    windy = weather.add_weather(merged, wind)
-    return trips.drop_short_trips(windy, longer_than=min_minutes)
+    merged = weather.merge_positions(lasting, geo_filled)
+    return weather.add_weather(merged, wind)

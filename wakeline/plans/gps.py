@@ -24,15 +24,17 @@ def gps_table(
     step_seconds: int = 1,
     signals: Sequence[str] = schema.GPS_SIGNALS,
 ) -> DataFrame:
-    """Clean names, even seconds, trips, gaps filled, deltas, running flag."""
+    """Clean names, even seconds, trips, gaps filled, deltas, running flag.
+
+    The even rows are stored: the scan and its aggregation run once.
+    """
     named = long.withColumn("signal_name_alias", strip_prefix("signal_name_alias"))
-    wide = reshape.resample_gps(named, signals=signals, step_seconds=step_seconds)
+    wide = stored(reshape.resample_gps(named, signals=signals, step_seconds=step_seconds), "gps-even")
     numbered = trips.number_trips(wide, gap_seconds=gap_seconds, ts="ts", out="tripID")
-    filled = impute.fill(
-        numbered, signals, keys=TRIP_KEYS, order="back_then_forward", default=0.0
+    moving = impute.fill_and_deltas(
+        numbered, signals, [s for s in ("LAT", "LON", "SOG") if s in signals], keys=TRIP_KEYS
     )
-    deltas = impute.add_deltas(filled, keys=TRIP_KEYS)
-    return deltas.withColumn("RPM", V.is_running("RPM"))
+    return moving.withColumn("RPM", V.is_running("RPM"))
 
 
 def map_tables(
@@ -43,21 +45,17 @@ def map_tables(
     threshold: float = schema.GPS_SCORE_THRESHOLD,
     size: float = geo.CELL_SIZE,
     palette=severity.DARK,
-    materialise: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Coloured cells, and one summary row per flagged trip.
 
-    ``gps`` feeds several branches, so it is written once to the shared folder.
+    The rows feed several branches, so they are written once to the shared folder.
     """
-    if materialise:
-        gps = stored(gps, "gps")
-    trimmed = sequences.trim_to_multiple(gps, rows, keys=TRIP_KEYS).drop("row_no")
+    gps = stored(gps, "gps")
+    trimmed = stored(sequences.trim_to_multiple(gps, rows, keys=TRIP_KEYS).drop("row_no"), "whole")
     scored = scoring.score_windows(
         scoring.gps_features(trimmed), model, rows=rows, threshold=threshold
     )
-    flagged = scoring.flagged_trips(scored)
-    if materialise:
-        flagged = stored(flagged, "flagged")
+    flagged = stored(scoring.flagged_trips(scored), "flagged")
     anomalous, normal = scoring.split_by_flag(trimmed, flagged)
     counts = cells.cell_counts(anomalous, normal, size=size)
     return cells.coloured_cells(counts, palette=palette, size=size), cells.trip_summary(anomalous)

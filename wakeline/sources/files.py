@@ -100,14 +100,22 @@ def write_stage(df: DataFrame, path: str, *, partition_by: Sequence[str] = ()) -
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+def replace_partitions(
+    df: DataFrame, path: str, partition_by: Sequence[str], *, small: bool = False
+) -> None:
     """Overwrite only the partitions that occur in ``df``.
 
     Rebalancing gathers small partitions into one file and splits large ones.
+    ``small`` is for tables of many partitions with few rows each (map cells):
+    these are spread over all cores, as opening the files is what takes time.
     """
+    columns = [F.col(c) for c in partition_by]
+    if small:
+        placed = df.repartition(df.sparkSession.sparkContext.defaultParallelism, *columns)
+    else:
+        placed = df.hint("rebalance", *columns)
     (
-        df.hint("rebalance", *(F.col(c) for c in partition_by))
-        .write.mode("overwrite")
+        placed.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)

@@ -105,20 +105,25 @@ def refresh(
 ) -> StreamingQuery:
     """Re-run a batch job for every hour that received rows.
 
-    A pull is first stored under its batch number, then the whole hours it
-    touches are read back, passed through ``body`` and their ``date``/``hour``
-    partitions replaced. Late rows therefore complete their hour, and a repeated
+    A pull is first stored under its date and batch number, as its tasks hold it;
+    then the whole hours it touches are read back (pruned to their dates), passed
+    through ``body``, and their ``date``/``hour`` partitions replaced. Late rows therefore complete their hour, and a repeated
     batch changes nothing. Runs once over everything available, or ``every`` so
     often (``"1 hour"``) until stopped.
     """
 
     def step(batch: DataFrame, number: int) -> None:
         placed = batch.withColumns({"date": F.to_date(ts), "hour": F.hour(ts), "pull": F.lit(number)})
-        replace_partitions(placed, landing, ["date", "hour", "pull"])
+        (
+            placed.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("date", "pull")
+            .parquet(landing)
+        )
         stored = batch.sparkSession.read.schema(placed.schema).parquet(landing)
         touched = stored.filter(F.col("pull") == number).select("date", "hour").distinct()
         hours = stored.join(touched, ["date", "hour"], "left_semi").drop("pull")
-        replace_partitions(body(hours), path, ["date", "hour"])
+        replace_partitions(body(hours), path, ["date", "hour"], small=True)
 
     writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     if every is None:
