@@ -58,6 +58,8 @@ def main() -> None:
         cpus,
         **{
             "spark.sql.shuffle.partitions": cpus,
+            # Coalescing is for many small tasks; here there is one per core.
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
             "spark.python.sql.dataFrameDebugging.enabled": "false",
         },
     )

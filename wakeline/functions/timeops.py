@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
@@ -13,12 +13,26 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _session_is_utc() -> bool:
+    session = SparkSession.getActiveSession()
+    zone = session.conf.get("spark.sql.session.timeZone") if session else None
+    return zone in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
+
+
 def micros(ts: str | Column) -> Column:
-    """Microseconds since the epoch."""
-    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), col(ts))
+    """Microseconds of wall-clock time since the epoch.
+
+    In a UTC session the zoned type holds just this number; elsewhere it is
+    counted without a zone, which takes longer.
+    """
+    if _session_is_utc():
+        return F.unix_micros(col(ts).cast("timestamp"))
+    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), col(ts).cast("timestamp_ntz"))
 
 
 def from_micros(us: str | Column) -> Column:
+    if _session_is_utc():
+        return F.timestamp_micros(col(us)).cast("timestamp_ntz")
     return F.timestamp_add("MICROSECOND", col(us), F.expr(_EPOCH))
 
 

@@ -33,8 +33,8 @@ def as_telemetry(events: DataFrame) -> DataFrame:
     return events.select(
         "event_id",
         F.col("ts").cast("timestamp_ntz").alias("time"),
-        F.format_string("dev-%d", F.pmod("user_id", F.lit(DEVICES))).alias("node_id"),
-        F.format_string("boat-%d", F.pmod("user_id", F.lit(VESSELS))).alias("node_name"),
+        F.concat(F.lit("dev-"), F.pmod("user_id", F.lit(DEVICES)).cast("string")).alias("node_id"),
+        F.concat(F.lit("boat-"), F.pmod("user_id", F.lit(VESSELS)).cast("string")).alias("node_name"),
         _mapped("event_type", ALIASES).alias("signal_name_alias"),
         "value",
         F.when(
@@ -49,8 +49,8 @@ def as_positions(events: DataFrame) -> DataFrame:
     return events.select(
         "event_id",
         F.col("ts").cast("timestamp_ntz").alias("time"),
-        F.format_string("dev-%d", F.pmod("user_id", F.lit(DEVICES))).alias("node_id"),
-        F.format_string("boat-%d", F.pmod("user_id", F.lit(VESSELS))).alias("node_name"),
+        F.concat(F.lit("dev-"), F.pmod("user_id", F.lit(DEVICES)).cast("string")).alias("node_id"),
+        F.concat(F.lit("boat-"), F.pmod("user_id", F.lit(VESSELS)).cast("string")).alias("node_name"),
         F.lit("LAT-LON").alias("signal_name_alias"),
         (F.lit(55.0) + F.lit(0.15) * F.pmod(k, F.lit(100))).alias("value_latitude"),
         (F.lit(10.0) + F.lit(0.15) * F.pmod(k * 7, F.lit(100))).alias("value_longitude"),
