@@ -37,7 +37,8 @@ def haversine_nm(lat1, lon1, lat2, lon2) -> Column:
     a = F.pow(F.sin(F.radians(col(lat2) - col(lat1)) / 2), 2) + F.cos(F.radians(col(lat1))) * F.cos(
         F.radians(col(lat2))
     ) * F.pow(F.sin(F.radians(col(lon2) - col(lon1)) / 2), 2)
-    return F.lit(2 * EARTH_RADIUS_NM) * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
+    # Not least(): that skips nulls, and an unknown position would be far away.
+    return F.lit(2 * EARTH_RADIUS_NM) * F.asin(F.sqrt(F.when(a > 1, 1.0).otherwise(a)))
 
 
 def ellipsoidal_nm(lat1, lon1, lat2, lon2) -> Column:

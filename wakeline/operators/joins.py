@@ -23,8 +23,10 @@ def salted_join(
 ) -> DataFrame:
     """Equi-join of many rows to a table with few rows per key.
 
-    Rows of one key are spread over ``salts`` tasks by a hash of ``spread_by``;
+    Rows of one key are spread over ``salts`` parts by a hash of ``spread_by``;
     the lookup is repeated once per salt. Works for inner, left, semi and anti.
+    As the salt is part of the join key, whatever follows on ``keys`` shuffles
+    anyway, so adaptive execution remains free to split a part that is still large.
     """
     salted = rows.withColumn(
         _SALT, F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")

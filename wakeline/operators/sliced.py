@@ -94,7 +94,8 @@ def look_around(
             ends[f"_{c}_end"] = F.last(c).over(inside.rowsBetween(*_ALL))
     sliced = with_slices(df, ts, slice_seconds)
     summary = (
-        sliced.select(*part, *(e.alias(name) for name, e in ends.items()))
+        sliced.filter(F.col(SLICE).isNotNull())
+        .select(*part, *(e.alias(name) for name, e in ends.items()))
         .groupBy(*part)
         .agg(*(F.first(name).alias(name) for name in ends))
     )
@@ -156,7 +157,8 @@ def row_numbers(
     sliced = with_slices(df, ts, slice_seconds)
     inside = Window.partitionBy(*part).orderBy(ts, *tie)
     across = Window.partitionBy(*keys).orderBy(SLICE)
-    counts = sliced.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
+    timed = sliced.filter(F.col(SLICE).isNotNull())
+    counts = timed.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(across.rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select(
         *part,

@@ -57,7 +57,8 @@ def number_trips(
             "_seq", F.sum("_break").over(inside.rowsBetween(Window.unboundedPreceding, 0))
         )
     )
-    edges = local.groupBy(*part).agg(
+    timed = local.filter(F.col(cut).isNotNull())
+    edges = timed.groupBy(*part).agg(
         F.min("_us").alias("_first"), F.max("_us").alias("_last"), F.sum("_break").alias("_inner")
     )
     before = F.lag("_last").over(across)

@@ -23,6 +23,11 @@ def upsert(
     both = existing.withColumn("_src", F.lit(0)).unionByName(
         new.select(*existing.columns).withColumn("_src", F.lit(1))
     )
+    if len(kept) == 1:
+        # Plain minima fit a hash aggregate; a struct would need a sorted one.
+        old, fresh = (F.min(F.when(F.col("_src") == src, F.col(kept[0]))) for src in (0, 1))
+        winner = F.when(F.min("_src") == 0, old).otherwise(fresh).alias(kept[0])
+        return both.groupBy(*compared).agg(winner).select(*existing.columns)
     merged = both.groupBy(*compared).agg(F.min(F.struct("_src", *kept)).alias("_kept"))
     return merged.select(
         *(F.col(f"_kept.{c}").alias(c) if c in kept else c for c in existing.columns)

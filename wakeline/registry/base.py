@@ -176,7 +176,7 @@ def hav(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
         f"pow(sin(radians({lat2} - {lat1}) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2}))"
         f" * pow(sin(radians({lon2} - {lon1}) / 2), 2)"
     )
-    return f"(6880.13e0 * asin(sqrt(least({a}, 1e0))))"
+    return f"(6880.13e0 * asin(sqrt({a})))"
 
 
 def hex_sql(lat: str, lon: str, source: str, columns: str = "*", size: float = 0.6) -> str:
