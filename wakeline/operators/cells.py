@@ -70,23 +70,32 @@ def median_positions(df: DataFrame, *, keys: Sequence[str] = TRIP_KEYS) -> DataF
     return exact_medians(df, ["LAT", "LON"], keys=keys)
 
 
+def _vessels(name: str):
+    """Sorted distinct names as text; the set is merged before the shuffle."""
+    return F.array_join(F.array_sort(F.collect_set(name)), ", ").alias("vessels")
+
+
 def vessel_names(df: DataFrame, *, trip: Sequence[str], name: str = "node_name") -> DataFrame:
-    """Sorted distinct vessel names per trip as text.
+    """Vessels per trip."""
+    return df.groupBy(*trip).agg(_vessels(name))
 
-    Names are de-duplicated by the shuffle, so the list has one entry per vessel.
-    """
-    distinct = df.select(*trip, F.col(name).alias("_name")).distinct()
-    return distinct.groupBy(*trip).agg(
-        F.array_join(F.array_sort(F.collect_list("_name")), ", ").alias("vessels")
-    )
+
+def _with_medians(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
+    """Every row with the median position of its trip."""
+    medians = median_positions(df, keys=keys).withColumnsRenamed({"LAT": "_mlat", "LON": "_mlon"})
+    return salted_join(df, medians, keys, [ts], "left")
+
+
+def _with_legs(df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str]) -> DataFrame:
+    """Every row with the position before it in the trip."""
+    return previous_row(df, ["LAT", "LON"], keys, ts, tie)
 
 
 def max_distance_to_median(
     df: DataFrame, *, keys: Sequence[str] = TRIP_KEYS, ts: str = "ts", distance=geo.haversine_nm
 ) -> DataFrame:
     """Largest distance of a trip's rows to its median position."""
-    medians = median_positions(df, keys=keys).withColumnsRenamed({"LAT": "_mlat", "LON": "_mlon"})
-    placed = salted_join(df.select(*keys, ts, "LAT", "LON"), medians, keys, [ts])
+    placed = _with_medians(df.select(*keys, ts, "LAT", "LON"), keys, ts)
     away = placed.select(*keys, distance("LAT", "LON", "_mlat", "_mlon").alias("_d"))
     return away.groupBy(*keys).agg(F.max("_d").alias("max_distance"))
 
@@ -104,8 +113,7 @@ def path_length(
     distance=geo.haversine_nm,
 ) -> DataFrame:
     """Sum of the distances between consecutive rows of a trip."""
-    slim = df.select(*keys, ts, *tie, "LAT", "LON")
-    lagged = previous_row(slim, ["LAT", "LON"], keys, ts, tie)
+    lagged = _with_legs(df.select(*keys, ts, *tie, "LAT", "LON"), keys, ts, tie)
     legs = lagged.select(*keys, distance("LAT_lag", "LON_lag", "LAT", "LON").alias("_d"))
     return legs.groupBy(*keys).agg(F.coalesce(F.sum("_d"), F.lit(0.0)).alias("total_distance"))
 
@@ -119,16 +127,22 @@ def trip_summary(
     distance=geo.haversine_nm,
     digits: int = 2,
 ) -> DataFrame:
-    """Median position, vessels and rounded metrics, one row per trip."""
-    trip = list(keys)
-    rounded = {c: F.round(c, digits) for c in ("max_distance", "max_speed", "total_distance")}
-    return (
-        median_positions(df, keys=keys)
-        .join(vessel_names(df, trip=trip), trip)
-        .join(max_distance_to_median(df, keys=keys, ts=ts, distance=distance), trip, "left")
-        .join(max_speed(df, keys=keys), trip, "left")
-        .join(path_length(df, keys=keys, ts=ts, tie=tie, distance=distance), trip, "left")
-        .withColumns(rounded)
+    """Median position, vessels and rounded metrics: all of them in one aggregation."""
+    slim = df.select(*dict.fromkeys([*keys, "node_name", ts, *tie, "LAT", "LON", "SOG"]))
+    rows = _with_medians(_with_legs(slim, keys, ts, tie), keys, ts)
+    measured = rows.select(
+        *rows.columns,
+        distance("LAT", "LON", "_mlat", "_mlon").alias("_away"),
+        distance("LAT_lag", "LON_lag", "LAT", "LON").alias("_leg"),
+    )
+    trip = measured.select(*keys, F.col("node_name").alias("_name"), "_mlat", "_mlon", "_away", "_leg", "SOG")
+    return trip.groupBy(*keys).agg(
+        F.max("_mlat").alias("LAT"),
+        F.max("_mlon").alias("LON"),
+        _vessels("_name"),
+        F.round(F.max("_away"), digits).alias("max_distance"),
+        F.round(F.max("SOG"), digits).alias("max_speed"),
+        F.round(F.coalesce(F.sum("_leg"), F.lit(0.0)), digits).alias("total_distance"),
     )
 
 

@@ -39,6 +39,30 @@ def slice_number(ts: str | Column, slice_seconds: int) -> Column:
     return F.floor(micros(ts) / F.lit(float(slice_seconds * MICROS)))
 
 
+def over_slices(keys: Sequence[str], cut: str):
+    """Window over the summaries of a key. Untimed rows form a group of their own.
+
+    Filtering them out instead would push a filter into this branch only, and the
+    rows would be scanned and shuffled a second time.
+    """
+    return Window.partitionBy(*keys, F.col(cut).isNull()).orderBy(cut)
+
+
+def key_copies(keys: Sequence[str]) -> list[Column]:
+    """The keys of a summary row once more, as aggregates.
+
+    Joined on these instead of the keys, the summary side gets no "key is not
+    null" filter pushed into its scan, so both sides can share one shuffle.
+    """
+    return [F.max(k).alias(f"_key_{k}") for k in keys]
+
+
+def join_summary(rows: DataFrame, summary: DataFrame, keys: Sequence[str], cut: str) -> DataFrame:
+    """Left join of rows to ``summary``, which holds ``key_copies`` and the slice as ``_cut``."""
+    same = [F.col(k) == F.col(f"_key_{k}") for k in keys]
+    return rows.join(summary, [*same, F.col(cut) == F.col("_cut")], "left")
+
+
 def with_slices(df: DataFrame, ts: str, slice_seconds: int = schema.DAY_SECONDS) -> DataFrame:
     return df.withColumn(SLICE, slice_number(ts, slice_seconds))
 
@@ -94,14 +118,13 @@ def look_around(
             ends[f"_{c}_end"] = F.last(c).over(inside.rowsBetween(*_ALL))
     sliced = with_slices(df, ts, slice_seconds)
     summary = (
-        sliced.filter(F.col(SLICE).isNotNull())
-        .select(*part, *(e.alias(name) for name, e in ends.items()))
+        sliced.select(*part, *(e.alias(name) for name, e in ends.items()))
         .groupBy(*part)
-        .agg(*(F.first(name).alias(name) for name in ends))
+        .agg(*key_copies(keys), *(F.first(name).alias(name) for name in ends))
     )
-    across = Window.partitionBy(*keys).orderBy(SLICE)
+    across = over_slices(keys, SLICE)
     earlier = across.rowsBetween(Window.unboundedPreceding, -1)
-    later = _descending(keys, [SLICE]).rowsBetween(Window.unboundedPreceding, -1)
+    later = across.orderBy(F.desc(SLICE)).rowsBetween(Window.unboundedPreceding, -1)
     carry = {}
     for name in ends:
         if name.endswith("_last"):
@@ -110,11 +133,14 @@ def look_around(
             carry[name + "_in"] = F.last(name, ignorenulls=True).over(later)
         else:
             carry[name + "_in"] = F.lag(name).over(across)
-    carried = summary.select(*part, *(e.alias(n) for n, e in carry.items()))
+    copies = [f"_key_{k}" for k in keys]
+    carried = summary.select(
+        *copies, F.col(SLICE).alias("_cut"), *(e.alias(n) for n, e in carry.items())
+    )
 
     needs_position = any(LAG in kinds for kinds in wanted.values())
     position = {"_rn": F.row_number().over(inside)} if needs_position else {}
-    joined = sliced.withColumns({**local, **position}).join(carried, part, "left")
+    joined = join_summary(sliced.withColumns({**local, **position}), carried, keys, SLICE)
     out = []
     for c, kinds in wanted.items():
         if PREV in kinds:
@@ -156,9 +182,8 @@ def row_numbers(
     part = [*keys, SLICE]
     sliced = with_slices(df, ts, slice_seconds)
     inside = Window.partitionBy(*part).orderBy(ts, *tie)
-    across = Window.partitionBy(*keys).orderBy(SLICE)
-    timed = sliced.filter(F.col(SLICE).isNotNull())
-    counts = timed.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
+    across = over_slices(keys, SLICE)
+    counts = sliced.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(across.rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select(
         *part,

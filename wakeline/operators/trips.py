@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wakeline import schema
 from wakeline.functions.timeops import MICROS, col, micros, minutes_between, shift
 from wakeline.operators.joins import salted_join
-from wakeline.operators.sliced import SLICE, with_slices
+from wakeline.operators.sliced import SLICE, join_summary, key_copies, over_slices, with_slices
 
 
 def number_trips(
@@ -40,7 +40,7 @@ def number_trips(
     gap = F.lit(gap_seconds * MICROS)
     day = F.lit(float(schema.DAY_SECONDS * MICROS))
     inside = Window.partitionBy(*part).orderBy(ts, *tie)
-    across = Window.partitionBy(*keys).orderBy(cut)
+    across = over_slices(keys, cut)
 
     def breaks(now, before):
         step = now - before
@@ -57,8 +57,8 @@ def number_trips(
             "_seq", F.sum("_break").over(inside.rowsBetween(Window.unboundedPreceding, 0))
         )
     )
-    timed = local.filter(F.col(cut).isNotNull())
-    edges = timed.groupBy(*part).agg(
+    edges = local.groupBy(*part).agg(
+        *key_copies(keys),
         F.min("_us").alias("_first"), F.max("_us").alias("_last"), F.sum("_break").alias("_inner")
     )
     before = F.lag("_last").over(across)
@@ -69,9 +69,11 @@ def number_trips(
         across.rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = opened.select(
-        *part, (F.coalesce(running, F.lit(0)) + F.col("_opens")).alias("_base")
+        *(f"_key_{k}" for k in keys),
+        F.col(cut).alias("_cut"),
+        (F.coalesce(running, F.lit(0)) + F.col("_opens")).alias("_base"),
     )
-    return local.join(offsets, part, "left").select(
+    return join_summary(local, offsets, keys, cut).select(
         *(c for c in df.columns if c != out), (F.col("_base") + F.col("_seq")).alias(out)
     )
 
