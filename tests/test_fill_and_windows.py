@@ -193,3 +193,13 @@ def test_first_per_key_is_deterministic(frame):
     df = frame([("a", 2, "x"), ("a", 1, "y"), ("b", 3, None)], "k string, o int, v string")
     got = {r["k"]: r["v"] for r in reshape.first_per_key(df, ["k"], ["o"]).collect()}
     assert got == {"a": "y", "b": None}
+
+
+def test_untimed_rows_survive_rolling_and_numbering(frame):
+    df = frame([("k", None, 1.0), ("k", "2024-03-01 10:00:00", 2.0), ("k", "2024-03-01 10:00:01", 4.0)],
+               "key string, ts string, v double")
+    got = {r["ts"]: r["v"] for r in sliced.rolling_mean(df, "v", 2, ["key"], "ts").collect()}
+    assert len(got) == 3 and got[None] is None and sorted(x or 0 for x in got.values()) == [0, 0, 3.0]
+    numbered = sliced.row_numbers(df, ["key"], "ts", total="n")
+    assert sorted((r["row_no"] or 0, r["n"] or 0) for r in numbered.collect()) == [(0, 0), (1, 2), (2, 2)]
+    assert sequences.to_sequences(df, 2, ["v"], keys=["key"]).first()["length"] == 2

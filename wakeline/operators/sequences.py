@@ -56,9 +56,11 @@ def to_sequences(
 ) -> DataFrame:
     """One row per chunk: ``length``, feature rows ``seq`` and row keys ``index``.
 
-    Chunks hold at most ``rows`` rows, so no array grows with a trip.
+    Chunks hold at most ``rows`` rows, so no array grows with a trip. Rows
+    without key or time have no place in a sequence.
     """
     numbered = number_sequences(df, rows, keys=keys, ts=ts, tie=tie, whole_only=whole_only)
+    numbered = numbered.filter(F.col("seq_id").isNotNull())
     item = F.struct(
         "row_no",
         F.array(*(F.col(f).cast("double") for f in features)).alias("x"),

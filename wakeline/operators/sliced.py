@@ -223,9 +223,10 @@ def rolling_mean(
     spills = F.pmod(at, F.lit(block)) >= block - (rows - 1)
     spread = numbered.withColumn(
         "_block", F.explode(F.when(spills, F.array(own, own + 1)).otherwise(F.array(own)))
-    ).withColumn("_home", F.col("_block") == own)
+    ).withColumn("_home", F.col("_block").eqNullSafe(own))
     frame = Window.partitionBy(*keys, "_block").orderBy("_no").rowsBetween(-(rows - 1), 0)
-    mean = F.when(F.count(value).over(frame) == rows, F.avg(value).over(frame))
+    full = F.col("_no").isNotNull() & (F.count(value).over(frame) == rows)
+    mean = F.when(full, F.avg(value).over(frame))
     return (
         spread.withColumn("_mean", mean)
         .filter("_home")

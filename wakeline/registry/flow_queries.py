@@ -168,11 +168,15 @@ def t08(spark, folder):
 # --- models ------------------------------------------------------------------------------
 
 
-def _sequence_mean(cube):
-    """Rebuild a sequence as the mean of its rows; pad rows do not count."""
-    real = ~(cube == -1.0).all(axis=2, keepdims=True)
-    total = np.where(real, cube, 0.0).sum(axis=1, keepdims=True)
-    return np.broadcast_to(total / real.sum(axis=1, keepdims=True), cube.shape)
+def _mean_model():
+    """A model that rebuilds a sequence as the mean of its rows; pad rows do not count."""
+
+    def rebuild(cube):
+        real = ~(cube == -1.0).all(axis=2, keepdims=True)
+        total = np.where(real, cube, 0.0).sum(axis=1, keepdims=True)
+        return np.broadcast_to(total / real.sum(axis=1, keepdims=True), cube.shape)
+
+    return rebuild
 
 
 _COMPLETE = (
@@ -192,20 +196,11 @@ def m01(spark, folder):
     names = ["RPM", "ENGTEMP"]
     rows = frames.filled(spark, folder).select("node_name", "TRIP_ID", "ts", "date", "signal_instance", *names)
     errors = scoring.sequence_errors(
-        rows.na.drop(), names, _by_value(_sequence_mean), tie=["signal_instance"], rows=5
+        rows.na.drop(), names, _mean_model(), tie=["signal_instance"], rows=5
     )
     return rounded(scoring.daily_errors(errors, names), *names)
 
 
-def _by_value(model):
-    """Ship a function of this module by its code, so workers need no copy of it."""
-    import types
-
-    bare = types.FunctionType(model.__code__, {"np": np, "__builtins__": __builtins__}, model.__name__)
-    bare.__module__ = "__main__"
-    return bare
-
-
 @query(
     "m02_row_errors",
     with_(ENGINE_CHAIN) + _COMPLETE
