@@ -147,7 +147,7 @@ def test_nearest_reading_matches_brute_force(frame):
         want[i] = min(near)[2] if near else None
     rows_ = frame([(i, n, str(t)) for i, n, t in left], "id int, node_name string, time string")
     reads = frame([(n, str(t), r) for n, t, r in right], "node_name string, reading_time string, reading int")
-    got = joins.nearest_in_time(rows_, reads, key="node_name", ts="time", reading_ts="reading_time", row_id=["id"])
+    got = joins.nearest_in_time(rows_, reads, key="node_name", ts="time", reading_ts="reading_time", slice_seconds=7200)
     assert {r["id"]: r["reading"] for r in got.collect()} == want
 
 

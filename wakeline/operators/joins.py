@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wakeline import schema
 from wakeline.functions.timeops import MICROS, col, micros
+from wakeline.operators.sliced import look_around
 
 _SALT = "_salt"
 
@@ -77,42 +78,43 @@ def nearest_in_time(
     key: str,
     ts: str,
     reading_ts: str,
-    row_id: Sequence[str],
     tolerance_seconds: int = schema.WEATHER_TOLERANCE_SECONDS,
+    slice_seconds: int = schema.DAY_SECONDS,
 ) -> DataFrame:
     """Left join of each row to the reading closest in time within the tolerance.
 
-    For readings on no fixed grid. Readings go to every bucket their reach
-    touches, so candidates meet by equi-join; per row the closest wins, and of
-    two equally close the later. Readings in reach per row are few, and the
-    winner is an aggregate, so a busy bucket is never held in memory.
+    For readings on no fixed grid. Rows and readings are put in one time order
+    and every row looks at the reading before and the one after it, so the work
+    does not grow with how many readings lie in reach. Of two equally close
+    readings the later wins, of several at one instant the smallest.
     """
-    width = float(2 * tolerance_seconds * MICROS)
-    reach = tolerance_seconds * MICROS
-    at = micros(reading_ts)
-    payload = [c for c in readings.columns if c != key]
-    placed = readings.select(
-        key,
-        F.struct(*payload).alias("_reading"),
-        at.alias("_at"),
-        F.explode(
-            F.sequence(F.floor((at - reach) / width), F.floor((at + reach) / width))
-        ).alias("_bucket"),
+    payload = [c for c in readings.columns if c not in (key, reading_ts)]
+    unique = readings.groupBy(key, reading_ts).agg(
+        F.min(F.struct(*(F.col(c) for c in payload), F.lit(1).alias("_there"))).alias("_r")
     )
-    here = rows.select(key, *[c for c in row_id if c != key], micros(ts).alias("_ts")).withColumn(
-        "_bucket", F.floor(F.col("_ts") / width)
+    marks = unique.select(
+        key,
+        F.col(reading_ts).alias("_t"),
+        F.lit(0).alias("_is_row"),
+        F.struct(F.col(reading_ts).alias("at"), F.col("_r").alias("data")).alias("_reading"),
     )
-    gap = F.abs(F.col("_at") - F.col("_ts"))
-    best = (
-        here.join(placed, [key, "_bucket"], "inner")
-        .filter(gap <= reach)
-        .groupBy(*dict.fromkeys([key, *row_id]))
-        .agg(F.min(F.struct(gap.alias("gap"), (-F.col("_at")).alias("late"), "_reading")).alias("_b"))
+    both = rows.withColumns({"_t": F.col(ts), "_is_row": F.lit(1)}).unionByName(
+        marks, allowMissingColumns=True
     )
-    picked = best.select(
-        *dict.fromkeys([key, *row_id]), *(F.col(f"_b._reading.{c}").alias(c) for c in payload)
+    found = look_around(
+        both, {"_reading": ["prev", "next"]}, [key], "_t", ["_is_row"], slice_seconds=slice_seconds
+    ).filter("_is_row = 1")
+    reach = F.lit(tolerance_seconds * MICROS)
+    back = micros("_t") - micros("_reading_prev.at")
+    ahead = micros("_reading_next.at") - micros("_t")
+    before = F.when(back <= reach, F.col("_reading_prev"))
+    after = F.when((ahead <= reach) & (before.isNull() | (ahead <= back)), F.col("_reading_next"))
+    picked = found.withColumn("_best", F.coalesce(after, before))
+    return picked.select(
+        *rows.columns,
+        F.col("_best.at").alias(reading_ts),
+        *(F.col(f"_best.data.{c}").alias(c) for c in payload),
     )
-    return rows.join(picked, list(dict.fromkeys([key, *row_id])), "left")
 
 
 def matched(rows: DataFrame, ids: DataFrame, keys: Sequence[str], spread_by: Sequence[str]) -> DataFrame:

@@ -43,7 +43,6 @@ def add_weather(
     *,
     ts: str = "ts",
     hourly: bool = True,
-    row_id: Sequence[str] = ("node_name", "signal_instance", "ts"),
 ) -> DataFrame:
     """Wind of the nearest reading within half an hour, and the alignment to the course.
 
@@ -62,7 +61,7 @@ def add_weather(
         joined = placed.join(readings, ["node_name", "_reading_ts"], "left")
     else:
         joined = nearest_in_time(
-            df, readings, key="node_name", ts=ts, reading_ts="_reading_ts", row_id=row_id
+            df, readings, key="node_name", ts=ts, reading_ts="_reading_ts"
         )
     return joined.select(
         *df.columns,

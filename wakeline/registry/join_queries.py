@@ -110,7 +110,7 @@ def j03_any(spark, folder):
         col("value").alias("wind"),
     )
     near = joins.nearest_in_time(
-        rows, readings, key="node_name", ts="time", reading_ts="reading_time", row_id=["event_id"]
+        rows, readings, key="node_name", ts="time", reading_ts="reading_time"
     )
     return near.select("event_id", "wind")
 
