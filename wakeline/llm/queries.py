@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wakeline.llm import packing, token_files
+from wakeline.llm import lines, merkle, mixing, packing, quality, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": mixing.op1_mixing,
     "op2_token_files": token_files.op2_token_files,
     "op3_packing": packing.op3_packing,
+    "op5_quality": quality.op5_quality,
+    "op8_line_dedup": lines.op8_line_dedup,
+    "op9_warc": warc.op9_warc,
+    "op10_merkle": merkle.op10_merkle,
+}
+ORACLES: dict[str, str] = {
+    "op1_mixing": mixing.SQL,
+    "op9_warc": warc.SQL,
 }
-ORACLES: dict[str, str] = {}
