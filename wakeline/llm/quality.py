@@ -1,14 +1,14 @@
 """Weak supervision for document quality: rules vote, expectation-maximisation weighs them.
 
-Each rule says good (1), bad (-1) or abstains (0). How often a rule is right, how often it speaks, and what share of
-documents is good are estimated without labels by expectation-maximisation (the one of Dawid and Skene with
-abstentions). A document's likelihood depends on its votes alone, so Spark counts the documents of each
+Each rule says good (1), bad (-1) or abstains (0). How often a rule is right, and what share of documents is
+good, are estimated without labels by expectation-maximisation (the one of Dawid and Skene; an abstention
+says nothing). A document's likelihood depends on its votes alone, so Spark counts the documents of each
 combination of votes over the whole table, and the estimation runs on those counts: at most 3^rules rows
 whatever the input (2,187 with seven rules). The posterior of each document is then a sum of logarithms
 in Spark.
 
-What starts the estimation decides which of its two mirror images is found: accuracies begin at 0.8 (rules are better than
-guessing), and a smoothing of ``SMOOTH`` documents keeps rates inside (0, 1). A rule whose votes are all alike
+What starts the estimation decides which solution is found: rules begin as seldom wrong when they say bad, and
+a smoothing of ``SMOOTH`` documents keeps rates inside (0, 1). A rule whose votes are all alike
 carries no weight: only votes that tell documents apart do.
 
 Defined cases: a null, empty or blank text has no words, all measures 0, and fails the base rule; repeated rows vote
@@ -34,8 +34,10 @@ _SYMBOL[list(SYMBOLS)] = True
 #: Posterior from which a document is kept.
 KEEP = 0.5
 SMOOTH = 1.0
-START_RIGHT = 0.8
 START_GOOD = 0.8
+#: Rates of good and bad votes that the estimation starts from, among good and among bad documents: a defect
+#: found is seldom a mistake, a defect not found says little.
+START_RATES = ((0.99, 0.01), (0.6, 0.4))
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -130,16 +132,15 @@ def base_failed() -> Column:
 def estimate(votes: np.ndarray, counts: np.ndarray, rounds: int = 200, tolerance: float = 1e-9) -> dict:
     """Expectation-maximisation over combinations of votes and how many documents have each.
 
-    For each rule: the rates of saying good, bad and nothing, among good and among bad documents.
+    For each rule: the shares of good and bad among its votes, for good and for bad documents. An abstention says
+    nothing.
     """
     votes, counts = np.atleast_2d(votes), np.asarray(counts, np.float64)
     k = votes.shape[1]
-    onehot = np.stack([votes == v for v in (1, -1, 0)], axis=2).astype(np.float64)  # combination, rule, vote
+    onehot = np.stack([votes == v for v in (1, -1)], axis=2).astype(np.float64)  # combination, rule, vote
     share = START_GOOD
-    speaks = 2 / 3
-    rate = np.zeros((2, k, 3))
-    rate[0] = [speaks * START_RIGHT, speaks * (1 - START_RIGHT), 1 - speaks]
-    rate[1] = [speaks * (1 - START_RIGHT), speaks * START_RIGHT, 1 - speaks]
+    rate = np.zeros((2, k, 2))
+    rate[:] = np.array(START_RATES)[:, None]
     total, before = counts.sum(), -np.inf
     if not total:
         return {"share": share, "rate": rate}
@@ -151,7 +152,8 @@ def estimate(votes: np.ndarray, counts: np.ndarray, rounds: int = 200, tolerance
         now = float((counts * both).sum())
         p = np.exp(good - both)
         for c, weight in ((0, counts * p), (1, counts * (1 - p))):
-            rate[c] = (np.einsum("c,cri->ri", weight, onehot) + SMOOTH * prior[c]) / (weight.sum() + SMOOTH)
+            said = np.einsum("c,cri->ri", weight, onehot) + SMOOTH * prior[c]
+            rate[c] = said / said.sum(axis=1, keepdims=True)
         share = float(((counts * p).sum() + SMOOTH * START_GOOD) / (total + SMOOTH))
         if abs(now - before) <= tolerance * abs(now):
             break
@@ -165,7 +167,7 @@ def posterior(model: dict, names: list[str]) -> Column:
     score = F.lit(math.log(model["share"]) - math.log(1 - model["share"]))
     for r, name in enumerate(names):
         v = F.col(f"__{name}")
-        score = score + F.when(v > 0, float(ratio[r, 0])).when(v < 0, float(ratio[r, 1])).otherwise(float(ratio[r, 2]))
+        score = score + F.when(v > 0, float(ratio[r, 0])).when(v < 0, float(ratio[r, 1])).otherwise(0.0)
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-score))
 
 
