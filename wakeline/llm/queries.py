@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wakeline.llm import language, lines, merkle, mixing, packing, quality, token_files, warc
+from wakeline.llm import jaccard, language, lines, merkle, mixing, packing, quality, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing.op1_mixing,
     "op2_token_files": token_files.op2_token_files,
     "op3_packing": packing.op3_packing,
+    "op4_ngram_jaccard": jaccard.op4_ngram_jaccard,
     "op5_quality": quality.op5_quality,
     "op6_language": language.op6_language,
     "op8_line_dedup": lines.op8_line_dedup,
