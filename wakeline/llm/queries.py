@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wakeline.llm import jaccard, language, lines, merkle, mixing, packing, quality, token_files, warc
+from wakeline.llm import jaccard, language, lines, merkle, mixing, packing, quality, repeats, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing.op1_mixing,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ngram_jaccard": jaccard.op4_ngram_jaccard,
     "op5_quality": quality.op5_quality,
     "op6_language": language.op6_language,
+    "op7_repeats": repeats.op7_repeats,
     "op8_line_dedup": lines.op8_line_dedup,
     "op9_warc": warc.op9_warc,
     "op10_merkle": merkle.op10_merkle,
