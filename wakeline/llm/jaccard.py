@@ -283,8 +283,12 @@ def links(docs: DataFrame, percent: int = PERCENT, orders: int = ORDERS) -> Data
 
 
 def components(docs: DataFrame, percent: int = PERCENT, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, node, component_id) of every row; ``node`` names its set, null if empty."""
-    data = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+    """(doc_id, print, n_shingles, label, component_id) of every row.
+
+    ``print`` is a hash of the text, ``label`` names the component, and is null for an empty set.
+    """
+    text = F.col(text_column).cast("string")
+    data = docs.select(F.col(id_column).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("print"))
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
         column = batch.column("text")
@@ -292,29 +296,39 @@ def components(docs: DataFrame, percent: int = PERCENT, id_column: str = "doc_id
             values, first = sets_of(column.slice(i, j - i))
             n = np.diff(first)
             node = pa.array(nodes_of(values, first), mask=n == 0)
-            yield {"doc_id": batch.column("doc_id").slice(i, j - i), "n_shingles": n, "node": node}
+            yield {c: batch.column(c).slice(i, j - i) for c in ("doc_id", "print")} | {"n_shingles": n, "node": node}
 
-    rows = stored(by_batch(data, "doc_id long, n_shingles long, node long", work), "nodes")
+    rows = stored(by_batch(data, "doc_id long, print long, n_shingles long, node long", work), "nodes")
     labels = links(data, percent)
     least = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
     least = least.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     # One row per distinct set; those without a link are their own component.
     low = least.groupBy("label").agg(F.min("low").alias("component_id"))
-    named = least.join(low, "label").select("node", F.col("component_id").alias("__component"))
+    named = least.join(low, "label").select("node", "label", F.col("component_id").alias("__component"))
     return rows.join(named, "node", "left").select(
-        "doc_id", "n_shingles", "node", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("__component")).alias("component_id")
+        "doc_id",
+        "print",
+        "n_shingles",
+        "label",
+        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("__component")).alias("component_id"),
     )
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one row of each component: the one with the smallest id. Rows without words all stay."""
-    rows = docs.withColumn("__row", F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("print")))
+    """``docs`` with one row of each component: the one with the smallest id, then hash of its text.
+
+    A null id counts as the greatest. Rows without words all stay.
+    """
+    key, text_print = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)), F.xxhash64("text")
     found = components(docs, percent)
-    keep = found.where("node is not null and component_id <=> doc_id").select("doc_id").distinct()
-    empty = found.where("node is null").select("doc_id").distinct()
-    kept = keep.union(empty).distinct().withColumnRenamed("doc_id", "__id")
-    rows = rows.drop("__row").join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")
-    return rows.select(*docs.columns)
+    first = found.where("label is not null").groupBy("label").agg(F.min(F.struct(key.alias("key"), "print")).alias("m"))
+    empty = found.where("label is null").select(key.alias("__key"), F.col("print").alias("__print")).distinct()
+    chosen = first.select(F.col("m.key").alias("__key"), F.col("m.print").alias("__print"), F.lit(True).alias("__one"))
+    chosen = chosen.union(empty.withColumn("__one", F.lit(False)))
+    rows = docs.withColumns({"__key": key, "__print": text_print}).join(chosen, ["__key", "__print"])
+    # Rows alike in id and text are one component: one of them stays.
+    place = F.row_number().over(Window.partitionBy("__key", "__print").orderBy("__key"))
+    return rows.withColumn("__place", place).where("not __one or __place = 1").select(*docs.columns)
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

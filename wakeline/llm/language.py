@@ -269,9 +269,9 @@ def learned(chains: list, languages: list[str]) -> Model:
     return model
 
 
-def predict(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
-    """``docs`` without the text, with ``lang_pred`` and ``score``."""
-    kept = [c for c in docs.columns if c not in (text_column, "lang_pred", "score")]
+def predict(docs: DataFrame, model: Model, text_column: str = "text", keep_text: bool = False) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score``, without the text unless ``keep_text``."""
+    kept = [c for c in docs.columns if c not in ("lang_pred", "score") and (keep_text or c != text_column)]
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept), "lang_pred string", "score double"])
     names = np.array([*model.languages, UNKNOWN], object)
     cache: dict = {}
@@ -289,7 +289,7 @@ def predict(docs: DataFrame, model: Model, text_column: str = "text") -> DataFra
             columns = {c: batch.column(c).slice(i, j - i) for c in kept}
             yield columns | {"lang_pred": pa.array(names[best], pa.string()), "score": np.clip(score, 0.0, 1.0)}
 
-    return by_batch(docs.select(*kept, text_column), schema, work)
+    return by_batch(docs.select(*dict.fromkeys([*kept, text_column])), schema, work)
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -301,6 +301,6 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_known(docs: DataFrame, least: float = 0.4, id_column: str = "doc_id") -> DataFrame:
     """Rows of ``docs`` whose text has a language at a score of ``least``; learned from their own ``lang``."""
     model = learn(docs.where(~is_held_out(id_column)))
-    named = docs.withColumn("__text", F.col("text"))
-    found = predict(named, model, "__text")
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*docs.columns)
+    found = predict(docs, model, keep_text=True)
+    known = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    return known.select(*docs.columns)
