@@ -198,9 +198,9 @@ def test_flagged_trip_colours_its_cell(frame):
 
 
 def test_approximate_counts(frame):
-    rows = gps_rows(frame)
-    exact = cells.cell_counts(rows, rows.limit(0))
-    rough = cells.cell_counts(rows, rows.limit(0), approx=True)
+    rows = gps_rows(frame).withColumn("anomalous", F.col("tripID") > 1)
+    exact = cells.cell_counts(rows)
+    rough = cells.cell_counts(rows, approx=True)
     key = lambda r: r["cell"]
     assert sorted(exact.collect(), key=key) == sorted(rough.collect(), key=key)
 
@@ -290,6 +290,17 @@ def test_polygons_from_text(spark, tmp_path):
     assert files.daily_polygons(found).first()["colour"] == "#FFFF00"
 
 
+def test_polygons_keep_their_own_colour(spark):
+    """Without a colour, with nested options, with no options, and with text that is no polygon."""
+    text = (
+        'L.polygon([[1, 2], [3, 4]], {"weight": 1}).addTo(m); L.polygon( [[5, 6]] , {"style": {"color": "#111111"}, "color": "#222222"}).addTo(m);'
+        'L.polygon([[7, 8]]).addTo(m); var o = {"color": "#333333"}; L.polygon(points, {"color": "#444444"});'
+    )
+    texts = spark.createDataFrame([("a", text), ("b", None), ("c", "nothing")], "path string, value string")
+    found = {str(r["coordinates"]): r["colour"] for r in files.extract_polygons(texts).collect()}
+    assert found == {"[[1.0, 2.0], [3.0, 4.0]]": None, "[[5.0, 6.0]]": "#222222", "[[7.0, 8.0]]": None}
+
+
 def test_weather_out_of_reach_and_missing_positions(frame):
     rows = frame([("a", "P", "2024-03-01 10:00:00", 1.0, 2.0, 90.0)], "node_name string, signal_instance string, ts string, LAT double, LON double, COG double")
     wind = frame([("a", "2024-03-01 12:00:00", 5.0, 90.0)], "node_name string, time string, wind_speed_10m double, wind_direction_10m double").withColumnRenamed("time", "date")

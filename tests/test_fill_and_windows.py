@@ -175,10 +175,10 @@ def test_fuzzy_aliases(frame):
     assert sorted(got) == sorted(["ENGINE_LOAD", "ENGINE_LOAD", "FUELRATE", "FUELRATE", "zzz"])
 
 
-def test_alias_map_beyond_broadcast(frame):
+def test_alias_map(frame):
     df = frame([("x", DAYT), ("y", DAYT)], "signal_name_alias string, time string")
     mapping = df.select("signal_name_alias").withColumn("resolved", F.upper("signal_name_alias"))
-    got = reshape.apply_alias_map(df, mapping, max_broadcast=1)
+    got = reshape.apply_alias_map(df, mapping)
     assert sorted(r["signal_name_alias"] for r in got.collect()) == ["X", "Y"]
 
 

@@ -108,13 +108,25 @@ def normalise_date(text: str | Column) -> Column:
     return F.date_format(col(text).try_cast("timestamp_ntz"), "yyyy-MM-dd")
 
 
+def _last_slice(start: str | Column, stop: str | Column, step: int) -> Column:
+    return F.greatest(F.ceil(seconds_between(start, stop) / step) - 1, F.lit(0).cast("bigint"))
+
+
+def slice_number(ts: str | Column, start: str | Column, stop: str | Column, days: int) -> Column:
+    """The slice of ``date_slices`` that a time in ``[start, stop]`` lies in; null outside."""
+    step = days * 24 * 3600
+    place = F.least(F.floor(seconds_between(start, ts) / step), _last_slice(start, stop, step))
+    return F.when((col(ts) >= col(start)) & (col(ts) <= col(stop)), place)
+
+
 def date_slices(bounds: DataFrame, start: str, stop: str, days: int) -> DataFrame:
     """Cut each ``[start, stop]`` row into slices of ``days``; the last one is shorter.
 
-    The number of slices is the length of the range over ``days``.
+    The number of slices is the length of the range over ``days``. A slice holds its start; the last one also holds
+    its stop (``slice_number`` places rows so).
     """
     step = days * 24 * 3600
-    cuts = F.sequence(F.lit(0), F.greatest(F.ceil(seconds_between(start, stop) / step) - 1, F.lit(0)))
+    cuts = F.sequence(F.lit(0).cast("bigint"), _last_slice(start, stop, step))
     return bounds.select("*", F.explode(cuts).alias("slice_no")).select(
         "slice_no",
         F.timestamp_add("SECOND", F.col("slice_no") * step, F.col(start)).alias("slice_start"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline.functions import geo, severity
@@ -129,7 +129,11 @@ def trip_summary(
 ) -> DataFrame:
     """Median position, vessels and rounded metrics: all of them in one aggregation."""
     slim = df.select(*dict.fromkeys([*keys, "node_name", ts, *tie, "LAT", "LON", "SOG"]))
-    rows = _with_medians(_with_legs(slim, keys, ts, tie), keys, ts)
+    # Medians come from the rows as they are, so that the look-back is worked out once.
+    medians = median_positions(slim, keys=keys).withColumnsRenamed({"LAT": "_mlat", "LON": "_mlon"})
+    rows = salted_join(_with_legs(slim, keys, ts, tie), medians, keys, [ts], "left")
+    # Where the name is part of the key there is one; else the set of a trip's names.
+    names = F.max("_name").alias("vessels") if "node_name" in keys else _vessels("_name")
     measured = rows.select(
         *rows.columns,
         distance("LAT", "LON", "_mlat", "_mlon").alias("_away"),
@@ -139,7 +143,7 @@ def trip_summary(
     return trip.groupBy(*keys).agg(
         F.max("_mlat").alias("LAT"),
         F.max("_mlon").alias("LON"),
-        _vessels("_name"),
+        names,
         F.round(F.max("_away"), digits).alias("max_distance"),
         F.round(F.max("SOG"), digits).alias("max_speed"),
         F.round(F.coalesce(F.sum("_leg"), F.lit(0.0)), digits).alias("total_distance"),
@@ -147,31 +151,36 @@ def trip_summary(
 
 
 def cell_counts(
-    flagged: DataFrame,
-    normal: DataFrame,
+    rows: DataFrame,
     *,
+    flag: str = "anomalous",
+    by: Sequence[str | Column] = (),
     keys: Sequence[str] = TRIP_KEYS,
     size: float = geo.CELL_SIZE,
     approx: bool = False,
 ) -> DataFrame:
-    """Distinct flagged trips per cell; cells only normal rows touch count 0.
+    """Distinct flagged trips per cell (and ``by``); cells only other rows touch count 0.
 
     The distinct count runs in two aggregations, by (cell, trip) and by cell, so
     a busy harbour cell is spread over its trips. ``approx`` needs only one.
     """
-    trip = F.struct(*keys)
-    rows = flagged.select(geo.hex_cell("LAT", "LON", size).alias("cell"), trip.alias("_t")).unionByName(
-        normal.select(
-            geo.hex_cell("LAT", "LON", size).alias("cell"), F.when(F.lit(False), trip).alias("_t")
-        )
-    )
-    placed = rows.filter(F.col("cell").isNotNull())
+    trip = F.when(F.col(flag), F.struct(*keys)).alias("_t")
+    placed = rows.select(*by, geo.hex_cell("LAT", "LON", size).alias("cell"), trip).filter("cell is not null")
+    group = [c for c in placed.columns if c != "_t"]
     if approx:
-        return placed.groupBy("cell").agg(
+        return placed.groupBy(*group).agg(
             F.approx_count_distinct(F.when(F.col("_t").isNotNull(), F.xxhash64("_t"))).alias("trips")
         )
-    once = placed.groupBy("cell", "_t").agg(F.count(F.lit(1)).alias("_rows"))
-    return once.groupBy("cell").agg(F.count("_t").alias("trips"))
+    return placed.distinct().groupBy(*group).agg(F.count("_t").alias("trips"))
+
+
+def hourly_cells(
+    rows: DataFrame, *, ts: str = "ts", size: float = geo.CELL_SIZE, palette=severity.DARK, **options
+) -> DataFrame:
+    """Coloured cells per ``date`` and ``hour`` of rows with a flag."""
+    when = [F.to_date(ts).alias("date"), F.hour(ts).alias("hour")]
+    counts = cell_counts(rows, by=when, size=size, **options)
+    return counts.withColumn("colour", severity.severity_colour("trips", palette))
 
 
 def box_cells(

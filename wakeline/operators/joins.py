@@ -38,13 +38,6 @@ def salted_join(
     return salted.join(copies, [*keys, _SALT], how).drop(_SALT)
 
 
-def small_lookup(lookup: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast a materialised lookup if it holds at most ``max_rows``, else leave it alone."""
-    if lookup.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(lookup)
-    return lookup
-
-
 def in_interval(
     rows: DataFrame,
     intervals: DataFrame,
@@ -122,9 +115,18 @@ def matched(rows: DataFrame, ids: DataFrame, keys: Sequence[str], spread_by: Seq
     return salted_join(rows, ids.select(*keys).distinct(), keys, spread_by, "left_semi")
 
 
-def unmatched(rows: DataFrame, ids: DataFrame, keys: Sequence[str], spread_by: Sequence[str]) -> DataFrame:
-    """Rows whose key is not listed; an empty list keeps all."""
-    return salted_join(rows, ids.select(*keys).distinct(), keys, spread_by, "left_anti")
+def unmatched(rows: DataFrame, ids: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key is not listed; an empty list keeps all.
+
+    Neither side is copied: keys are made distinct first, and adaptive execution splits what is skewed.
+    """
+    return rows.join(ids.select(*keys).distinct(), list(keys), "left_anti")
+
+
+def marked(rows: DataFrame, ids: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Rows with a boolean column: is the key listed? One join of the rows, where two selections would take two."""
+    listed = ids.select(*keys).distinct().withColumn(name, F.lit(True))
+    return rows.join(listed, list(keys), "left").withColumn(name, F.coalesce(name, F.lit(False)))
 
 
 def rename_clashes(

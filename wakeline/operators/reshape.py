@@ -19,10 +19,8 @@ from wakeline.functions.timeops import (
     round_half_even,
     time_of_day,
 )
-from wakeline.operators.joins import salted_join, small_lookup
 from wakeline.session import stored
 
-MAX_BROADCAST_ALIASES = 100_000
 
 
 def pivot_first(
@@ -148,20 +146,9 @@ def alias_map(
     )
 
 
-def apply_alias_map(
-    df: DataFrame,
-    mapping: DataFrame,
-    *,
-    alias: str = "signal_name_alias",
-    max_broadcast: int = MAX_BROADCAST_ALIASES,
-    spread_by: Sequence[str] = ("time",),
-) -> DataFrame:
-    """Replace aliases by a materialised map: broadcast while small, else a salted join."""
-    small = small_lookup(mapping, max_broadcast)
-    if small is not mapping:
-        joined = df.join(small, alias, "left")
-    else:
-        joined = salted_join(df, mapping, [alias], spread_by, "left")
+def apply_alias_map(df: DataFrame, mapping: DataFrame, *, alias: str = "signal_name_alias") -> DataFrame:
+    """Replace aliases by a stored map; Spark chooses the join by its size and splits skewed aliases."""
+    joined = df.join(mapping, alias, "left")
     return joined.withColumn(alias, F.coalesce("resolved", alias)).select(*df.columns)
 
 
@@ -171,11 +158,10 @@ def resolve_aliases(
     alias: str = "signal_name_alias",
     signals: Sequence[str] = schema.SIGNALS,
     cutoff: float = schema.FUZZY_CUTOFF,
-    spread_by: Sequence[str] = ("time",),
 ) -> DataFrame:
     """Fuzzy signal names to known ones; the map is built once over distinct names."""
     mapping = stored(alias_map(df, alias=alias, signals=signals, cutoff=cutoff), "aliases")
-    return apply_alias_map(df, mapping, alias=alias, spread_by=spread_by)
+    return apply_alias_map(df, mapping, alias=alias)
 
 
 def best_match_levenshtein(
@@ -202,6 +188,12 @@ def best_match_levenshtein(
     )
 
 
+def dates_of(daily: DataFrame, date: str = "date") -> list[str]:
+    """Every date of a daily table in order: one per day on record."""
+    found = daily.select(col(date).cast("string").alias("d")).filter("d is not null").distinct()
+    return sorted(r["d"] for r in found.collect())
+
+
 def error_matrix(
     daily: DataFrame, features: Sequence[str], *, date: str = "date", long: bool = False,
     dates: Sequence[str] = (),
@@ -209,7 +201,7 @@ def error_matrix(
     """Heatmap data: feature by date.
 
     ``long`` gives ``(feature, date, value)``, the form that scales; the wide form
-    has one column for each of the ``dates`` asked for.
+    has one column for each of the ``dates`` (all of them: ``dates_of``).
     """
     keys = [c for c in daily.columns if c not in (*features, date)]
     melted = daily.select(*keys, date, *features).unpivot(

@@ -16,7 +16,7 @@ from wakeline import schema
 from wakeline.functions import geo
 from wakeline.functions import values as V
 from wakeline.operators.features import apply_min_max, fit_min_max
-from wakeline.operators.joins import matched, unmatched
+from wakeline.operators.joins import marked
 from wakeline.operators.sequences import flatten_sequences, number_sequences, pad_sequences, to_sequences
 
 Scorer = Callable[[np.ndarray], np.ndarray]
@@ -235,11 +235,11 @@ def flagged_trips(scored: DataFrame, keys: Sequence[str] = ("node_name", "tripID
     return scored.filter("anomaly = 1").select(*keys).distinct()
 
 
-def split_by_flag(
-    df: DataFrame, flagged: DataFrame, *, keys: Sequence[str] = ("node_name", "tripID"), ts: str = "ts"
-) -> tuple[DataFrame, DataFrame]:
-    """Rows of flagged trips, and all others."""
-    return matched(df, flagged, keys, [ts]), unmatched(df, flagged, keys, [ts])
+def mark_flagged(
+    df: DataFrame, flagged: DataFrame, *, keys: Sequence[str] = ("node_name", "tripID"), name: str = "anomalous"
+) -> DataFrame:
+    """Rows with a column that tells those of flagged trips from all others."""
+    return marked(df, flagged, keys, name)
 
 
 def window_trips(

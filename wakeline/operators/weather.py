@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.functions import geo
@@ -37,6 +37,33 @@ def node_spans(df: DataFrame, *, ts: str = "ts") -> DataFrame:
     )
 
 
+def _on_half(ts: str) -> Column:
+    """Is the time exactly half past?"""
+    return F.col(ts) == F.date_trunc("hour", F.col(ts)).cast("timestamp_ntz") + F.expr("INTERVAL 30 MINUTE")
+
+
+def _slot(ts: str) -> Column:
+    """What a row looks for: its nearest hour, or, half past, that instant itself, as two hours are equally near."""
+    return F.when(_on_half(ts), F.col(ts)).otherwise(nearest_hour(ts))
+
+
+def _slots(readings: DataFrame) -> DataFrame:
+    """One reading per vessel and slot. Half past takes the later hour, or where that is missing the earlier one."""
+    payload = [c for c in readings.columns if c not in ("node_name", "_reading_ts")]
+    at = F.col("_reading_ts")
+    half = F.expr("INTERVAL 30 MINUTE")
+    places = F.array(
+        F.struct(at.alias("at"), F.lit(0).alias("order")),
+        F.struct((at - half).alias("at"), F.lit(0).alias("order")),
+        F.struct((at + half).alias("at"), F.lit(1).alias("order")),
+    )
+    placed = readings.select("node_name", *payload, F.explode(places).alias("_p"))
+    best = placed.groupBy("node_name", F.col("_p.at").alias("_reading_ts")).agg(
+        F.min(F.struct("_p.order", *payload)).alias("_best")
+    )
+    return best.select("node_name", "_reading_ts", *(F.col(f"_best.{c}").alias(c) for c in payload))
+
+
 def add_weather(
     df: DataFrame,
     weather: DataFrame,
@@ -46,8 +73,9 @@ def add_weather(
 ) -> DataFrame:
     """Wind of the nearest reading within half an hour, and the alignment to the course.
 
-    ``weather`` has ``node_name, date, wind_speed_10m, wind_direction_10m``. Full
-    hours without gaps need an equi-join only; ``hourly=False`` takes any grid.
+    ``weather`` has ``node_name, date, wind_speed_10m, wind_direction_10m``, in any number per instant (the
+    smallest counts). Readings on full hours need an equi-join only, gaps in them or not; ``hourly=False``
+    takes readings at any times.
     Without positions the weather columns are null.
     """
     if "LAT" not in df.columns or "LON" not in df.columns:
@@ -57,8 +85,8 @@ def add_weather(
         "node_name", F.col("date").alias("_reading_ts"), "wind_speed_10m", "wind_direction_10m"
     )
     if hourly:
-        placed = df.withColumn("_reading_ts", nearest_hour(ts))
-        joined = placed.join(readings, ["node_name", "_reading_ts"], "left")
+        placed = df.withColumn("_reading_ts", _slot(ts))
+        joined = placed.join(_slots(readings), ["node_name", "_reading_ts"], "left")
     else:
         joined = nearest_in_time(
             df, readings, key="node_name", ts=ts, reading_ts="_reading_ts"

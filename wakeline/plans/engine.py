@@ -13,6 +13,10 @@ from wakeline.operators import impute, joins, reshape, trips, weather
 from wakeline.session import stored
 
 
+#: Stands for an absent measurement or alias.
+UNNAMED = ""
+
+
 def trip_signals(signals: DataFrame, intervals: DataFrame, **options) -> DataFrame:
     """Every measurement inside the trips of its vessel."""
     hit = joins.in_interval(signals, intervals, **options)
@@ -74,7 +78,7 @@ def trip_filled(
 def measurement_map(
     signals: DataFrame, *, group: str, alias: str = "signal_name_alias"
 ) -> DataFrame:
-    """Per measurement and alias: is it a position, and which signal is meant.
+    """Per measurement and alias: is it a position, and which signal is meant. ``group`` has no nulls.
 
     One aggregation over three columns; a few rows come out, stored.
     """
@@ -100,6 +104,7 @@ def engine_table(
     gap_seconds: int = schema.TRIP_GAP_SECONDS,
     min_minutes: float = schema.MIN_TRIP_MINUTES,
     tie: Sequence[str] = (),
+    hourly_weather: bool = True,
 ) -> DataFrame:
     """The whole batch job.
 
@@ -115,13 +120,11 @@ def engine_table(
         tie=tie,
     )
     alias = "signal_name_alias"
+    # Rows that name no measurement are one of their own, instead of none.
+    signals = signals.withColumns({group: F.coalesce(group, F.lit(UNNAMED)), alias: F.coalesce(alias, F.lit(UNNAMED))})
     lookup = measurement_map(signals, group=group)
-    small = joins.small_lookup(lookup, reshape.MAX_BROADCAST_ALIASES)
-    keys = [group, alias]
-    if small is lookup:
-        named = joins.salted_join(signals, lookup, keys, ["time"], "left")
-    else:
-        named = signals.join(small, keys, "left")
+    # The lookup is stored, so Spark knows its size and picks the join; a skewed key is split while it runs.
+    named = signals.join(lookup, [group, alias], "left")
     known = named.withColumn(alias, F.coalesce("resolved", alias)).drop("resolved")
     inside = trip_signals(known, intervals)
     sided = inside.withColumn(
@@ -152,4 +155,4 @@ def engine_table(
         bounded=True,
     )
     merged = weather.merge_positions(lasting, geo_filled)
-    return weather.add_weather(merged, wind)
+    return weather.add_weather(merged, wind, hourly=hourly_weather)

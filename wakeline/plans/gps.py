@@ -56,9 +56,9 @@ def map_tables(
         scoring.gps_features(trimmed), model, rows=rows, threshold=threshold
     )
     flagged = stored(scoring.flagged_trips(scored), "flagged")
-    anomalous, normal = scoring.split_by_flag(trimmed, flagged)
-    counts = cells.cell_counts(anomalous, normal, size=size)
-    return cells.coloured_cells(counts, palette=palette, size=size), cells.trip_summary(anomalous)
+    rows_ = scoring.mark_flagged(trimmed, flagged)
+    counts = cells.cell_counts(rows_, size=size)
+    return cells.coloured_cells(counts, palette=palette, size=size), cells.trip_summary(rows_.filter("anomalous"))
 
 
 def daily_map(hourly: DataFrame) -> DataFrame:

@@ -23,9 +23,12 @@ from wakeline.registry.base import (
     with_,
 )
 from wakeline.session import fresh_path
-from wakeline.sources import events, files, scans, tables
+from wakeline.sources import events, files, scans, tables, weather
 
-_TABLES = ("events", "orders", "lineitem", "customer")
+_TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
 
 
 @query(
@@ -212,6 +215,24 @@ def s13(spark, folder):
     return events.weather(spark, folder)
 
 
+@query(
+    "s13_weather_table",
+    with_(TEL)
+    + """SELECT node_name, date_trunc('hour', time) AS date, arg_min(value, (time, value)) AS wind_speed_10m,
+      arg_min(value % 360, (time, value)) AS wind_direction_10m
+    FROM tel WHERE signal_name_alias = 'SOG' AND value IS NOT NULL GROUP BY ALL""",
+)
+def s13_table(spark, folder):
+    """A weather table at odd times (the speed rows), written, read and brought to full hours."""
+    path = fresh_path(spark, "weather")
+    rows = events.telemetry(spark, folder).filter("signal_name_alias = 'SOG' and value is not null")
+    rows.select(
+        "node_name", F.col("time").alias("date"), F.col("value").alias("wind_speed_10m"),
+        (F.col("value") % 360).alias("wind_direction_10m"),
+    ).write.parquet(path)
+    return weather.read_weather(spark, path)
+
+
 @query(
     "s14_whole_text",
     "SELECT page_id // 50 AS bundle, CAST(sum(length(html) + 1) AS BIGINT) AS chars FROM pages GROUP BY 1",

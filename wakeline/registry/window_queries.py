@@ -452,7 +452,8 @@ def f09(spark, folder):
     s AS (SELECT i AS slice_no, a + i * INTERVAL 13 DAY AS slice_start, least(a + (i + 1) * INTERVAL 13 DAY, z) AS slice_stop
       FROM b, unnest(generate_series(0, CAST(ceil(date_diff('day', a, z) / 13e0) AS BIGINT) - 1)) t(i))
     SELECT slice_no, slice_start, slice_stop, (SELECT count(*) FROM orders
-      WHERE o_orderdate >= slice_start AND o_orderdate < slice_stop) AS orders FROM s""",
+      WHERE o_orderdate >= slice_start AND (o_orderdate < slice_stop OR o_orderdate = (SELECT z FROM b) AND slice_stop = (SELECT z FROM b))) AS orders
+    FROM s""",
 )
 def f10(spark, folder):
     """Slices of 13 days over the table's range, and the rows in each."""
@@ -463,8 +464,7 @@ def f10(spark, folder):
     last = bounds.select("z").scalar()
     placed = (
         rows.withColumns({"_a": first, "_z": last})
-        .filter(F.col("o_orderdate") < F.col("_z"))
-        .groupBy(F.floor(tm.seconds_between("_a", "o_orderdate") / (13 * 86400)).cast("int").alias("slice_no"))
+        .groupBy(tm.slice_number("o_orderdate", "_a", "_z", 13).alias("slice_no"))
         .agg(F.count(F.lit(1)).alias("orders"))
     )
     out = slices.join(placed, "slice_no", "left").na.fill(0, subset=["orders"])

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +33,18 @@ def _csv(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     )
 
 
+def _has_raw_files(spark: SparkSession, path: str, derived: Sequence[str]) -> bool:
+    """Is there a CSV file that is not a derived one, with rows or without? Contents are not read."""
+    found = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.csv")
+        .load(path)
+        .select(F.element_at(F.split("path", "/"), -1).alias("name"))
+    )
+    return not found.filter(~F.col("name").isin(*derived)).isEmpty()
+
+
 def read_csv_folder(
     spark: SparkSession, path: str, *, derived: Sequence[str] = DERIVED_FILES
 ) -> DataFrame:
@@ -44,8 +57,7 @@ def read_csv_folder(
     lines = _csv(spark, path, "*.csv").withColumns(
         {"file": F.col("_metadata.file_path"), "_name": F.col("_metadata.file_name")}
     )
-    raw = lines.filter(~F.col("_name").isin(*derived))
-    chosen = lines if raw.isEmpty() else raw
+    chosen = lines.filter(~F.col("_name").isin(*derived)) if _has_raw_files(spark, path, derived) else lines
     return chosen.select(
         parse_timestamp("time").alias("time"),
         "node_id",
@@ -134,21 +146,43 @@ def read_texts(spark: SparkSession, path: str, *, pattern: str = "*.html") -> Da
     )
 
 
-# Fixed value: how a saved map spells a polygon, its ring and its colour.
-POLYGON = r'(?s)L\.polygon\(\s*(\[\[.*?\]\])\s*,\s*\{.*?"color":\s*"(#[0-9A-Fa-f]{6})".*?\}\s*\)\.addTo\('
+# The call that draws a polygon in a saved map, and its colour option.
+POLYGON_CALL = "L.polygon("
+COLOUR_OPTION = "color"
 
 
 def extract_polygons(texts: DataFrame, *, text: str = "value") -> DataFrame:
-    """One row per polygon: ``ring`` text, parsed ``coordinates`` and ``colour``."""
-    rings = F.regexp_extract_all(text, F.lit(POLYGON), 1)
-    colours = F.regexp_extract_all(text, F.lit(POLYGON), 2)
+    """One row per polygon: ``ring`` text, parsed ``coordinates`` and ``colour`` (null where it has none).
+
+    The text is split at the drawing calls, so that no polygon can take what belongs to the next. A call's first
+    argument is JSON and so is the second; the JSON reader finds where each ends, whatever is nested in it.
+    """
     keys = [c for c in texts.columns if c != text]
-    pairs = F.arrays_zip(rings.alias("ring"), colours.alias("colour"))
-    return texts.select(*keys, F.inline(pairs)).withColumn(
-        "coordinates", F.from_json("ring", "array<array<double>>")
+    # Whatever precedes the first call is no polygon.
+    calls = F.slice(F.split(text, re.escape(POLYGON_CALL)), 2, 1 << 30)
+    rows = texts.select(*keys, F.explode(calls).alias("_call")).withColumn("_call", F.ltrim(_flat("_call")))
+    rows = rows.withColumns(
+        {
+            "ring": F.concat(F.substring_index("_call", "]]", 1), F.lit("]]")),
+            "coordinates": F.from_json("_call", "array<array<double>>"),
+        }
+    )
+    rest = F.ltrim(F.expr("substring(_call, length(ring) + 1)"))
+    options = F.ltrim(F.expr("substring(_rest, 2)"))
+    colour = F.from_json(options, f"`{COLOUR_OPTION}` string")[COLOUR_OPTION]
+    return (
+        rows.withColumn("_rest", rest)
+        .withColumn("colour", F.when(F.col("_rest").startswith(",") & options.startswith("{"), colour))
+        .filter(F.col("_call").startswith("[") & F.col("coordinates").isNotNull())
+        .select(*keys, "ring", "colour", "coordinates")
     )
 
 
+def _flat(text: str) -> Column:
+    """Line breaks and tabs as blanks, which JSON does not mind."""
+    return F.translate(text, "\n\r\t", "   ")
+
+
 def daily_polygons(polygons: DataFrame) -> DataFrame:
     """Worst colour per ring over all maps."""
     return polygons.groupBy("ring").agg(

@@ -31,9 +31,10 @@ def read_error_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def new_errors(stored: DataFrame, incoming: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
-    """Incoming rows whose key is not stored, one per key."""
+    """Incoming rows whose key is not stored, one per key. A row whose key is not complete is refused: it could not
+    be recognised again."""
     payload = [c for c in incoming.columns if c not in key]
-    unique = first_per_key(incoming, key, payload)
+    unique = first_per_key(incoming.dropna(subset=list(key)), key, payload)
     return unique.join(stored.select(*key), list(key), "left_anti")
 
 
