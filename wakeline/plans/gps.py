@@ -61,6 +61,24 @@ def map_tables(
     return cells.coloured_cells(counts, palette=palette, size=size), cells.trip_summary(rows_.filter("anomalous"))
 
 
+def hourly_map_table(
+    gps: DataFrame,
+    model: scoring.Scorer,
+    *,
+    rows: int = schema.GPS_WINDOW_ROWS,
+    threshold: float = schema.GPS_SCORE_THRESHOLD,
+    size: float = geo.CELL_SIZE,
+    palette=severity.DARK,
+) -> DataFrame:
+    """Coloured cells per date and hour of a GPS table, flagged by the model."""
+    trimmed = stored(sequences.trim_to_multiple(gps, rows, keys=TRIP_KEYS).drop("row_no"), "whole")
+    scored = scoring.score_windows(
+        scoring.gps_features(trimmed), model, rows=rows, threshold=threshold
+    )
+    marked = scoring.mark_flagged(trimmed, scoring.flagged_trips(scored))
+    return cells.hourly_cells(marked, size=size, palette=palette)
+
+
 def daily_map(hourly: DataFrame) -> DataFrame:
     """Worst colour per date and cell over the hourly map table."""
     return cells.worst_colour(hourly.filter(F.col("cell").isNotNull()))

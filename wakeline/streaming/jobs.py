@@ -13,6 +13,10 @@ from wakeline.functions.timeops import round_time
 from wakeline.sources.files import replace_partitions
 
 
+#: A time no reading has.
+FAR_AHEAD = "2999-01-01 00:00:00"
+
+
 def stream_table(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """A parquet table as a stream, be it a folder of files or a single file."""
     batch = spark.read.parquet(path)
@@ -77,6 +81,27 @@ def distinct_stream(
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+def flush_row(spark: SparkSession, path: str, schema_of: DataFrame, ts: str = "ts") -> None:
+    """Put a last file into a stream's folder whose only row lies far ahead of all others.
+
+    It moves the watermark past everything, so that periods and sessions still open come out. The row itself has
+    nothing but its time and never comes out, as nothing later closes its own period.
+    """
+    fields = schema_of.schema.fields
+    kind = schema_of.schema[ts].dataType
+    row = spark.range(1).select(
+        *((F.lit(FAR_AHEAD).cast(kind) if f.name == ts else F.lit(None).cast(f.dataType)).alias(f.name) for f in fields)
+    )
+    row.coalesce(1).write.mode("append").parquet(path)
+
+
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that came later than the watermark allows and were left out of the state, by the last progress reports."""
+    return sum(
+        int(state["numRowsDroppedByWatermark"]) for p in query.recentProgress for state in p["stateOperators"]
+    )
+
+
 def run_available(
     df: DataFrame, path: str, checkpoint: str, *, mode: str = "append", partition_by: Sequence[str] = ()
 ) -> StreamingQuery:
@@ -102,18 +127,22 @@ def refresh(
     *,
     ts: str = "time",
     every: str | None = None,
+    small: bool = False,
 ) -> StreamingQuery:
     """Re-run a batch job for every hour that received rows.
 
-    A pull is first stored under its date and batch number, as its tasks hold it;
-    then the whole hours it touches are read back (pruned to their dates), passed
-    through ``body``, and their ``date``/``hour`` partitions replaced. Late rows therefore complete their hour, and a repeated
-    batch changes nothing. Runs once over everything available, or ``every`` so
-    often (``"1 hour"``) until stopped.
+    A pull is first stored under its date and its name (the stream's id and the batch number, so that a stream
+    started anew does not overwrite another's pulls); then the whole hours it touches are read back (pruned to their dates),
+    passed through ``body``, and their ``date``/``hour`` partitions replaced. Late rows therefore complete
+    their hour, and a repeated batch changes nothing. ``small`` is for bodies that give few rows an hour. Runs
+    once over everything available, or ``every`` so often (``"1 hour"``) until stopped; ``compact`` joins a
+    landing folder's files.
     """
+    run = F.md5(F.lit(checkpoint))
 
     def step(batch: DataFrame, number: int) -> None:
-        placed = batch.withColumns({"date": F.to_date(ts), "hour": F.hour(ts), "pull": F.lit(number)})
+        name = F.concat(F.substring(run, 1, 12), F.lit(f"-{number}"))
+        placed = batch.withColumns({"date": F.to_date(ts), "hour": F.hour(ts), "pull": name})
         (
             placed.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -121,9 +150,9 @@ def refresh(
             .parquet(landing)
         )
         stored = batch.sparkSession.read.schema(placed.schema).parquet(landing)
-        touched = stored.filter(F.col("pull") == number).select("date", "hour").distinct()
+        touched = stored.filter(F.col("pull") == name).select("date", "hour").distinct()
         hours = stored.join(touched, ["date", "hour"], "left_semi").drop("pull")
-        replace_partitions(body(hours), path, ["date", "hour"], small=True)
+        replace_partitions(body(hours), path, ["date", "hour"], small=small)
 
     writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     if every is None:
@@ -133,6 +162,19 @@ def refresh(
     return writer.trigger(processingTime=every).start()
 
 
+def hourly_maps(model, *, rows: int, threshold: float, signals_to_table: Callable[[DataFrame], DataFrame], **options):
+    """The hourly disruption job as a ``body`` for ``refresh``: wide rows, scores, flags, coloured cells.
+
+    Trips and windows are those of the rows at hand, hour by hour, as a map shows one hour.
+    """
+    from wakeline.plans import gps
+
+    def body(hours: DataFrame) -> DataFrame:
+        return gps.hourly_map_table(signals_to_table(hours), model, rows=rows, threshold=threshold, **options)
+
+    return body
+
+
 def map_of_hour(table: DataFrame, date, hour: int) -> DataFrame:
     """One archived map: a partition-pruned read."""
     return table.filter((F.col("date") == F.lit(date).cast("date")) & (F.col("hour") == hour))
