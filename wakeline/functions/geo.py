@@ -44,7 +44,7 @@ def haversine_nm(lat1, lon1, lat2, lon2) -> Column:
 def ellipsoidal_nm(lat1, lon1, lat2, lon2) -> Column:
     """WGS-84 distance in nautical miles (Vincenty's inverse formula), Arrow-batched.
 
-    Nearly antipodal pairs, where the iteration does not settle, give null.
+    Nearly antipodal pairs, where the iteration does not settle, give the great circle instead.
     """
     major, flat, per_mile = WGS84_A, WGS84_F, METRES_PER_NM
 
@@ -92,7 +92,10 @@ def ellipsoidal_nm(lat1, lon1, lat2, lon2) -> Column:
             )
             metres = minor * big_a * (sigma - fix)
         metres = np.where(sin_s == 0, 0.0, metres)
-        metres = np.where(step > 1e-9, np.nan, metres)
+        # Nearly antipodal points, where the iteration does not settle: the great circle, within 0.6 percent.
+        half = np.sin((p2 - p1) / 2) ** 2 + np.cos(p1) * np.cos(p2) * np.sin(span / 2) ** 2
+        round_earth = 2 * (2 * major + minor) / 3 * np.arcsin(np.sqrt(np.clip(half, 0, 1)))
+        metres = np.where(step > 1e-9, round_earth, metres)
         out = pd.Series(metres / per_mile)
         return out.where(out.notna(), None).astype("float64")
 

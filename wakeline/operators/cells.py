@@ -175,10 +175,16 @@ def cell_counts(
 
 
 def hourly_cells(
-    rows: DataFrame, *, ts: str = "ts", size: float = geo.CELL_SIZE, palette=severity.DARK, **options
+    rows: DataFrame,
+    *,
+    ts: str = "ts",
+    when: Sequence[str | Column] = (),
+    size: float = geo.CELL_SIZE,
+    palette=severity.DARK,
+    **options,
 ) -> DataFrame:
-    """Coloured cells per ``date`` and ``hour`` of rows with a flag."""
-    when = [F.to_date(ts).alias("date"), F.hour(ts).alias("hour")]
+    """Coloured cells per ``date`` and ``hour`` of rows with a flag; ``when`` replaces the two of ``ts``."""
+    when = when or [F.to_date(ts).alias("date"), F.hour(ts).alias("hour")]
     counts = cell_counts(rows, by=when, size=size, **options)
     return counts.withColumn("colour", severity.severity_colour("trips", palette))
 

@@ -176,25 +176,39 @@ def best_bottleneck(errors: DataFrame) -> int:
 
 # --- disrupted positions -----------------------------------------------------------------
 
+# Fixed value: the order of the model's inputs.
 GPS_FEATURES = ("LAT_Delta", "LON_Delta", "RPM", "COG", "SOG", "CELL")
 
 
-def gps_features(df: DataFrame) -> DataFrame:
+def gps_ranges(df: DataFrame) -> DataFrame:
+    """Least and greatest of the scaled features, one row, to be kept with a model."""
+    return fit_min_max(_gps_copies(df), _gps_scaled())
+
+
+def _gps_scaled() -> list[str]:
+    return [f"{f}_x" for f in GPS_FEATURES if f != "COG"]
+
+
+def gps_features(df: DataFrame, ranges: DataFrame | None = None) -> DataFrame:
     """Model columns: running flag, cosine of the course, the rest scaled to 0..1.
 
-    Results get the suffix ``_x``; the originals stay for the map.
+    Results get the suffix ``_x``; the originals stay for the map. ``ranges`` are those the model was trained
+    with; without them the rows at hand give theirs.
     """
+    copies = _gps_copies(df)
+    return apply_min_max(copies, fit_min_max(copies, _gps_scaled()) if ranges is None else ranges, _gps_scaled())
+
+
+def _gps_copies(df: DataFrame) -> DataFrame:
     present = V.ensure_columns(df, ["RPM"], 0.0)
     scaled = [f for f in GPS_FEATURES if f != "COG"]
-    copies = present.withColumns(
+    return present.withColumns(
         {
             **{f"{f}_x": F.col(f).cast("double") for f in scaled if f != "RPM"},
             "RPM_x": V.is_running("RPM").cast("double"),
             "COG_x": geo.cos_degrees("COG"),
         }
     )
-    names = [f"{f}_x" for f in scaled]
-    return apply_min_max(copies, fit_min_max(copies, names), names)
 
 
 def score_windows(

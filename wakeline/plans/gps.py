@@ -62,21 +62,31 @@ def map_tables(
 
 
 def hourly_map_table(
-    gps: DataFrame,
+    hours: DataFrame,
     model: scoring.Scorer,
+    ranges: DataFrame,
     *,
     rows: int = schema.GPS_WINDOW_ROWS,
     threshold: float = schema.GPS_SCORE_THRESHOLD,
+    gap_seconds: int = schema.GPS_GAP_SECONDS,
     size: float = geo.CELL_SIZE,
     palette=severity.DARK,
 ) -> DataFrame:
-    """Coloured cells per date and hour of a GPS table, flagged by the model."""
-    trimmed = stored(sequences.trim_to_multiple(gps, rows, keys=TRIP_KEYS).drop("row_no"), "whole")
-    scored = scoring.score_windows(
-        scoring.gps_features(trimmed), model, rows=rows, threshold=threshold
-    )
+    """From long signals with ``date`` and ``hour`` to coloured cells of each hour.
+
+    Each hour is worked on for itself, whatever other hours come with it: the hour is part of the vessel's key, trips
+    and windows end with it, and a row belongs to the hour it was received for even if rounding moves its time.
+    ``ranges`` are the model's (``scoring.gps_ranges``).
+    """
+    hour = F.concat("node_name", F.lit("@"), F.col("date").cast("string"), F.lit("@"), F.col("hour").cast("string"))
+    table = gps_table(hours.withColumn("node_name", hour).drop("date", "hour"), gap_seconds=gap_seconds)
+    trimmed = stored(sequences.trim_to_multiple(table, rows, keys=TRIP_KEYS).drop("row_no"), "whole")
+    features = scoring.gps_features(trimmed, ranges)
+    scored = scoring.score_windows(features, model, rows=rows, threshold=threshold)
     marked = scoring.mark_flagged(trimmed, scoring.flagged_trips(scored))
-    return cells.hourly_cells(marked, size=size, palette=palette)
+    parts = F.split("node_name", "@")
+    when = [F.element_at(parts, -2).cast("date").alias("date"), F.element_at(parts, -1).cast("int").alias("hour")]
+    return cells.hourly_cells(marked, when=when, size=size, palette=palette)
 
 
 def daily_map(hourly: DataFrame) -> DataFrame:

@@ -12,11 +12,13 @@ from wakeline.registry import frames
 from wakeline.registry.base import (
     ENGINE,
     ENGINE_CHAIN,
+    GPS_LONG,
     HOURS2,
     SIDE,
     TEL,
     WX_ONLY,
     bucket,
+    gps_chain,
     hex_sql,
     number_trips,
     query,
@@ -27,7 +29,7 @@ from wakeline.registry.base import (
 from wakeline.registry.frames import TIE
 from wakeline.registry.join_queries import _FLAG, _METRICS, GPS, HOURLY, hourly_cells
 from wakeline.session import fresh_path, stored
-from wakeline.sources import events, files
+from wakeline.sources import events, files, scans
 from wakeline.streaming import jobs
 
 # --- incremental -------------------------------------------------------------------------
@@ -81,6 +83,50 @@ def t03(spark, folder):
     return rounded(out.select("date", "hour", "node_name", "n_rows", "value"), "value")
 
 
+#: Ranges a model was trained with: fixed, so that an hour's map does not depend on other hours.
+_RANGES = {"LAT_Delta_x": (-15, 15), "LON_Delta_x": (-15, 15), "RPM_x": (0, 1), "SOG_x": (0, 500), "CELL_x": (0, 500)}
+_HOUR_ROWS = 2
+
+
+@query(
+    "t03_hourly_maps",
+    with_(
+        gps_chain(
+            GPS_LONG
+            + ", hourly_long AS (SELECT * REPLACE (node_name || '@' || CAST(CAST(time AS DATE) AS VARCHAR) || '@' || hour(time) AS node_name) FROM gps_long)",
+            "hourly_long",
+        ),
+        f"""numbered AS (SELECT *, row_number() OVER (PARTITION BY node_name, tripID ORDER BY ts) AS row_no,
+          count(*) OVER (PARTITION BY node_name, tripID) AS total FROM gps),
+        trimmed AS (SELECT * EXCLUDE (total) FROM numbered WHERE row_no <= total - total % {_HOUR_ROWS}),
+        hot AS (SELECT DISTINCT node_name, tripID FROM (SELECT node_name, tripID, avg(SOG / 500e0) AS score FROM trimmed
+          GROUP BY node_name, tripID, (row_no - 1) // {_HOUR_ROWS}) WHERE score >= 0.3e0),
+        placed AS ({hex_sql('LAT', 'LON', 'trimmed', '* EXCLUDE (CELL)')}),
+        maps AS (SELECT CAST(split_part(p.node_name, '@', 2) AS DATE) AS date, CAST(split_part(p.node_name, '@', 3) AS INTEGER) AS hour, cell,
+          count(DISTINCT CASE WHEN h.tripID IS NOT NULL THEN (p.node_name, p.tripID) END) AS trips
+          FROM placed p LEFT JOIN hot h ON h.node_name = p.node_name AND h.tripID = p.tripID WHERE cell IS NOT NULL GROUP BY ALL)""",
+    )
+    + "SELECT *, CASE WHEN trips > 1 THEN '#910606' WHEN trips = 1 THEN '#FFFF00' ELSE '#086e1f' END AS colour FROM maps",
+)
+def t03_maps(spark, folder):
+    """The hourly disruption job over a stream in several batches with late rows: each hour's map is that of all its rows."""
+    base = fresh_path(spark, "hourly-maps")
+    ranges = spark.range(1).select(
+        *(F.lit(float(v)).alias(f"{f}_{end}") for f, pair in _RANGES.items() for end, v in zip(("min", "max"), pair))
+    )
+
+    def body(rows):
+        long = scans.gps_scan(events.as_positions(rows), [events.as_gps_signals(rows)])
+        hours = long.withColumns({"date": F.to_date("time"), "hour": F.hour("time")})
+        return gps.hourly_map_table(hours, _speed_model(), ranges, rows=_HOUR_ROWS, threshold=0.3, gap_seconds=HOURS2)
+
+    source = stored_batches(spark, folder, base)
+    stream = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/in")
+    jobs.refresh(stream, body, f"{base}/landing", f"{base}/out", f"{base}/checkpoint", ts="ts")
+    out = spark.read.schema("cell string, trips bigint, colour string, date date, hour int").parquet(f"{base}/out")
+    return out.select("date", "hour", "cell", "trips", "colour")
+
+
 @query(
     "t04_catch_up",
     with_(TEL)
@@ -101,11 +147,8 @@ def t04(spark, folder):
     return upsert.catch_up(old, new)
 
 
-def _many_batches(spark, folder, base):
-    """The events as several files whose order is not that of time, and a last file that closes everything.
-
-    A seventh of the rows comes in a later file than its neighbours in time, up to days late.
-    """
+def stored_batches(spark, folder, base):
+    """The events as several files whose order is not that of time: a seventh comes in a later file than its neighbours."""
     rows = events.table(spark, folder, "events")
     late = (F.pmod("event_id", F.lit(7)) == 0).cast("int")
     week = F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(3))
@@ -113,6 +156,13 @@ def _many_batches(spark, folder, base):
     path = f"{base}/in"
     for part in range(4):
         placed.filter(F.col("_part") == part).drop("_part").coalesce(1).write.mode("append").parquet(path)
+    return rows
+
+
+def _many_batches(spark, folder, base):
+    """The stored batches as a stream, with a last file that closes everything."""
+    rows = stored_batches(spark, folder, base)
+    path = f"{base}/in"
     jobs.flush_row(spark, path, rows)
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
     return jobs.event_time(events.as_telemetry(stream))

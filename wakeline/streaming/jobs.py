@@ -162,19 +162,6 @@ def refresh(
     return writer.trigger(processingTime=every).start()
 
 
-def hourly_maps(model, *, rows: int, threshold: float, signals_to_table: Callable[[DataFrame], DataFrame], **options):
-    """The hourly disruption job as a ``body`` for ``refresh``: wide rows, scores, flags, coloured cells.
-
-    Trips and windows are those of the rows at hand, hour by hour, as a map shows one hour.
-    """
-    from wakeline.plans import gps
-
-    def body(hours: DataFrame) -> DataFrame:
-        return gps.hourly_map_table(signals_to_table(hours), model, rows=rows, threshold=threshold, **options)
-
-    return body
-
-
 def map_of_hour(table: DataFrame, date, hour: int) -> DataFrame:
     """One archived map: a partition-pruned read."""
     return table.filter((F.col("date") == F.lit(date).cast("date")) & (F.col("hour") == hour))
