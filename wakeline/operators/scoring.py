@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,6 +124,17 @@ def save_reconstruction(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+def save_bundle(model: PipelineModel, ranges: DataFrame, threshold: float, path: str) -> None:
+    """A model with the ranges its inputs are scaled by and the threshold of its verdicts, in one folder."""
+    save_reconstruction(model, f"{path}/model")
+    ranges.withColumn("_threshold", F.lit(float(threshold))).write.mode("overwrite").parquet(f"{path}/ranges")
+
+
+def load_bundle(spark: SparkSession, path: str) -> tuple[PipelineModel, DataFrame, float]:
+    saved = spark.read.parquet(f"{path}/ranges")
+    return load_reconstruction(f"{path}/model"), saved.drop("_threshold"), saved.first()["_threshold"]
+
+
 def _weights(model: PipelineModel, k: int | None = None):
     assembler, centre, pca = model.stages
     pc = pca.pc.toArray()[:, :k]

@@ -201,6 +201,7 @@ def discover_trips(
     gap_seconds: int = schema.DISCOVERY_GAP_SECONDS,
     padding_seconds: int = schema.DISCOVERY_PADDING_SECONDS,
     tie: Sequence[str] = (),
+    slice_seconds: int = schema.DAY_SECONDS,
 ) -> DataFrame:
     """Padded trip intervals of every vessel from the rows with a positive value."""
     active = signal.filter(F.col("value") > 0)
@@ -209,6 +210,5 @@ def discover_trips(
     if stop is not None:
         active = active.filter(F.col("time") <= stop)
     slim = active.select("node_name", "time", *tie)
-    return trip_intervals(
-        number_trips(slim, gap_seconds=gap_seconds, tie=tie), padding_seconds=padding_seconds
-    )
+    numbered = number_trips(slim, gap_seconds=gap_seconds, tie=tie, slice_seconds=slice_seconds)
+    return trip_intervals(numbered, padding_seconds=padding_seconds)

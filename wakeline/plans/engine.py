@@ -105,6 +105,7 @@ def engine_table(
     min_minutes: float = schema.MIN_TRIP_MINUTES,
     tie: Sequence[str] = (),
     hourly_weather: bool = True,
+    slice_seconds: int = schema.DAY_SECONDS,
 ) -> DataFrame:
     """The whole batch job.
 
@@ -118,6 +119,7 @@ def engine_table(
         gap_seconds=discovery_gap_seconds,
         padding_seconds=padding_seconds,
         tie=tie,
+        slice_seconds=slice_seconds,
     )
     alias = "signal_name_alias"
     # Rows that name no measurement are one of their own, instead of none.
@@ -126,7 +128,7 @@ def engine_table(
     # The lookup is stored, so Spark knows its size and picks the join; a skewed key is split while it runs.
     named = signals.join(lookup, [group, alias], "left")
     known = named.withColumn(alias, F.coalesce("resolved", alias)).drop("resolved")
-    inside = trip_signals(known, intervals)
+    inside = trip_signals(known, intervals, bucket_seconds=slice_seconds)
     sided = inside.withColumn(
         "signal_instance",
         F.when(F.col("is_geo"), F.col("signal_instance")).otherwise(V.side_name("signal_instance")),

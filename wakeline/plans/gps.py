@@ -23,16 +23,25 @@ def gps_table(
     gap_seconds: int = schema.GPS_GAP_SECONDS,
     step_seconds: int = 1,
     signals: Sequence[str] = schema.GPS_SIGNALS,
+    slice_seconds: int = schema.DAY_SECONDS,
 ) -> DataFrame:
     """Clean names, even seconds, trips, gaps filled, deltas, running flag.
 
+    ``slice_seconds`` is what one window task holds of a vessel: an hour for sensors of many readings a second.
+
     The even rows are stored: the scan and its aggregation run once.
     """
     named = long.withColumn("signal_name_alias", strip_prefix("signal_name_alias"))
     wide = stored(reshape.resample_gps(named, signals=signals, step_seconds=step_seconds), "gps-even")
-    numbered = trips.number_trips(wide, gap_seconds=gap_seconds, ts="ts", out="tripID")
+    numbered = trips.number_trips(
+        wide, gap_seconds=gap_seconds, ts="ts", out="tripID", slice_seconds=slice_seconds
+    )
     moving = impute.fill_and_deltas(
-        numbered, signals, [s for s in ("LAT", "LON", "SOG") if s in signals], keys=TRIP_KEYS
+        numbered,
+        signals,
+        [s for s in ("LAT", "LON", "SOG") if s in signals],
+        keys=TRIP_KEYS,
+        slice_seconds=slice_seconds,
     )
     return moving.withColumn("RPM", V.is_running("RPM"))
 

@@ -21,6 +21,7 @@ def comparison_series(
     threshold: float = schema.Z_THRESHOLD,
     by: Sequence[str] = ("node_name", "date"),
     tie: Sequence[str] = (),
+    slice_seconds: int = schema.DAY_SECONDS,
 ) -> DataFrame:
     """Port against starboard for every vessel and day of one feature.
 
@@ -31,7 +32,7 @@ def comparison_series(
     active = signal.filter(F.col("value") > 0).withColumn("date", date_of("time"))
     slim = active.select("node_name", "date", "time", "signal_instance", "value", *tie)
     numbered = trips.number_trips(
-        slim, gap_seconds=gap_seconds, keys=by, tie=tie, out="TRIP_ID"
+        slim, gap_seconds=gap_seconds, keys=by, tie=tie, out="TRIP_ID", slice_seconds=slice_seconds
     ).withColumn("signal_instance", V.side_name("signal_instance"))
     numbered = impute.fill_side(numbered)
     kept = features.drop_outliers(
@@ -45,6 +46,7 @@ def comparison_series(
         [*by, "signal_instance"],
         "time",
         ["TRIP_ID", *tie],
+        slice_seconds=slice_seconds,
     )
 
 

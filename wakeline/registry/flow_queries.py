@@ -319,11 +319,15 @@ def m03(spark, folder):
 _MODEL = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
-def _scaled_lines(spark, folder):
-    rows = frames.lineitem(spark, folder).select(
+def _lines(spark, folder):
+    return frames.lineitem(spark, folder).select(
         "l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("date"),
         *(F.col(f).cast("double").alias(f) for f in _MODEL),
     )
+
+
+def _scaled_lines(spark, folder):
+    rows = _lines(spark, folder)
     return features.apply_min_max(rows, features.fit_min_max(rows, _MODEL), _MODEL)
 
 
@@ -362,20 +366,27 @@ def m05(spark, folder):
 
 @query(
     "m06_saved_model",
-    "SELECT l_orderkey, l_linenumber, true AS same FROM lineitem",
+    "WITH raw AS (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) AS x0, CAST(l_discount AS DOUBLE) AS y0 FROM lineitem), "
+    "r AS (SELECT min(x0) AS xa, max(x0) AS xz, min(y0) AS ya, max(y0) AS yz FROM raw), "
+    "s AS (SELECT l_orderkey, l_linenumber, (x0 - xa) / (xz - xa) AS x, (y0 - ya) / (yz - ya) AS y FROM raw, r), "
+    "c AS (SELECT avg(x) AS mx, avg(y) AS my, var_pop(x) AS a, var_pop(y) AS d, covar_pop(x, y) AS b FROM s), "
+    "v AS (SELECT *, cos(atan2(2 * b, a - d) / 2) AS u, sin(atan2(2 * b, a - d) / 2) AS w FROM c), "
+    "e AS (SELECT l_orderkey, l_linenumber, pow(x - mx, 2) + pow(y - my, 2) - pow((x - mx) * u + (y - my) * w, 2) AS error FROM s, v) "
+    "SELECT l_orderkey, l_linenumber, round(error + 3.1e-8, 6) + 0e0 AS error, error >= 0.05e0 AS flagged FROM e",
 )
 def m06(spark, folder):
-    """A stored and reloaded model rebuilds exactly as before."""
-    rows = _scaled_lines(spark, folder)
-    model = scoring.fit_reconstruction(rows, _MODEL, k=2)
-    path = fresh_path(spark, "model")
-    scoring.save_reconstruction(model, path)
-    before = scoring.reconstruct_linear(rows, model, suffix="_a")
-    after = scoring.reconstruct_linear(before, scoring.load_reconstruction(path), suffix="_b")
-    same = F.lit(True)
-    for f in _MODEL:
-        same = same & (F.col(f + "_a") == F.col(f + "_b"))
-    return after.select("l_orderkey", "l_linenumber", same.alias("same"))
+    """Ranges, a bottleneck of one, and a threshold, stored and reloaded together: errors by value."""
+    raw = _lines(spark, folder)
+    ranges = features.fit_min_max(raw, _TWO)
+    scaled = features.apply_min_max(raw, ranges, _TWO)
+    path = fresh_path(spark, "bundle")
+    scoring.save_bundle(scoring.fit_reconstruction(scaled, _TWO, k=1), ranges, 0.05, path)
+    model, saved, threshold = scoring.load_bundle(spark, path)
+    again = features.apply_min_max(raw, saved, _TWO)
+    errors = scoring.squared_errors(scoring.reconstruct_linear(again, model), _TWO)
+    error = F.col(_TWO[0]) + F.col(_TWO[1])
+    out = errors.select("l_orderkey", "l_linenumber", error.alias("error"), (error >= threshold).alias("flagged"))
+    return rounded(out, "error")
 
 
 _M7 = ("l_quantity", "l_extendedprice")
