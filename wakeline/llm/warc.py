@@ -96,9 +96,9 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def resolve(headers: DataFrame) -> DataFrame:
-    """Distinct headers (page_id, sha) with ``original``, the smallest page id of that payload."""
+    """Distinct headers (key, page_id, sha) with ``original``, the smallest page id of that payload."""
     first = headers.groupBy("sha").agg(F.min("page_id").alias("original"))
-    return headers.distinct().join(first, "sha")
+    return headers.select("key", "sha").distinct().join(first, "sha")
 
 
 def write_archives(
@@ -118,10 +118,12 @@ def write_archives(
         F.coalesce(F.col(payload_column), F.lit("")).cast("binary").alias("payload"),
     )
     data = data.withColumns({"sha": F.unhex(F.sha1("payload")), "bytes": F.length("payload").cast("long")})
-    found = resolve(data.select("page_id", "sha")).select(F.col("page_id").alias("id_"), F.col("sha").alias("sha_"), "original")
-    rows = data.join(found, F.col("page_id").eqNullSafe(F.col("id_")) & (F.col("sha") == F.col("sha_")), "left")
+    # Plain equality on a key without nulls, so that join and window share one shuffle of the payloads.
+    data = data.withColumn("key", F.coalesce("page_id", F.lit(-(1 << 63))))
+    rows = data.join(resolve(data.select("key", "page_id", "sha")), ["key", "sha"])
     # Rows alike in id and payload: the first is the record, the others revisit it.
-    rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy("page_id", "sha").orderBy("url")))
+    copy = F.row_number().over(Window.partitionBy("key", "sha").orderBy(F.col("page_id").asc_nulls_last(), "url"))
+    rows = rows.withColumn("copy", copy)
     own = F.col("page_id").eqNullSafe(F.col("original")) & (F.col("copy") == 1)
     rows = rows.withColumn("revisit", (F.col("bytes") >= least) & ~own)
     rows = rows.select(
