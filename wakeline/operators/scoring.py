@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,15 +33,22 @@ def reconstruct_sequences(padded: DataFrame, model: Scorer, *, out: str = "rebui
         [*padded.schema.fields, T.StructField(out, T.ArrayType(T.ArrayType(T.DoubleType())))]
     )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if len(batch):
-                cube = np.stack([np.stack(list(s)) for s in batch["seq"]]).astype("float64")
-                batch[out] = [[row.tolist() for row in s] for s in np.asarray(model(cube))]
-                batch["seq"] = [[list(row) for row in s] for s in batch["seq"]]
-                yield batch
-
-    return padded.mapInPandas(run, result)
+            n = batch.num_rows
+            if n:
+                steps = batch.column("seq").flatten()
+                rows = len(steps) // n
+                values = steps.flatten().to_numpy(zero_copy_only=False).astype("float64")
+                rebuilt = np.asarray(model(values.reshape(n, rows, -1)), dtype="float64")
+                width = rebuilt.shape[2]
+                inner = pa.ListArray.from_arrays(
+                    pa.array(np.arange(n * rows + 1) * width, pa.int32()), pa.array(rebuilt.reshape(-1))
+                )
+                outer = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * rows, pa.int32()), inner)
+                yield pa.RecordBatch.from_arrays([*batch.columns, outer], [*batch.schema.names, out])
+
+    return padded.mapInArrow(run, result)
 
 
 def reconstruct_rows(

@@ -468,10 +468,8 @@ def a15(spark, folder):
     " FROM events GROUP BY 1",
 )
 def a15_names(spark, folder):
-    rows = frames.tel(spark, folder).join(
-        events.table(spark, folder, "events").select("event_id", "event_type"), "event_id"
-    )
-    named = rows.select(F.col("event_type").alias("trip"), "node_name")
+    rows = events.table(spark, folder, "events")
+    named = rows.select(F.col("event_type").alias("trip"), events.vessel_name().alias("node_name"))
     return cells.vessel_names(named, trip=["trip"])
 
 

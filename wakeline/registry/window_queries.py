@@ -357,7 +357,7 @@ def f02(spark, folder):
     spelt = {"click": "Engine_Lod_1", "view": "FUELRATES", "purchase": "ENG_OIL_PRES2", "error": "zzz", "signup": "S_O_G"}
     names = F.create_map(*(F.lit(x) for pair in spelt.items() for x in pair))
     rows = events.table(spark, folder, "events").select("event_id", names[F.col("event_type")].alias("alias"))
-    return reshape.resolve_aliases(rows, alias="alias", spread_by=["event_id"])
+    return reshape.resolve_aliases(rows, alias="alias")
 
 
 @query(

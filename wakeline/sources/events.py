@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 VESSELS = 8
@@ -28,13 +28,17 @@ def _mapped(column: str, names: dict[str, str]):
     return F.create_map(*(F.lit(x) for pair in names.items() for x in pair))[F.col(column)]
 
 
+def vessel_name() -> Column:
+    return F.concat(F.lit("boat-"), F.pmod("user_id", F.lit(VESSELS)).cast("string"))
+
+
 def as_telemetry(events: DataFrame) -> DataFrame:
     """Long telemetry plus ``event_id`` as a unique row key."""
     return events.select(
         "event_id",
         F.col("ts").cast("timestamp_ntz").alias("time"),
         F.concat(F.lit("dev-"), F.pmod("user_id", F.lit(DEVICES)).cast("string")).alias("node_id"),
-        F.concat(F.lit("boat-"), F.pmod("user_id", F.lit(VESSELS)).cast("string")).alias("node_name"),
+        vessel_name().alias("node_name"),
         _mapped("event_type", ALIASES).alias("signal_name_alias"),
         "value",
         F.when(
@@ -50,7 +54,7 @@ def as_positions(events: DataFrame) -> DataFrame:
         "event_id",
         F.col("ts").cast("timestamp_ntz").alias("time"),
         F.concat(F.lit("dev-"), F.pmod("user_id", F.lit(DEVICES)).cast("string")).alias("node_id"),
-        F.concat(F.lit("boat-"), F.pmod("user_id", F.lit(VESSELS)).cast("string")).alias("node_name"),
+        vessel_name().alias("node_name"),
         F.lit("LAT-LON").alias("signal_name_alias"),
         (F.lit(55.0) + F.lit(0.15) * F.pmod(k, F.lit(100))).alias("value_latitude"),
         (F.lit(10.0) + F.lit(0.15) * F.pmod(k * 7, F.lit(100))).alias("value_longitude"),
