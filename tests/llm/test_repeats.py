@@ -35,7 +35,7 @@ def mixed(n, seed, alphabet="abc"):
     for _ in range(n):
         parts = [rnd.choice([*shared, make(rnd.randint(1, 80)), "é" * rnd.randint(1, 9)]) for _ in range(rnd.randint(1, 7))]
         texts.append("".join(parts))
-    return texts + ["a" * 200, "ab" * 120, "", "a" * 60]
+    return texts + ["a" * 200, "ab" * 120, "", "a" * 60, "x" + "ab" * 90 + "y", "abcab" * 40 + shared[0]]
 
 
 @pytest.mark.parametrize("which", ["odd", "mixed", "mixed-long", "sample", "empty"])

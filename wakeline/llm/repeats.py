@@ -10,6 +10,7 @@ strings are bounded stretches around anchors that hold everything to be compared
   anchors, and each window belongs to one anchor.
 * Anchors whose hash occurs once are done. For the others a stretch of text that holds all the anchor's windows is
   shuffled by the hash, and read in sorted order (Spark's sorted shuffle files are the external files).
+* Stretches alike in bytes and anchor repeat each other as a whole; one of them goes on.
 * Stretches are aligned at the anchor. From the last column to the first, each round inserts the column's byte in
   front of every suffix: a stable pass by that byte over the last order gives the new one, and the common
   prefix of new neighbours is one more than the least one between them before. Neighbours with ``LENGTH`` or more
@@ -38,6 +39,8 @@ LENGTH = 400
 GRAM = 128
 #: Stretches ordered together; a group of equal anchors is never split.
 TOGETHER = 4096
+#: Shapes a task remembers having sent.
+SENT = 1_000_000
 _NONE = 256  # stands beyond a stretch's ends
 
 
@@ -174,49 +177,79 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[Data
     )
     texts = stored(texts, "texts")
 
-    def cut(batch: pa.RecordBatch) -> Iterator[dict]:
-        for k in range(batch.num_rows):
-            data = batch.column("text")[k].as_py().encode()
-            places = batch.column("anchors")[k].as_py()
-            yield {
-                "print": [batch.column("print")[k].as_py()] * len(places),
-                **{c: [p[c] for p in places] for c in ("hash", "at", "low", "high")},
-                "stretch": [data[p["low"] : p["high"] + length] for p in places],
-            }
-
-    stretches = by_batch(
-        texts.where("anchors is not null").select("print", "text", "anchors"),
-        "print binary, hash long, at long, low long, high long, stretch binary",
-        cut,
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[bytes] = set()
+        for batch in batches:
+            for k in range(batch.num_rows):
+                data = batch.column("text")[k].as_py().encode()
+                places = batch.column("anchors")[k].as_py()
+                if len(sent) > SENT:
+                    sent.clear()
+                shapes, stretches = [], []
+                for p in places:
+                    stretch = data[p["low"] : p["high"] + length]
+                    shape = hashlib.md5(b"%d/" % (p["at"] - p["low"]) + stretch).digest()
+                    # Of like stretches a task sends the bytes once: periodic texts and common passages have many.
+                    stretches.append(None if shape in sent else stretch)
+                    shapes.append(shape)
+                    sent.add(shape)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(pa.array([p[c] for p in places], pa.int64()) for c in ("hash", "at", "low", "high")),
+                        pa.array([batch.column("print")[k].as_py()] * len(places), pa.binary()),
+                        pa.array(shapes, pa.binary()),
+                        pa.array(stretches, pa.binary()),
+                    ],
+                    ["hash", "at", "low", "high", "print", "shape", "stretch"],
+                )
+
+    stretches = texts.where("anchors is not null").select("print", "text", "anchors").mapInArrow(
+        cut, "hash long, at long, low long, high long, print binary, shape binary, stretch binary"
+    )
+    dealt = stretches.repartition(parts(spark), "hash").sortWithinPartitions(
+        "hash", "shape", F.col("stretch").isNull()
     )
-    dealt = stretches.repartition(parts(spark), "hash").sortWithinPartitions("hash")
     fields = ("print", "at", "low", "high", "stretch")
 
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: dict[str, list] = {c: [] for c in fields}
-        current, begun = None, 0  # hash of the open group, and where it begins
+        group: dict[str, list] = {c: [] for c in fields}  # one stretch of each shape
+        found: dict[str, list] = {"print": [], "start": [], "end": []}
+        current = shape = None  # hash and shape of the last row
+        begun, alone = 0, False  # where the open group begins; is the last shape's first row the only one so far?
+
+        def add(name: bytes, start: int, end: int) -> None:
+            for column, value in zip(found.values(), (name, start, end)):
+                column.append(value)
 
         def done(upto: int) -> Iterator[pa.RecordBatch]:
-            nonlocal group
+            nonlocal group, found
             part, group = {c: v[:upto] for c, v in group.items()}, {c: v[upto:] for c, v in group.items()}
-            if upto and (out := covered(part, length, gram)):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out["print"], pa.binary()), pa.array(out["start"], pa.int64()), pa.array(out["end"], pa.int64())],
-                    ["print", "start", "end"],
-                )
+            for out in (found, covered(part, length, gram) if upto else None):
+                if out and len(out["print"]):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(out["print"], pa.binary()), pa.array(out["start"], pa.int64()), pa.array(out["end"], pa.int64())],
+                        ["print", "start", "end"],
+                    )
+            found = {c: [] for c in found}
 
         for batch in batches:
-            hashes = batch.column("hash").to_numpy(zero_copy_only=False)
-            columns = [batch.column(c) for c in fields]
-            edges = np.concatenate(([0], np.flatnonzero(hashes[1:] != hashes[:-1]) + 1, [len(hashes)]))
-            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                if hashes[a] != current:
-                    current, begun = hashes[a], len(group["at"])
-                    if begun >= TOGETHER:
+            columns = (batch.column(c).to_pylist() for c in ("hash", "shape", *fields))
+            for hashed, kind, name, at, low, high, stretch in zip(*columns):
+                if hashed != current:
+                    current, begun = hashed, len(group["at"])
+                    if begun >= TOGETHER or len(found["print"]) >= TOGETHER:
                         yield from done(begun)
                         begun = 0
-                for c, column in zip(fields, columns):
-                    group[c].extend(column.slice(a, b - a).to_pylist())
+                if kind != shape:
+                    shape, alone = kind, True
+                    for c, value in zip(fields, (name, at, low, high, stretch)):
+                        group[c].append(value)
+                    continue
+                # A stretch met again: all its windows are repeated, here and where it was met first.
+                if alone:
+                    add(group["print"][-1], group["low"][-1], group["high"][-1] + length)
+                    alone = False
+                add(name, low, high + length)
         yield from done(len(group["at"]))
 
     return texts, dealt.mapInArrow(order, "print binary, start long, end long")
