@@ -1,8 +1,9 @@
 """Documents linked by the Jaccard similarity of their word shingles, by prefixes under several token orders.
 
 Two sets with similarity ``t`` share a token among the first ``n - ceil(t n) + 1`` of each under *any* global order
-of tokens. So candidates must share a prefix token under every one of ``ORDERS`` orders; only pairs that pass all
-of these filters are verified, exactly. All orders put frequent tokens last (found by local counts in a hashed table
+of tokens. So candidates must share prefix tokens under every one of ``ORDERS`` orders (one brings them together, the
+others must show as many common tokens as the similarity asks of prefixes); only pairs that pass all of these
+filters are verified, exactly. All orders put frequent tokens last (found by local counts in a hashed table
 of fixed size; what the table says only shapes the orders, not the result) and differ in the hash that
 breaks ties.
 
@@ -14,8 +15,8 @@ proportion to their size. Equal sets are one node. Groups are streamed in sorted
 
 Defined cases: text without words has an empty set, linked with nothing; fewer words than a shingle are one
 shingle; equal sets are linked whatever their ids; a component's id is its smallest document id, null if it has none; an
-empty table gives an empty one; other columns are ignored (``one_of_each`` keeps them). Shingles are 64-bit
-hashes, and so are the names of sets.
+empty table gives an empty one; other columns are ignored (``one_of_each`` keeps them). Shingles are 52-bit
+hashes (so that a sort of plain integers orders a batch of texts), names of sets 64-bit ones.
 """
 
 from __future__ import annotations
@@ -36,13 +37,15 @@ ORDERS = 3
 #: Hashed counters of a task, and the bits of the filter of nodes; both fixed.
 BUCKETS = 1 << 22
 BITS = 1 << 23
-#: Pivots of a group in the first round; four times as many in each further one.
-PIVOTS = 1
+#: Pivots of a group in the first round; eight times as many in each further one.
+PIVOTS = 2
+#: Bits of a shingle, texts of a batch (their number takes the other bits), bits of a token in an order.
+WIDTH, TEXTS, TOKEN = 52, 1 << 12, 46
 _SEEDS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
 
 def sets_of(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of each text, ascending, and where each text's begin."""
+    """Distinct shingle hashes of each text, ascending, and where each text's begin; at most ``TEXTS`` texts."""
     data, offsets = raw(column)
     data = fold(data)
     starts, ends, first = words(data, offsets)
@@ -58,12 +61,10 @@ def sets_of(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarr
             out.append(grams(hashed, n, seed=n)[first[:-1][short]])
             text.append(short)
     values, text = np.concatenate(out), np.concatenate(text)
-    order = np.lexsort((values, text))
-    values, text = values[order], text[order]
-    new = np.ones(len(values), bool)
-    new[1:] = (values[1:] != values[:-1]) | (text[1:] != text[:-1])
-    values, text = values[new], text[new]
-    return values, np.searchsorted(text, np.arange(len(count) + 1))
+    key = np.sort((text.astype(np.uint64) << np.uint64(WIDTH)) | (values >> np.uint64(64 - WIDTH)))
+    key = key[np.concatenate((np.ones(min(1, len(key)), bool), key[1:] != key[:-1]))]
+    begins = np.searchsorted(key, np.arange(len(count) + 1, dtype=np.uint64) << np.uint64(WIDTH))
+    return key & np.uint64((1 << WIDTH) - 1), begins
 
 
 def nodes_of(values: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -73,17 +74,17 @@ def nodes_of(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def bucket(values: np.ndarray) -> np.ndarray:
-    return (values >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
+    return (values >> np.uint64(WIDTH - BUCKETS.bit_length() + 1)).astype(np.int64)
 
 
 def prefix(values: np.ndarray, first: np.ndarray, level: np.ndarray, order: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each set's prefix under an order, and where it begins."""
+    """Tokens of each set's prefix under an order, and where they begin. A token is the shingle's place in the order."""
     n = np.diff(first)
-    key = mix(values ^ _SEEDS[order])
-    text = owners(first)
-    place = np.lexsort((key, level[bucket(values)], text))
+    token = mix(values ^ _SEEDS[order]) >> np.uint64(64 - TOKEN)
+    key = (owners(first).astype(np.uint64) << np.uint64(WIDTH)) | (level[bucket(values)].astype(np.uint64) << np.uint64(TOKEN)) | token
+    key.sort()
     length = n - (percent * n + 99) // 100 + (n > 0)
-    return values[place[ranges(first[:-1], length)]], np.concatenate(([0], np.cumsum(length)))
+    return key[ranges(first[:-1], length)] & np.uint64((1 << TOKEN) - 1), np.concatenate(([0], np.cumsum(length)))
 
 
 class _Seen:
@@ -117,7 +118,7 @@ def _texts(docs: DataFrame, schema: str, work) -> DataFrame:
         seen, state = _Seen(), {}
         for batch in batches:
             column = batch.column("text")
-            for i, j in slices(column, 1 << 20):
+            for i, j in slices(column, 1 << 20, TEXTS):
                 values, first = sets_of(column.slice(i, j - i))
                 names = nodes_of(values, first)
                 keep = seen.new(names) & (np.diff(first) > 0)
@@ -141,8 +142,13 @@ def frequent(docs: DataFrame) -> np.ndarray:
 
     def work(values, first, names, state):
         counts = state.setdefault("counts", np.zeros(BUCKETS, np.uint32))
+        held = state.setdefault("held", [])
+        if values is not None:
+            held.append(bucket(values))
+        if held and (values is None or sum(map(len, held)) > BUCKETS):
+            counts += np.bincount(np.concatenate(held), minlength=BUCKETS).astype(np.uint32)
+            held.clear()
         if values is not None:
-            counts += np.bincount(bucket(values), minlength=BUCKETS).astype(np.uint32)
             return None
         many = np.flatnonzero(counts > max(7, 4 * int(counts.sum()) // BUCKETS))
         return {"bucket": many.astype(np.int32), "n": counts[many].astype(np.int64)}
@@ -150,7 +156,7 @@ def frequent(docs: DataFrame) -> np.ndarray:
     found = _texts(docs, "bucket int, n long", work).groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     level = np.zeros(BUCKETS, np.uint8)
     for b, n in found:
-        level[b] = n.bit_length()
+        level[b] = min(63, n.bit_length())
     return level
 
 
@@ -233,41 +239,60 @@ def links(docs: DataFrame, percent: int = PERCENT, orders: int = ORDERS) -> Data
         return {"token": tokens.view(np.int64), "node": np.repeat(names, count), "n": np.repeat(np.diff(first), count)}
 
     rows = _texts(docs, "token long, node long, n long", posting).withColumn("comp", F.col("node"))
-    pivots = PIVOTS
-    found = stored(pairs_in_groups(rows, pivots), "pairs")
-    members = found.where("kind = 0").select(F.explode(F.array("a", "b")).alias("node"))
-    bits = filter_of(members.union(found.where("kind = 1").select("a")))
-
-    def shingles(values, first, names, state):
-        if values is None:
-            return None
-        at = names & (BITS - 1)
-        keep = (bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1
-        n = np.diff(first)[keep]
-        values, first, names = values[ranges(first[:-1][keep], n)], np.concatenate(([0], np.cumsum(n))), names[keep]
-        out = {"node": names, "whole": ragged(values.view(np.int64), first, pa.int64())}
-        for k in range(1, orders):
-            tokens, begins = prefix(values, first, levels(state), k, percent)
-            out[f"p{k}"] = ragged(tokens.view(np.int64), begins, pa.int64())
-        return out
-
     names = [f"p{k}" for k in range(1, orders)]
-    schema = ", ".join(["node long", "whole array<long>", *(f"{p} array<long>" for p in names)])
-    sets = stored(_texts(docs, schema, shingles).dropDuplicates(["node"]), "sets")
 
-    edges, labels = None, None
+    def sets_for(nodes: DataFrame, whole: bool) -> DataFrame:
+        """The named sets, whole or their prefixes, stored; made anew from the texts, as most are never asked for."""
+        bits = filter_of(nodes)
+
+        def work(values, first, names_, state):
+            if values is None:
+                return None
+            at = names_ & (BITS - 1)
+            keep = (bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1
+            n = np.diff(first)[keep]
+            values, first = values[ranges(first[:-1][keep], n)], np.concatenate(([0], np.cumsum(n)))
+            out = {"node": names_[keep], "n": n}
+            if whole:
+                return out | {"whole": ragged(values.view(np.int64), first, pa.int64())}
+            for k in range(1, orders):
+                tokens, begins = prefix(values, first, levels(state), k, percent)
+                # Half of a token will do to rule a pair out.
+                out[f"p{k}"] = ragged(tokens.view(np.int64).astype(np.int32), begins, pa.int32())
+            return out
+
+        columns = ["whole array<long>"] if whole else [f"{p} array<int>" for p in names]
+        return stored(_texts(docs, ", ".join(["node long", "n long", *columns]), work).dropDuplicates(["node"]), "sets")
+
+    def joined(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        for s in ("b", "a"):
+            pairs = pairs.join(sets.select(*(F.col(c).alias(s if c == "node" else f"{c}_{s}") for c in sets.columns)), s)
+        return pairs
+
+    def filtered(pairs: DataFrame) -> DataFrame:
+        """Pairs that share as many prefix tokens under every order as the similarity asks for.
+
+        Of the ``least`` common tokens, those not in both prefixes are in the rest of the set whose prefix
+        ends first in the order, so at most as many as the longer rest has are missing. Two are allowed for tokens that
+        their halves confuse.
+        """
+        least = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
+        for p in names:
+            rest = F.greatest(*(F.col(f"n_{s}") - F.size(f"{p}_{s}") for s in ("a", "b")))
+            shared = F.size(F.array_intersect(f"{p}_a", f"{p}_b"))
+            pairs = pairs.where(shared >= F.greatest(least - rest - 2, F.lit(1).cast("long")))
+        return pairs.select("a", "b")
+
+    pivots, sets, edges = PIVOTS, None, None
+    found = stored(pairs_in_groups(rows, pivots), "pairs")
     while True:
-        pairs = found.where("kind = 0").select("a", "b").distinct()
-        passed = pairs
-        if names:
-            side = {s: sets.select(F.col("node").alias(s), *(F.col(p).alias(f"{p}_{s}") for p in names)) for s in ("a", "b")}
-            passed = pairs.join(side["a"], "a").join(side["b"], "b")
-            for p in names:
-                passed = passed.where(F.arrays_overlap(f"{p}_a", f"{p}_b"))
-            passed = stored(passed.select("a", "b"), "passed")
-        a, b = (sets.select(F.col("node").alias(s), F.col("whole").alias(f"w_{s}")) for s in ("a", "b"))
-        verified = passed.join(a, "a").join(b, "b").withColumn("i", F.size(F.array_intersect("w_a", "w_b")))
-        verified = verified.where(100 * F.col("i") >= percent * (F.size("w_a") + F.size("w_b") - F.col("i"))).select("a", "b")
+        pairs = stored(found.where("kind = 0").select("a", "b").distinct(), "candidates")
+        if sets is None:
+            sets = sets_for(pairs.select(F.explode(F.array("a", "b")).alias("node")), whole=False)
+        passed = stored(filtered(joined(pairs, sets)), "passed")
+        verified = joined(passed, sets_for(passed.select(F.explode(F.array("a", "b")).alias("node")), whole=True))
+        verified = verified.withColumn("i", F.size(F.array_intersect("whole_a", "whole_b")))
+        verified = verified.where(100 * F.col("i") >= percent * (F.col("n_a") + F.col("n_b") - F.col("i"))).select("a", "b")
         verified = stored(verified, "links")
         edges = verified if edges is None else edges.union(verified)
         labels = stored(union_labels(edges), "labels")
@@ -278,7 +303,10 @@ def links(docs: DataFrame, percent: int = PERCENT, orders: int = ORDERS) -> Data
         rows = stored(rows.join(open_, "token", "left_semi"), "groups")
         if rows.isEmpty():
             return labels
-        pivots *= 4
+        if edges is verified:
+            # All that later rounds can ask for is in the groups that are open now.
+            sets = sets_for(rows.select("node").distinct(), whole=False)
+        pivots *= 8
         found = stored(pairs_in_groups(rows, pivots), "pairs")
 
 
@@ -292,7 +320,7 @@ def components(docs: DataFrame, percent: int = PERCENT, id_column: str = "doc_id
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
         column = batch.column("text")
-        for i, j in slices(column):
+        for i, j in slices(column, 1 << 20, TEXTS):
             values, first = sets_of(column.slice(i, j - i))
             n = np.diff(first)
             node = pa.array(nodes_of(values, first), mask=n == 0)

@@ -47,14 +47,15 @@ def _powers() -> list[np.ndarray]:
     return _POWERS
 
 
-def slices(column: pa.Array, most: int = 2 << 20) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``most`` bytes of text each; a longer text is a range of its own."""
+def slices(column: pa.Array, most: int = 2 << 20, rows: int = 1 << 30) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``most`` bytes of text and ``rows`` rows at most; a longer text is a range of its own."""
     offsets = raw(column)[1]
     i, n = 0, len(column)
     while i < n:
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + most, "right")) - 1)
-        yield i, min(j, n)
-        i = min(j, n)
+        j = min(j, i + rows, n)
+        yield i, j
+        i = j
 
 
 def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
