@@ -111,3 +111,15 @@ def test_short_sequences():
     sets = [tuple(values[first[i] : first[i + 1]]) for i in range(8)]
     assert sets[0] == sets[1] != sets[2] != sets[3] and sets[4] == sets[5] == ()
     assert len(sets[6]) == 1 and len(sets[7]) == 2 and sets[6][0] in sets[7]
+
+
+@pytest.mark.parametrize("n", [4096, 10_000])
+def test_full_batches_of_short_texts(spark, n):
+    """As many neighbouring texts as a batch of texts holds, some of them empty, the last ones linked with others."""
+    texts = ["" if i % 7 == 3 else f"a{i} b c d e f{i}" for i in range(n)]
+    texts[0] = texts[4095] = texts[n - 1] = "one of those that are alike in all words"
+    values, first = jaccard.sets_of(pa.array(texts[:4096]))
+    assert first[-1] == len(values) and np.diff(first).tolist() == [len(shingles(t)) for t in texts[:4096]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.components(docs).collect()}
+    assert got == {i: (len(shingles(t)), 0 if i in (4095, n - 1) else i) for i, t in enumerate(texts)}

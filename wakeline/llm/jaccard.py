@@ -63,7 +63,8 @@ def sets_of(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarr
     values, text = np.concatenate(out), np.concatenate(text)
     key = np.sort((text.astype(np.uint64) << np.uint64(WIDTH)) | (values >> np.uint64(64 - WIDTH)))
     key = key[np.concatenate((np.ones(min(1, len(key)), bool), key[1:] != key[:-1]))]
-    begins = np.searchsorted(key, np.arange(len(count) + 1, dtype=np.uint64) << np.uint64(WIDTH))
+    # The end of text 4095 would not fit in 64 bits, so the last bound is the number of keys.
+    begins = np.append(np.searchsorted(key, np.arange(len(count), dtype=np.uint64) << np.uint64(WIDTH)), len(key))
     return key & np.uint64((1 << WIDTH) - 1), begins
 
 
