@@ -54,3 +54,22 @@ def test_column_by_column_order_finds_equal_windows():
     for before in range(7):
         windows = [tuple(r[6 - before : 14 - before]) for r in rows]
         assert marks[:, before].tolist() == [windows.count(w) > 1 for w in windows]
+
+
+@pytest.mark.parametrize("most", [0, 3, 20])
+def test_common_anchors_are_not_one_group(spark, monkeypatch, most):
+    """A passage with other surroundings in every text, with and without groups too large for one task."""
+    rnd = random.Random(8)
+    make = lambda k: "".join(rnd.choice("abcdefg") for _ in range(k))
+    passage = make(70)
+    texts = [make(rnd.randint(0, 60)) + passage[rnd.randint(0, 9) :] + make(rnd.randint(0, 60)) for _ in range(80)] + mixed(60, 5)
+    texts += [texts[3], "x" + texts[4]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = repeats.without_repeats(docs, 48, 16, most=most).drop("kept").collect()
+    assert sorted(map(tuple, got), key=str) == by_hand(docs.collect(), 48)
+    # No task orders more stretches than it may hold of one hash.
+    monkeypatch.setattr(repeats, "TOGETHER", 1)
+    monkeypatch.setattr(repeats, "covered", lambda group, *_: {"print": [b"n"], "start": [len(group["at"])], "end": [0]})
+    rows = docs.selectExpr("unhex(md5(text)) as print", "text")
+    sizes = [r.start for r in repeats.spans(rows, 48, 16, most)[1].where("end = 0").collect()]
+    assert max(sizes, default=0) <= most

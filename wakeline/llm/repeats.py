@@ -11,6 +11,9 @@ strings are bounded stretches around anchors that hold everything to be compared
 * Anchors whose hash occurs once are done. For the others a stretch of text that holds all the anchor's windows is
   shuffled by the hash, and read in sorted order (Spark's sorted shuffle files are the external files).
 * Stretches alike in bytes and anchor repeat each other as a whole; one of them goes on.
+* An anchor hash with more than ``MOST`` anchors does not go to one task: its windows are dealt out by their own 128-bit
+  hashes, counted with map-side aggregation, and those met twice are joined back. A task sends a window twice at most;
+  a third one is known to be repeated where it is met. Which way a hash takes shapes the work, not the result.
 * Stretches are aligned at the anchor. From the last column to the first, each round inserts the column's byte in
   front of every suffix: a stable pass by that byte over the last order gives the new one, and the common
   prefix of new neighbours is one more than the least one between them before. Neighbours with ``LENGTH`` or more
@@ -29,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,10 +41,12 @@ from wakeline.llm.words import _BYTE, SEGMENT, _powers, mix, ranges, raw, slices
 
 LENGTH = 400
 GRAM = 128
-#: Stretches ordered together; a group of equal anchors is never split.
+#: Stretches ordered together; a group of equal anchors is not split, and has at most ``MOST`` of them (about 3 KB each).
 TOGETHER = 4096
-#: Shapes a task remembers having sent.
+MOST = 1 << 15
+#: Shapes a task remembers having sent, and windows of very common anchors.
 SENT = 1_000_000
+WINDOWS = 500_000
 _NONE = 256  # stands beyond a stretch's ends
 
 
@@ -147,7 +153,61 @@ def covered(group: dict[str, list], length: int, gram: int) -> dict | None:
     }
 
 
-def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
+def windows_apart(texts: DataFrame, length: int) -> DataFrame:
+    """Repeated spans (print, start, end) of the windows of ``texts.common``, anchors too common for one task."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shapes: dict[bytes, int] = {}
+        met: dict[bytes, int] = {}  # how often each window was met, up to 2
+        for batch in batches:
+            for k in range(batch.num_rows):
+                data, name = memoryview(batch.column("text")[k].as_py().encode()), batch.column("print")[k].as_py()
+                keys, starts, ends = [], [], []
+                for p in batch.column("common")[k].as_py():
+                    low, high = p["low"], p["high"]
+                    if len(shapes) > SENT:
+                        shapes.clear()
+                    if len(met) > WINDOWS:
+                        met.clear()
+                    shape = hashlib.md5(data[low : high + length]).digest()
+                    times = shapes.get(shape, 0)
+                    shapes[shape] = times + 1
+                    if times > 1:
+                        # Both of the first ones have sent all their windows or found them repeated.
+                        keys.append(None)
+                        starts.append(low)
+                        ends.append(high + length)
+                        continue
+                    joins = False  # does the last span end with the window before?
+                    for start in range(low, high + 1):
+                        key = xxhash.xxh3_128_digest(data[start : start + length])
+                        times = met.get(key, 0)
+                        if times < 2:
+                            met[key] = times + 1
+                            keys.append(key)
+                            starts.append(start)
+                            ends.append(start + length)
+                            joins = False
+                        elif joins:
+                            ends[-1] = start + length
+                        else:
+                            keys.append(None)
+                            starts.append(start)
+                            ends.append(start + length)
+                            joins = True
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys, pa.binary()), pa.array([name] * len(keys), pa.binary()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())],
+                    ["key", "print", "start", "end"],
+                )
+
+    found = texts.select("print", "text", "common").mapInArrow(send, "key binary, print binary, start long, end long")
+    found = stored(found, "windows")
+    keyed = found.where("key is not null")
+    twice = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    return keyed.join(twice, "key", "left_semi").drop("key").union(found.where("key is null").drop("key"))
+
+
+def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = MOST) -> tuple[DataFrame, DataFrame]:
     """Texts (print, n_bytes, copies, sha256, text) and repeated spans (print, start, end).
 
     ``docs`` has print and text. The text is kept only where it has an anchor that occurs elsewhere too.
@@ -164,8 +224,12 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[Data
     found = stored(by_batch(docs, "hash long, print binary, at long, low long, high long", find), "anchors")
     # Two different places: the least and the greatest differ. Copies of a text are reduced before the shuffle.
     place = F.struct("print", "at")
-    twice = found.groupBy("hash").agg(F.min(place).alias("x"), F.max(place).alias("y")).where("x <> y").select("hash")
-    wanted = found.join(twice, "hash", "left_semi").groupBy("print").agg(F.collect_set(F.struct("hash", "at", "low", "high")).alias("anchors"))
+    twice = found.groupBy("hash").agg(F.min(place).alias("x"), F.max(place).alias("y"), F.count("*").alias("n")).where("x <> y")
+    twice = twice.select("hash", (F.col("n") > most).alias("common"))
+    anchor = F.struct("hash", "at", "low", "high")
+    wanted = found.join(twice, "hash").groupBy("print").agg(
+        F.collect_set(F.when(~F.col("common"), anchor)).alias("anchors"), F.collect_set(F.when(F.col("common"), anchor)).alias("common")
+    )
     whole = docs.groupBy("print").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
     texts = whole.join(wanted, "print", "left").select(
         "print",
@@ -173,7 +237,7 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[Data
         F.octet_length("text").cast("long").alias("n_bytes"),
         F.sha2("text", 256).alias("sha256"),
         F.when(F.col("anchors").isNotNull(), F.col("text")).alias("text"),
-        "anchors",
+        *(F.when(F.size(c) > 0, F.col(c)).alias(c) for c in ("anchors", "common")),
     )
     texts = stored(texts, "texts")
 
@@ -252,16 +316,20 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[Data
                 add(name, low, high + length)
         yield from done(len(group["at"]))
 
-    return texts, dealt.mapInArrow(order, "print binary, start long, end long")
+    found = dealt.mapInArrow(order, "print binary, start long, end long")
+    common = texts.where("common is not null")
+    return texts, found if common.select("print").isEmpty() else found.union(windows_apart(common, length))
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def without_repeats(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_column: str = "doc_id", text_column: str = "text", most: int = MOST
+) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) per row; ``kept`` is binary, since a cut may split a character."""
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.unhex(F.md5(text)).alias("print"), text.alias("text"))
-    texts, found = spans(rows.select("print", "text"), length, gram)
+    texts, found = spans(rows.select("print", "text"), length, gram, most)
     found = found.groupBy("print").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    texts = texts.drop("anchors").join(found, "print", "left")
+    texts = texts.drop("anchors", "common").join(found, "print", "left")
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
         out: dict[str, list] = {c: [] for c in ("print", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
