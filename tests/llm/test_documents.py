@@ -159,6 +159,17 @@ def test_line_dedup(spark, odd, sample, which):
     assert got == deduped_by_hand(docs.collect(), least)
 
 
+def test_short_runs_are_found_and_the_floor_only_decides_what_goes(spark):
+    floor = lines.LEAST_WORDS
+    long = " ".join(f"w{i}" for i in range(floor))
+    texts = ["one\n\nshort line\n" + long, "x\none\ny z\n" + long + "\nshort line", "none of it", "\n\nshort line\nq\nq"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = lines.without_later_copies(docs).orderBy("doc_id").collect()
+    assert [(r["__n_repeated"], r["__n_repeated_runs"]) for r in got] == [(0, 0), (3, 2), (0, 0), (3, 2)]
+    assert [(r["__n_removed"], r["__n_runs"]) for r in got] == [(0, 0), (1, 1), (0, 0), (0, 0)]
+    assert [r.text for r in got] == [texts[0], "x\none\ny z\nshort line", texts[2], texts[3]]
+
+
 # --- archives ----------------------------------------------------------------------------
 
 

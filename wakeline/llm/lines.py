@@ -5,11 +5,11 @@ lines comes from those of its halves. A run never leaves its document, so the do
 the order of suffixes by name, which Spark's shuffle of names makes: suffixes with one name are an interval of the suffix
 array whose longest common prefix has at least that run's length.
 
-A run is worth deleting if it has ``least_words`` words and occurs before (in the order of document id, then line).
-Every such run, whatever its length, is the union of shortest runs of that many words that start at one of
-its lines and of those that end at one, so only these two per line are named (by two overlapping power-of-two
-names) and shuffled. Occurrences of a name are reduced to the first one by a map-side ``min``. Adjoining
-deleted lines make up the maximal repeated runs.
+A run is repeated if it has a word and occurs before (in the order of document id, then line), and worth deleting if
+it has ``least_words`` words too. Every such run, whatever its length, is the union of shortest runs of that many words that
+start at one of its lines and of those that end at one, so only these two per line are named, for one word and for
+``least_words`` (by two overlapping power-of-two names), and shuffled. Occurrences of a name are reduced to the first one by a map-side ``min``. Adjoining
+repeated or deleted lines make up one run.
 
 Names have 128 bits, so that chance does not delete lines at any input size.
 
@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from wakeline.llm.common import by_batch, read, stored
 from wakeline.llm.words import hashes, mix, owners, raw, slices, words
 
-LEAST_WORDS = 50
+#: Words of a run that is deleted; shorter ones are found and counted only. The README has the figures behind it.
+LEAST_WORDS = 15
 
 
 def lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -81,7 +82,10 @@ def shortest_runs(weight: np.ndarray, first: np.ndarray, least: int) -> tuple[np
 
 
 def runs_of(docs: DataFrame, least_words: int) -> DataFrame:
-    """(n1, n2, doc_id, print, line, length) of every shortest run."""
+    """(n1, n2, doc_id, print, line, length, goes) of every shortest run of one word and of ``least_words``.
+
+    ``goes``: it has ``least_words``.
+    """
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
         text = batch.column("text")
@@ -93,7 +97,9 @@ def runs_of(docs: DataFrame, least_words: int) -> DataFrame:
             one = hashes(data, a, b)
             view = memoryview(data)
             two = np.array([xxhash.xxh3_64_intdigest(view[x:y]) for x, y in zip(a.tolist(), b.tolist())], np.uint64)
-            start, length = shortest_runs(weight, first, least_words)
+            found = (np.stack(shortest_runs(weight, first, least)) for least in (1, least_words))
+            start, length = np.unique(np.concatenate(list(found), axis=1), axis=1)
+            total = np.concatenate(([0], np.cumsum(weight)))
             of = owners(first)[start] if len(start) else start
             yield {
                 "n1": names_of_runs(one, start, length).view(np.int64),
@@ -102,13 +108,14 @@ def runs_of(docs: DataFrame, least_words: int) -> DataFrame:
                 "print": batch.column("print").slice(i, j - i).take(pa.array(of)),
                 "line": start - first[of],
                 "length": length,
+                "goes": total[start + length] - total[start] >= least_words,
             }
 
-    return by_batch(docs, "n1 long, n2 long, doc_id long, print long, line long, length long", work)
+    return by_batch(docs, "n1 long, n2 long, doc_id long, print long, line long, length long, goes boolean", work)
 
 
 def later_copies(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """(doc_id, print, runs): per document the runs (line, length) of which there is an earlier copy.
+    """(doc_id, print, runs): per document the runs (line, length, goes) of which there is an earlier copy.
 
     ``docs`` has doc_id, text and print, which tells apart documents with one id.
     """
@@ -116,13 +123,16 @@ def later_copies(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     first = found.groupBy("n1", "n2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "print", "line")).alias("first"))
     first = first.where("n > 1").drop("n")
     later = found.join(first, ["n1", "n2"]).where(~F.struct("doc_id", "print", "line").eqNullSafe(F.col("first")))
-    return later.groupBy("doc_id", "print").agg(F.collect_set(F.struct("line", "length")).alias("runs"))
+    return later.groupBy("doc_id", "print").agg(F.collect_set(F.struct("line", "length", "goes")).alias("runs"))
 
 
 def without_later_copies(
     docs: DataFrame, least_words: int = LEAST_WORDS, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """``docs`` with the text shortened, and ``__n_lines``, ``__n_removed`` lines and ``__n_runs`` removed runs."""
+    """``docs`` with the text shortened, and ``__n_lines``, ``__n_removed`` lines and ``__n_runs`` removed runs.
+
+    ``__n_repeated`` lines in ``__n_repeated_runs`` runs occur before, whatever their length.
+    """
     keyed = docs.withColumn("__print", F.xxhash64(F.col(text_column)))
     slim = keyed.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), F.col("__print").alias("print"))
     found = later_copies(slim, least_words).select(F.col("doc_id").alias("__id"), F.col("print").alias("__print2"), "runs")
@@ -131,19 +141,22 @@ def without_later_copies(
     ).drop("__id", "__print", "__print2")
     kept = [c for c in docs.columns if c != text_column]
     joined = joined.select(*kept, F.col(text_column).alias("__text"), F.col("runs").alias("__runs"))
-    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept), "__text string, __n_lines long, __n_removed long, __n_runs long"])
+    counts = ("__n_lines", "__n_removed", "__n_runs", "__n_repeated", "__n_repeated_runs")
+    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept), "__text string", *(f"{c} long" for c in counts)])
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
         texts, runs = batch.column("__text").to_pylist(), batch.column("__runs").to_pylist()
-        out: dict[str, list] = {"__text": [], "__n_lines": [], "__n_removed": [], "__n_runs": []}
+        out: dict[str, list] = {c: [] for c in ("__text", *counts)}
         for text, spans in zip(texts, runs):
             rows = text.split("\n") if text else []
-            gone = np.zeros(len(rows) + 1, np.int8)
+            gone, again = np.zeros((2, len(rows) + 1), np.int8)
             for span in spans or ():
-                gone[span["line"] : span["line"] + span["length"]] = 1
-            if spans:
+                at = slice(span["line"], span["line"] + span["length"])
+                again[at] = 1
+                gone[at] |= span["goes"]
+            if gone.any():
                 text = "\n".join([row for row, g in zip(rows, gone) if not g])
-            for column, value in zip(out.values(), (text, len(rows), int(gone.sum()), int((np.diff(gone, prepend=0) > 0).sum()))):
+            for column, value in zip(out.values(), (text, len(rows), *(int(x) for flag in (gone, again) for x in (flag.sum(), (np.diff(flag, prepend=0) > 0).sum())))):
                 column.append(value)
         yield {c: batch.column(c) for c in kept} | out
 
@@ -157,5 +170,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("__n_lines").alias("n_lines"),
         F.col("__n_removed").alias("n_removed"),
         F.col("__n_runs").alias("n_runs"),
+        F.col("__n_repeated").alias("n_repeated"),
+        F.col("__n_repeated_runs").alias("n_repeated_runs"),
         F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("kept_sha256"),
     )
