@@ -123,3 +123,27 @@ def test_full_batches_of_short_texts(spark, n):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.components(docs).collect()}
     assert got == {i: (len(shingles(t)), 0 if i in (4095, n - 1) else i) for i, t in enumerate(texts)}
+
+
+def test_halves_that_coincide_are_allowed_for(spark, monkeypatch):
+    """With halves of few bits many coincide; pairs of templates with a few rare words of their own are still linked."""
+    tokens = np.array([1, 1 << 32 | 1, 2, 1, 5, 5, 5], np.uint64)
+    assert jaccard.coinciding(tokens, np.array([0, 3, 3, 7])).tolist() == [1, 0, 2]
+    plain = jaccard.prefix
+
+    def few_bits(values, first, level, order, percent):
+        tokens, begins = plain(values, first, level, order, percent)
+        return (tokens if order == 0 else (tokens >> np.uint64(8) << np.uint64(32)) | (tokens & np.uint64(7))), begins
+
+    monkeypatch.setattr(jaccard, "prefix", few_bits)
+    rnd = random.Random(6)
+    base = [f"w{i}" for i in range(600)]
+    texts = []
+    for i in range(12):
+        own = list(base)
+        for at in rnd.sample(range(600), 5):
+            own[at] = f"own{i}x{at}"
+        texts.append(" ".join(own))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(map(tuple, jaccard.components(docs).select("doc_id", "n_shingles", "component_id").collect()), key=str)
+    assert got == by_hand(docs.collect()) and len({r[2] for r in got}) == 1

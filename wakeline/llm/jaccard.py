@@ -88,6 +88,13 @@ def prefix(values: np.ndarray, first: np.ndarray, level: np.ndarray, order: int,
     return key[ranges(first[:-1], length)] & np.uint64((1 << TOKEN) - 1), np.concatenate(([0], np.cumsum(length)))
 
 
+def coinciding(tokens: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Of each prefix, how many tokens have a lower half that another one before has."""
+    key = np.sort((owners(begins).astype(np.uint64) << np.uint64(32)) | (tokens & np.uint64(0xFFFFFFFF)))
+    again = (key[1:][key[1:] == key[:-1]] >> np.uint64(32)).astype(np.int64)
+    return np.bincount(again, minlength=len(begins) - 1)
+
+
 class _Seen:
     """Names met by a task, so that copies it meets again are not sent again; forgetting only costs repeats."""
 
@@ -258,11 +265,12 @@ def links(docs: DataFrame, percent: int = PERCENT, orders: int = ORDERS) -> Data
                 return out | {"whole": ragged(values.view(np.int64), first, pa.int64())}
             for k in range(1, orders):
                 tokens, begins = prefix(values, first, levels(state), k, percent)
-                # Half of a token will do to rule a pair out.
+                # Half of a token will do to rule a pair out, with as much allowed for as halves of the prefix coincide.
                 out[f"p{k}"] = ragged(tokens.view(np.int64).astype(np.int32), begins, pa.int32())
+                out[f"alike_p{k}"] = coinciding(tokens, begins)
             return out
 
-        columns = ["whole array<long>"] if whole else [f"{p} array<int>" for p in names]
+        columns = ["whole array<long>"] if whole else [f"{p} array<int>, alike_{p} long" for p in names]
         return stored(_texts(docs, ", ".join(["node long", "n long", *columns]), work).dropDuplicates(["node"]), "sets")
 
     def joined(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -274,14 +282,15 @@ def links(docs: DataFrame, percent: int = PERCENT, orders: int = ORDERS) -> Data
         """Pairs that share as many prefix tokens under every order as the similarity asks for.
 
         Of the ``least`` common tokens, those not in both prefixes are in the rest of the set whose prefix
-        ends first in the order, so at most as many as the longer rest has are missing. Two are allowed for tokens that
-        their halves confuse.
+        ends first in the order, so at most as many as the longer rest has are missing. Common tokens whose halves coincide
+        count once; no more are lost by that than coincide in either prefix.
         """
         least = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
         for p in names:
             rest = F.greatest(*(F.col(f"n_{s}") - F.size(f"{p}_{s}") for s in ("a", "b")))
             shared = F.size(F.array_intersect(f"{p}_a", f"{p}_b"))
-            pairs = pairs.where(shared >= F.greatest(least - rest - 2, F.lit(1).cast("long")))
+            alike = F.least(f"alike_{p}_a", f"alike_{p}_b")
+            pairs = pairs.where(shared >= F.greatest(least - rest - alike, F.lit(1).cast("long")))
         return pairs.select("a", "b")
 
     pivots, sets, edges = PIVOTS, None, None
