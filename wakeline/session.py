@@ -5,10 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Where the tables of :func:`stored` lie.
+_PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def local_session(cores: str | int = "*", **conf: str) -> SparkSession:
     """Session for tests and the local bench; a cluster brings its own settings."""
     settings = {
@@ -57,4 +62,16 @@ def stored(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PATHS[table] = path
+    return table
+
+
+def remove(*tables: DataFrame | None) -> None:
+    """Delete tables of :func:`stored` that nothing will read again."""
+    for table in tables:
+        path = _PATHS.pop(table, None) if table is not None else None
+        if path:
+            jvm, context = table.sparkSession._jvm, table.sparkSession.sparkContext._jsc
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(context.hadoopConfiguration()).delete(place, True)
