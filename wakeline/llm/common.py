@@ -9,9 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.session import fresh_path, stored
+from wakeline.session import fresh_path, remove, stored
 
-__all__ = ["bounds", "by_batch", "fresh_path", "parts", "read", "stored", "union_labels"]
+__all__ = ["bounds", "by_batch", "fresh_path", "parts", "read", "remove", "stored", "union_labels"]
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:

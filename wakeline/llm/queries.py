@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wakeline.llm import jaccard, language, lines, merkle, mixing, packing, quality, repeats, token_files, warc
+from wakeline.llm import codes, jaccard, language, lines, merkle, mixing, packing, quality, repeats, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing.op1_mixing,
@@ -19,8 +19,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": lines.op8_line_dedup,
     "op9_warc": warc.op9_warc,
     "op10_merkle": merkle.op10_merkle,
+    "op11_ball_codes": codes.op11_ball_codes,
 }
 ORACLES: dict[str, str] = {
     "op1_mixing": mixing.SQL,
     "op9_warc": warc.SQL,
+    "op11_ball_codes": codes.SQL,
 }
