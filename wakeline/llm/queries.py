@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wakeline.llm import codes, jaccard, language, lines, merkle, mixing, packing, quality, repeats, token_files, warc
+from wakeline.llm import codes, jaccard, language, lines, merkle, mixing, packing, quality, repeats, shards, token_files, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing.op1_mixing,
@@ -20,6 +20,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc": warc.op9_warc,
     "op10_merkle": merkle.op10_merkle,
     "op11_ball_codes": codes.op11_ball_codes,
+    "op12_ring_shards": shards.op12_ring_shards,
+    "op13_whitening": whitening.op13_whitening,
 }
 ORACLES: dict[str, str] = {
     "op1_mixing": mixing.SQL,
