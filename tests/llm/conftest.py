@@ -21,6 +21,13 @@ ODD_TEXTS = [
 ]
 
 
+def thue_morse(n):
+    text = "a"
+    for _ in range(n):
+        text += text.translate(str.maketrans("ab", "ba"))
+    return text
+
+
 @pytest.fixture(scope="session")
 def odd(spark):
     """Documents with odd texts, null and repeated ids, and columns whose names clash with derived ones."""

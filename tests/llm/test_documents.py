@@ -8,6 +8,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from conftest import thue_morse
 from pyspark.sql import functions as F
 
 from wakeline.llm import lines, merkle, mixing, quality, warc
@@ -106,6 +107,17 @@ def test_fingerprints_and_edits(odd, sample, which):
     assert len(set(by_text.values())) == len(by_text)
 
 
+def test_patterns_that_cancel_out_in_a_polynomial(spark):
+    """A string of 2,048 letters and its complement are different lines and different texts."""
+    a = thue_morse(11)
+    b = a.translate(str.maketrans("ab", "ba"))
+    docs = spark.createDataFrame([(1, f"{a}\n{b}"), (2, f"{b}\n{a}"), (3, f"{a} x {b}"), (4, f"{a} x {a}")], "doc_id long, text string")
+    prints = {r.doc_id: r.fingerprint for r in merkle.fingerprints(docs).collect()}
+    assert len({p.split(".")[0] for p in prints.values()}) == 4
+    assert merkle.likeness(prints[3], prints[4]) < 1 and merkle.differences(prints[3], prints[4])
+    assert [r.n_dup_lines for r in quality.measures(docs).orderBy("doc_id").collect()] == [0, 0, 0, 0]
+
+
 def test_differences_locate_an_edit():
     rnd = random.Random(2)
     text = "\n".join(" ".join(f"w{rnd.randint(0, 999)}" for _ in range(30)) for _ in range(60))

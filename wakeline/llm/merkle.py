@@ -2,9 +2,10 @@
 
 A paragraph is a line with its line end. A piece ends after a word whose hash is a multiple of ``PIECE_WORDS``, a section
 after a paragraph whose hash is a multiple of ``SECTION_PARAGRAPHS``: bounds depend on content, so an
-insertion moves none of the others. A node's hash is that of its children's hashes. The fingerprint is the root
-(128 bits) and, in base64, all nodes from the sections down with their number of children (pieces: code
-points). Equal roots mean equal texts; ``differences`` goes down only where two trees differ and says where.
+insertion moves none of the others. A node's digest (128 bits of BLAKE2) is that of its children's digests. The
+fingerprint is the root's digest and, in base64, all nodes from the sections down, 48 bits of the digest each, with
+their number of children (pieces: code points). Equality is told by the root alone, which is made of whole digests;
+likeness goes by the short ones. ``differences`` goes down only where two trees differ and says where.
 
 ``likeness`` is the share of code points in pieces that both have (twice the common ones over the sum, copies
 counted), 0 to 1.
@@ -26,7 +27,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,11 +35,16 @@ from wakeline.llm.words import hashes, raw, slices, words
 
 PIECE_WORDS = 8
 SECTION_PARAGRAPHS = 8
+#: Bytes of a node's digest.
+DIGEST = 16
 _NODE = np.dtype([("hash", "u1", 6), ("size", "<u4")])
 
 
-def _bytes(values: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(values).view(np.uint8)
+def digests(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A row of ``DIGEST`` bytes for each range between successive bounds."""
+    view, at = memoryview(np.ascontiguousarray(data).reshape(-1)), bounds.tolist()
+    whole = b"".join([hashlib.blake2b(view[a:b], digest_size=DIGEST).digest() for a, b in zip(at, at[1:])])
+    return np.frombuffer(whole, np.uint8).reshape(-1, DIGEST)
 
 
 class Trees:
@@ -57,38 +62,41 @@ class Trees:
         paragraph = cut.copy()
         cut[ends[hashes(data, starts, ends) % np.uint64(PIECE_WORDS) == 0]] = True
         at = np.flatnonzero(cut)
-        leaves = hashes(data, at[:-1], at[1:])
+        leaves = digests(data, at)
         self.leaves = (leaves, (lead[at[1:]] - lead[at[:-1]]).astype(np.int64), np.searchsorted(at, offsets))
         first = np.flatnonzero(paragraph[at])  # of each paragraph its first piece, and the end
-        paragraphs = hashes(_bytes(leaves), 8 * first[:-1], 8 * first[1:])
+        paragraphs = digests(leaves, DIGEST * first)
         of_text = np.searchsorted(at[first], offsets)
         self.paragraphs = (paragraphs, np.diff(first), of_text)
         ends_section = np.zeros(len(paragraphs) + 1, bool)
-        ends_section[1:] = paragraphs % np.uint64(SECTION_PARAGRAPHS) == 0
+        ends_section[1:] = paragraphs[:, -1] % SECTION_PARAGRAPHS == 0
         ends_section[of_text] = True
         first = np.flatnonzero(ends_section)
-        sections = hashes(_bytes(paragraphs), 8 * first[:-1], 8 * first[1:])
+        sections = digests(paragraphs, DIGEST * first)
         self.sections = (sections, np.diff(first), np.searchsorted(first, of_text))
 
     def __len__(self) -> int:
         return len(self.chars)
 
     def pieces(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """48 bits of the hash and the code points of text ``i``'s pieces."""
+        """48 bits of the digest and the code points of text ``i``'s pieces."""
         values, sizes, first = self.leaves
         a, b = first[i], first[i + 1]
-        return values[a:b] & np.uint64((1 << 48) - 1), sizes[a:b]
+        wide = np.zeros((b - a, 8), np.uint8)
+        wide[:, :6] = values[a:b, :6]
+        return wide.reshape(-1).view("<u8").astype(np.uint64), sizes[a:b]
 
     def fingerprint(self, i: int) -> str:
         levels = []
         for values, sizes, first in (self.sections, self.paragraphs, self.leaves):
             a, b = first[i], first[i + 1]
             node = np.zeros(b - a, _NODE)
-            node["hash"] = _bytes(values[a:b]).reshape(-1, 8)[:, :6]
+            node["hash"] = values[a:b, :6]
             node["size"] = sizes[a:b]
             levels.append(node)
         values, _, first = self.sections
-        root = xxhash.xxh3_128_hexdigest(np.append(values[first[i] : first[i + 1]], np.uint64(self.chars[i])).tobytes())
+        own = values[first[i] : first[i + 1]].tobytes() + int(self.chars[i]).to_bytes(8, "little")
+        root = hashlib.blake2b(own, digest_size=DIGEST).hexdigest()
         return f"{root}.{'.'.join(base64.b64encode(x.tobytes()).decode() for x in levels)}"
 
 
