@@ -104,6 +104,54 @@ def test_pieces_cover_every_id_once(spark, odd, sample, which):
     assert padding <= 0.01 * total
 
 
+def test_texts_of_a_few_tokens_need_no_padding(spark):
+    """The limit on segments closes sequences long before they are full."""
+    docs = spark.createDataFrame([(i, "a b") for i in range(4000)] + [(4000 + i, "x") for i in range(900)], "doc_id long, text string")
+    padding, total = check_packing(packing.pack_texts(docs).collect(), docs.collect(), (2048, 256, 2048))
+    assert padding == 0 and total > 9000
+
+
+def test_conversations(spark, tmp_path):
+    rnd = random.Random(8)
+    rows = []
+    for conv in range(120):
+        for turn in range(rnd.randint(1, 7)):
+            rows.append((conv, turn, "assistant" if turn % 2 else "user", "word " * rnd.choice([0, 3, 60, 700]), 1))
+    rows += [(1000 + i, 1, "assistant", "ok", 1) for i in range(400)]
+    rows += [(None, 1, "assistant", "no conversation", 1), (3, None, None, None, 1), (4, 9, "assistant", "b " * 5000, 1)]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string, tokens int").write.parquet(f"{tmp_path}/conversations.parquet")
+    pieces = packing.pack_conversations(spark, str(tmp_path)).collect()
+    expected, held = {}, {}
+    for conv, turn, role, text, _ in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] is not None, r[1] or 0)):
+        n = len(ids_of("byte_bpe_50k.json", text))
+        mine = held.setdefault(conv, [turn, 0, 0])
+        mine[0] = turn if mine[0] is None else mine[0]
+        mine[1] += n
+        if role == "assistant":
+            name = "{" + ",".join(f'"{k}":{v}' for k, v in (("conv_id", conv), ("turn", mine[0])) if v is not None) + "}"
+            expected[name] = (mine[1], mine[2])
+            del held[conv]
+        else:
+            mine[2] += n
+    for conv, (turn, n, quiet) in held.items():
+        expected["{" + ",".join(f'"{k}":{v}' for k, v in (("conv_id", conv), ("turn", turn)) if v is not None) + "}"] = (n, quiet)
+    parts, sequences = {}, {}
+    for p in pieces:
+        parts.setdefault(p.name, []).append((p.start, p.length))
+        sequences.setdefault(p.sequence_id, []).append(p)
+    assert set(parts) == set(expected)
+    for name, (n, _) in expected.items():
+        spans = sorted(parts[name])
+        assert spans[0][0] == 0 and sum(x for _, x in spans) == n and all(a + x == b for (a, x), (b, _) in zip(spans, spans[1:]))
+    full = {0: 0, 1: 0, 2: 0}
+    for ps in sequences.values():
+        used = (sum(p.length for p in ps), len(ps), sum(max(0, p.start + p.length - max(p.start, expected[p.name][1])) for p in ps))
+        assert used[0] <= 2048 and used[1] <= 16 and used[2] <= 1024
+        for k, most in enumerate((2048, 16, 1024)):
+            full[k] += used[k] == most
+    assert all(full.values())
+
+
 def test_empty_table(odd):
     assert packing.pack_texts(odd.limit(0)).collect() == []
 

@@ -5,8 +5,8 @@ the sequence being filled, the example with the greatest dot product between its
 left (both in shares of the limits) is placed, so that scarce room decides. Where nothing fits whole, the example
 with the greatest product is cut to fill the room (``cut=True``), or the sequence is closed. Each task packs the
 rows it reads, from a window of ``WINDOW`` candidates that is refilled as they are placed, so that memory is bounded
-and nothing is shuffled: only the last sequence of a task can be short. What is short at the end of a task is cut into
-lengths that are powers of two, which need no padding.
+and nothing is shuffled. A sequence that stays short (its segments or loss-bearing tokens are full, or a task ends) is, where
+cutting is allowed, cut down to a power of two, which needs no padding; the rest of it waits for the next one.
 
 Loss-bearing tokens are those from ``loss_from`` to an example's end (instruction data: the answer).
 
@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from wakeline.llm.common import read
 from wakeline.llm.encode import encoder, with_end
@@ -43,11 +44,11 @@ class Packer:
         self.limits, self.cut, self.window, self.powers = np.array(limits, np.float64), cut, window, powers
         self.length, self.segments, self.loss = limits
         # Candidates: key, start of what is left, tokens left, loss-bearing tokens left.
-        self.pool = np.zeros((4, window), np.int64)
+        self.pool = np.zeros((4, window + self.segments), np.int64)
         self.n = 0
         self.placed: list[tuple[int, int, int, int, int]] = []
         self.sequence = 0
-        self.open: list[tuple[int, int, int, int]] = []
+        self.open: list[tuple[int, int, int, int, int]] = []  # key, start, tokens, offset, loss-bearing tokens
         self.used = [0, 0, 0]
 
     def add(self, key: int, tokens: int, loss_from: int = 0) -> None:
@@ -65,23 +66,31 @@ class Packer:
         if start < tokens:
             self.pool[:, self.n] = key, start, tokens - start, loss
             self.n += 1
-            while self.n == self.window:
+            while self.n >= self.window:
                 self._step()
 
     def _room(self) -> tuple[int, int, int]:
         return self.length - self.used[0], self.segments - self.used[1], self.loss - self.used[2]
 
     def _close(self) -> None:
-        self.placed += [(k, s, n, self.sequence, o) for k, s, n, o in self.open]
-        self.sequence += 1
+        pieces, total = self.open, self.used[0]
         self.open, self.used = [], [0, 0, 0]
+        whole = 1 << (total.bit_length() - 1) if self.cut and self.powers and 0 < total < self.length else total
+        for key, start, n, offset, loss in pieces:
+            here = min(n, max(0, whole - offset))
+            if here:
+                self.placed.append((key, start, here, self.sequence, offset))
+            if here < n:  # an example's loss is at its end
+                self.pool[:, self.n] = key, start + here, n - here, min(loss, n - here)
+                self.n += 1
+        self.sequence += 1
 
     def _put(self, i: int, tokens: int) -> None:
         """Place the first ``tokens`` of candidate ``i``; the rest of it stays a candidate."""
         key, start, left, loss = self.pool[:, i].tolist()
         quiet = left - loss
         bears = max(0, tokens - quiet)
-        self.open.append((key, start, tokens, self.used[0]))
+        self.open.append((key, start, tokens, self.used[0], bears))
         self.used = [self.used[0] + tokens, self.used[1] + 1, self.used[2] + bears]
         if tokens == left:
             self.n -= 1
@@ -115,26 +124,11 @@ class Packer:
         return done
 
     def finish(self) -> None:
-        while self.n:
-            self._step()
-        if not self.open:
-            return
-        if not (self.cut and self.powers):
-            self._close()
-            return
-        # Cut the short sequence into powers of two, the longest first.
-        pieces, self.open, self.used = self.open, [], [0, 0, 0]
-        room = 0
-        total = sum(n for _, _, n, _ in pieces)
-        for key, start, n, _ in pieces:
-            while n:
-                if not room:
-                    room, offset = 1 << (total.bit_length() - 1), 0
-                take = min(n, room)
-                self.placed.append((key, start, take, self.sequence, offset))
-                start, n, room, offset, total = start + take, n - take, room - take, offset + take, total - take
-                if not room:
-                    self.sequence += 1
+        while self.n or self.open:
+            if self.n:
+                self._step()
+            else:
+                self._close()
 
 
 PIECES = "start long, length long, sequence_id long, offset long"
@@ -157,18 +151,20 @@ def pack_examples(
 ) -> DataFrame:
     """Pack examples of known length: (id, start, length, sequence_id, offset) per piece; null lengths count as 0."""
     data = examples.select(
-        F.col(id_column).cast("long").alias(id_column),
+        F.col(id_column),
         F.coalesce(F.col(tokens).cast("long"), F.lit(0)).alias("__tokens"),
         F.coalesce(F.col(loss_from).cast("long"), F.lit(0)).alias("__from") if loss_from else F.lit(0).cast("long").alias("__from"),
     )
 
+    kind = to_arrow_type(data.schema[id_column].dataType)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, first, ids, at = Packer(limits, cut), _first_sequence(), {}, 0
 
         def out(rows):
             key, start, length, sequence, offset = (list(x) for x in zip(*rows))
             return pa.RecordBatch.from_arrays(
-                [pa.array(x, pa.int64()) for x in ([ids[k] for k in key], start, length, [first + s for s in sequence], offset)],
+                [pa.array([ids[k] for k in key], kind), *(pa.array(x, pa.int64()) for x in (start, length, [first + s for s in sequence], offset))],
                 [id_column, "start", "length", "sequence_id", "offset"],
             )
 
@@ -185,7 +181,7 @@ def pack_examples(
         if rows := packer.drain():
             yield out(rows)
 
-    return data.mapInArrow(work, f"{id_column} long, {PIECES}")
+    return data.mapInArrow(work, f"`{id_column}` {data.schema[id_column].dataType.simpleString()}, {PIECES}")
 
 
 def pack_texts(
@@ -238,5 +234,51 @@ def pack_texts(
 NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
+def conversation_examples(turns: DataFrame, tokenizer: str = "byte_bpe_50k.json", answers: str = "assistant") -> DataFrame:
+    """(conv_id, turn, tokens, loss_from) of every answer with the question before it: the answer bears the loss.
+
+    An example is one turn of ``answers`` and what others said since the last such turn, each text with an end id. Turns
+    of a conversation are put in order in one task, a number per turn; a null conversation is dealt out by its texts, each turn an example
+    of its own. What no answer follows has no loss.
+    """
+    from pyspark.sql import Window
+
+    data = turns.select(
+        "conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role") == answers, F.lit(False)).alias("own"), "text"
+    )
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.column("text")
+            for i, j in slices(text):
+                _, starts = with_end(*encoder(tokenizer, False)(text.slice(i, j - i)), 1)
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c).slice(i, j - i) for c in ("conv_id", "turn", "own")), pa.array(np.diff(starts), pa.int64())],
+                    ["conv_id", "turn", "own", "n"],
+                )
+
+    kind = data.schema["conv_id"].dataType.simpleString()
+    counted = data.mapInArrow(count, f"conv_id {kind}, turn long, own boolean, n long")
+    known = counted.where("conv_id is not null")
+    order = Window.partitionBy("conv_id").orderBy("turn", "own", "n")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    known = known.withColumn("example", F.coalesce(F.sum(F.col("own").cast("long")).over(before), F.lit(0)))
+    known = known.groupBy("conv_id", "example").agg(
+        F.min("turn").alias("turn"), F.sum("n").alias("tokens"), F.sum(F.when(~F.col("own"), F.col("n")).otherwise(0)).alias("loss_from")
+    )
+    alone = counted.where("conv_id is null").select("conv_id", "turn", F.col("n").alias("tokens"), F.when(F.col("own"), 0).otherwise(F.col("n")).alias("loss_from"))
+    return known.select("conv_id", "turn", "tokens", "loss_from").unionByName(alone)
+
+
+def pack_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers with their questions, whole, in sequences of 2048 tokens, 16 examples and 1024 loss-bearing tokens at most.
+
+    A longer example is cut; so limits of all three kinds bind.
+    """
+    examples = conversation_examples(read(spark, sf_dir, "conversations"))
+    name = F.struct("conv_id", "turn")
+    return pack_examples(examples.withColumn("name", F.to_json(name)), (LENGTH, 16, LENGTH // 2), True, "name", "tokens", "loss_from")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_texts(read(spark, sf_dir, "documents"))

@@ -12,6 +12,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing.op1_mixing,
     "op2_token_files": token_files.op2_token_files,
     "op3_packing": packing.op3_packing,
+    "pack_conversations": packing.pack_conversations,
     "op4_ngram_jaccard": jaccard.op4_ngram_jaccard,
     "op5_quality": quality.op5_quality,
     "op6_language": language.op6_language,
