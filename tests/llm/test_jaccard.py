@@ -7,6 +7,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from conftest import thue_morse
+
 from wakeline.llm import jaccard
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -73,9 +75,11 @@ def test_components(spark, odd, sample, which):
 def test_pivots_meet_every_open_pair(spark):
     """A group streamed in small batches: pairs of a pivot with all others, across batches."""
     rows = [(7, node, 10, node) for node in range(50)] + [(8, 3, 10, 3), (9, 1, 10, 1), (9, 2, 30, 2), (9, 5, 11, 1)]
+    # Of twenty tokens each three have passed: at most 17 are common, and 18 would have to be.
+    rows += [(10, 60, 20, 60), (10, 61, 3 << 32 | 20, 61)]
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
-        got = jaccard.pairs_in_groups(spark.createDataFrame(rows, "token long, node long, n long, comp long"), 3).collect()
+        got = jaccard.pairs_in_groups(spark.createDataFrame(rows, "token long, node long, at long, comp long"), 3).collect()
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     pairs = {(r.a, r.b) for r in got if r.kind == 0}
@@ -98,6 +102,34 @@ def test_prefixes_keep_every_pair_under_every_order():
             assert len(shared) or not similar
 
 
+def test_first_common_token_leaves_enough(seed=4):
+    """The group of a similar pair's first common token forms the pair."""
+    rng = np.random.default_rng(seed)
+    level = np.zeros(jaccard.BUCKETS, np.uint8)
+    level[: jaccard.BUCKETS // 2] = 3
+    base = rng.integers(0, 2**52, 300, dtype=np.uint64)
+    for _ in range(60):
+        a = np.unique(base[rng.random(300) < rng.uniform(0.8, 1)])
+        b = np.unique(np.concatenate((base[rng.random(300) < rng.uniform(0.8, 1)], rng.integers(0, 2**52, 20, dtype=np.uint64))))
+        both = len(np.intersect1d(a, b))
+        if 100 * both < 80 * (len(a) + len(b) - both):
+            continue
+        values, first = jaccard.prefix(np.concatenate((a, b)), np.array([0, len(a), len(a) + len(b)]), level, 0, 80)
+        x, y = values[: first[1]].tolist(), values[first[1] :].tolist()
+        i, j = min((x.index(t), y.index(t)) for t in set(x) & set(y))
+        assert 180 * min(len(a) - i, len(b) - j) >= 80 * (len(a) + len(b))
+
+
+def test_patterns_that_cancel_out_in_a_polynomial(spark):
+    """A string of 2,048 letters and its complement: different words, so different shingles."""
+    a = thue_morse(11)
+    b = a.translate(str.maketrans("ab", "ba"))
+    texts = [f"{w} c d e f g h" for w in (a, b)] + [a, b] + [f"x {w[:64]} y z" for w in (a, b)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(map(tuple, jaccard.components(docs).select("doc_id", "n_shingles", "component_id").collect()), key=str)
+    assert got == by_hand(docs.collect()) and len({r[2] for r in got}) == len(texts)
+
+
 def test_one_of_each(spark, odd):
     rows = [(5, "a b c d e f g h", "x"), (2, "A b c d e f g h", "y"), (9, "other words here", "z"), (11, None, "q"), (12, "", "q")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, node string")

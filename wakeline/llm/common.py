@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wakeline.session import fresh_path, remove, stored
 
-__all__ = ["bounds", "by_batch", "fresh_path", "parts", "read", "remove", "stored", "union_labels"]
+__all__ = ["bounds", "by_batch", "free", "fresh_path", "parts", "read", "remove", "stored", "union_labels"]
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -22,6 +22,17 @@ def parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes to be no column of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def bounds(df: DataFrame, column: str, n: int) -> list[int]:
     """Upper ends of ``n`` ranges with about equally many rows; one aggregate over one column."""
     share = [i / n for i in range(1, n)]
@@ -85,7 +96,8 @@ def union_labels(edges: DataFrame, most: int = 60) -> DataFrame:
         small = large.join(low, "a").select(
             F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")
         )
-        edges = stored(small.select("e.a", "e.b").where("a <> b").distinct(), "edges")
+        last, edges = edges, stored(small.select("e.a", "e.b").where("a <> b").distinct(), "edges")
+        remove(last)
         # The same digest of all edges means that none has changed.
         now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("a", "b") % 1_000_003)).first()
         if now == before:

@@ -3,14 +3,15 @@
 Two sets with similarity ``t`` share a token among the first ``n - ceil(t n) + 1`` of each under *any* global order
 of tokens. So candidates must share prefix tokens under every one of ``ORDERS`` orders (one brings them together, the
 others must show as many common tokens as the similarity asks of prefixes); only pairs that pass all of these
-filters are verified, exactly. All orders put frequent tokens last (found by local counts in a hashed table
-of fixed size; what the table says only shapes the orders, not the result) and differ in the hash that
-breaks ties.
+filters are verified, exactly. All orders put frequent tokens last (``frequent``; what it finds only shapes the
+orders, not the result) and differ in the hash that breaks ties. Where the first common token of two sets stands at places i and j of the order, they have at most
+``min(n_a - i, n_b - j)`` tokens in common; pairs for which that is too few are not formed in that token's group.
 
 Only what the result needs is compared: it is connected components, so in each group of documents that share a
 prefix token a few pivots are compared with the others; then pivots leave, groups whose members are already connected
-are done, and the rest goes on with more pivots. Each unordered pair in a group is either compared once or skipped
-because both are connected by then, so no link that matters is lost, and groups of copies cost rows in
+are done, and the rest goes on with more pivots. Pivots are those with the fewest rarer tokens of their own: of a text
+and its edited copies the text itself. Each unordered pair in a group is either compared once or skipped
+because both are connected by then or have too little left, so no link that matters is lost, and groups of copies cost rows in
 proportion to their size. Equal sets are one node. Groups are streamed in sorted order with a few pivots in memory.
 
 Defined cases: text without words has an empty set, linked with nothing; fewer words than a shingle are one
@@ -28,16 +29,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import by_batch, parts, ragged, read, stored, union_labels
+from wakeline.llm.common import by_batch, parts, ragged, read, remove, stored, union_labels
 from wakeline.llm.words import fold, grams, hashes, mix, owners, ranges, raw, slices, words
 
 SHINGLE = 5
 PERCENT = 80
 ORDERS = 3
-#: Hashed counters of a task, and the bits of the filter of nodes; both fixed.
-BUCKETS = 1 << 22
-BITS = 1 << 23
-#: Pivots of a group in the first round; eight times as many in each further one.
+#: Hashed levels of frequent tokens, how many such tokens make them up at most, and tokens that a task counts at once.
+BUCKETS, FREQUENT, COUNTED = 1 << 24, 1 << 20, 1 << 22
+#: Bits a name of the filter that goes before a semi-join, and all its bits at most; beyond them it lets more through.
+BITS, MOST_BITS = 8, 1 << 27
+#: Pivots of a group in the first round; eight times as many in each further one, as what is still open then is unlike.
 PIVOTS = 2
 #: Bits of a shingle, texts of a batch (their number takes the other bits), bits of a token in an order.
 WIDTH, TEXTS, TOKEN = 52, 1 << 12, 46
@@ -143,41 +145,55 @@ def _texts(docs: DataFrame, schema: str, work) -> DataFrame:
 
 
 def frequent(docs: DataFrame) -> np.ndarray:
-    """Level of each bucket: 0, or more for buckets that many documents fall into.
+    """Level of each bucket: 0, or more for buckets with a token that many sets have.
 
-    Tasks report buckets well above their mean, a few thousand rows each; at most ``BUCKETS`` numbers arrive.
+    Tasks report tokens that two of some ten thousand neighbouring sets share, Spark adds them up, and the most frequent
+    ones count, as many powers of two as ``FREQUENT`` tokens cover. Other tokens of a bucket are taken for frequent too.
     """
 
     def work(values, first, names, state):
-        counts = state.setdefault("counts", np.zeros(BUCKETS, np.uint32))
         held = state.setdefault("held", [])
         if values is not None:
-            held.append(bucket(values))
-        if held and (values is None or sum(map(len, held)) > BUCKETS):
-            counts += np.bincount(np.concatenate(held), minlength=BUCKETS).astype(np.uint32)
-            held.clear()
-        if values is not None:
+            held.append(values)
+            state["n"] = state.get("n", 0) + len(values)
+        if not held or (values is not None and state["n"] < COUNTED):
             return None
-        many = np.flatnonzero(counts > max(7, 4 * int(counts.sum()) // BUCKETS))
-        return {"bucket": many.astype(np.int32), "n": counts[many].astype(np.int64)}
+        token, n = np.unique(np.concatenate(held), return_counts=True)
+        held.clear()
+        state["n"] = 0
+        return {"token": token[n > 1].view(np.int64), "n": n[n > 1].astype(np.int64)}
+
+    level = F.floor(F.log2("n")).cast("int")
+    found = _texts(docs, "token long, n long", work).groupBy("token").agg(F.sum("n").alias("n")).where("n > 7")
+    found = stored(found.select("token", level.alias("level")), "frequent")
+    counts = {r["level"]: r["n"] for r in found.groupBy("level").agg(F.count("*").alias("n")).collect()}
+    least, total = 64, 0
+    for x in sorted(counts, reverse=True):
+        total += counts[x]
+        if total > FREQUENT:
+            break
+        least = x
+    rows = found.where(F.col("level") >= least).toArrow()
+    remove(found)
+    out = np.zeros(BUCKETS, np.uint8)
+    np.maximum.at(out, bucket(rows.column("token").to_numpy().view(np.uint64)), rows.column("level").to_numpy().astype(np.uint8))
+    return out
 
-    found = _texts(docs, "bucket int, n long", work).groupBy("bucket").agg(F.sum("n").alias("n")).collect()
-    level = np.zeros(BUCKETS, np.uint8)
-    for b, n in found:
-        level[b] = min(63, n.bit_length())
-    return level
 
+def pairs_in_groups(rows: DataFrame, pivots: int, percent: int = PERCENT) -> DataFrame:
+    """Of rows (token, node, at, comp): pairs (kind 0, a, b) of each group's pivots with its other members, where
+    what is left of both sets allows the similarity and components differ, and the group without pivots (kind 1).
 
-def pairs_in_groups(rows: DataFrame, pivots: int) -> DataFrame:
-    """Of rows (token, node, n, comp): pairs (kind 0, a, b) of each group's pivots with its other members, where
-    sizes allow the similarity and components differ, and what is left of the group without pivots (kind 1).
+    ``at`` has the token's place in its upper half and the size of the set in the lower one. Without ``comp``
+    every node is its own component.
     """
-    dealt = rows.repartition(parts(rows.sparkSession), "token").sortWithinPartitions("token", "node")
+    columns = [c for c in ("token", "node", "at", "comp") if c in rows.columns]
+    dealt = rows.select(*columns).repartition(parts(rows.sparkSession), "token").sortWithinPartitions("token", "at", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carry = np.zeros((4, 0), np.int64)  # the pivots of the group that is open
+        carry = np.zeros((len(columns), 0), np.int64)  # the pivots of the group that is open
         for batch in batches:
-            fresh = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "node", "n", "comp")])
+            fresh = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in columns])
             if carry.shape[1] and carry[0, 0] != fresh[0, 0]:
                 carry = carry[:, :0]
             both = np.concatenate((carry, fresh), axis=1)
@@ -185,7 +201,10 @@ def pairs_in_groups(rows: DataFrame, pivots: int) -> DataFrame:
             twice[1:] = (both[0, 1:] == both[0, :-1]) & (both[1, 1:] == both[1, :-1])
             own = np.arange(both.shape[1]) >= carry.shape[1]
             both, own = both[:, ~twice], own[~twice]
-            token, node, n, comp = both
+            token, node, at = both[:3]
+            comp = both[3] if len(both) > 3 else node
+            n = at & 0xFFFFFFFF
+            left = n - (at >> 32)
             new = np.ones(len(token), bool)
             new[1:] = token[1:] != token[:-1]
             begins = np.flatnonzero(new)
@@ -193,37 +212,37 @@ def pairs_in_groups(rows: DataFrame, pivots: int) -> DataFrame:
             place = np.arange(len(token)) - begin
             found = []
             for j in range(min(pivots, int(place.max(initial=0)))):
-                at = np.flatnonzero((place > j) & own)
-                p = begin[at] + j
-                ok = (comp[at] != comp[p]) & (100 * np.minimum(n[at], n[p]) >= PERCENT * np.maximum(n[at], n[p]))
-                found.append(np.stack((np.minimum(node[at[ok]], node[p[ok]]), np.maximum(node[at[ok]], node[p[ok]]))))
+                x = np.flatnonzero((place > j) & own)
+                y = begin[x] + j
+                ok = (comp[x] != comp[y]) & ((100 + percent) * np.minimum(left[x], left[y]) >= percent * (n[x] + n[y]))
+                found.append(np.stack((np.minimum(node[x[ok]], node[y[ok]]), np.maximum(node[x[ok]], node[y[ok]]))))
             pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
-            left = (place >= pivots) & own
-            k, m = pairs.shape[1], int(left.sum())
+            rest = (place >= pivots) & own
+            k, m = pairs.shape[1], int(rest.sum())
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.repeat([0, 1], [k, m]), pa.int32()),
-                    pa.array(np.concatenate((pairs[0], node[left]))),
-                    pa.array(np.concatenate((pairs[1], token[left]))),
-                    pa.array(np.concatenate((np.zeros(k, np.int64), n[left]))),
+                    pa.array(np.concatenate((pairs[0], node[rest]))),
+                    pa.array(np.concatenate((pairs[1], token[rest]))),
+                    pa.array(np.concatenate((np.zeros(k, np.int64), at[rest]))),
                 ],
-                ["kind", "a", "b", "n"],
+                ["kind", "a", "b", "at"],
             )
             last = begins[-1]
             carry = both[:, last : last + pivots]
 
-    return dealt.mapInArrow(run, "kind int, a long, b long, n long")
+    return dealt.mapInArrow(run, "kind int, a long, b long, at long")
 
 
 def filter_of(nodes: DataFrame) -> np.ndarray:
-    """A bit per hashed node; what else has its bit set only makes work."""
-    at = nodes.select(F.col("node").bitwiseAND(BITS - 1).alias("x"))
-    found = at.groupBy(F.shiftright("x", 5).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(x & 31 as int))")).alias("bits"))
-    out = np.zeros(BITS // 32, np.uint32)
-    rows = found.collect()  # at most BITS / 32 rows
-    if rows:
-        out[[r[0] for r in rows]] = np.array([r[1] for r in rows], np.int64).astype(np.uint32)
-    return out
+    """A bit per hashed name, in words of 32; what else has its bit set only makes work for the semi-join behind it."""
+    bits = 1 << min(MOST_BITS.bit_length() - 1, max(16, (BITS * nodes.count()).bit_length()))
+    at = nodes.select(F.col("node").bitwiseAND(bits - 1).alias("x"))
+    found = at.groupBy(F.shiftright("x", 5).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1, cast(x & 31 as int))")).alias("bits"))
+    rows = found.toArrow()  # 8 bytes for every 32 bits, so 32 MB at most
+    out = np.zeros(bits // 32, np.int32)
+    out[rows.column("w").to_numpy()] = rows.column("bits").to_numpy()
+    return out.view(np.uint32)
 
 
 def links(docs: DataFrame, percent: int = PERCENT, orders: int = ORDERS) -> DataFrame:
@@ -244,36 +263,42 @@ def links(docs: DataFrame, percent: int = PERCENT, orders: int = ORDERS) -> Data
             return None
         tokens, begins = prefix(values, first, levels(state), 0, percent)
         count = np.diff(begins)
-        return {"token": tokens.view(np.int64), "node": np.repeat(names, count), "n": np.repeat(np.diff(first), count)}
+        place = np.arange(len(tokens)) - np.repeat(begins[:-1], count)
+        return {"token": tokens.view(np.int64), "node": np.repeat(names, count), "at": place << 32 | np.repeat(np.diff(first), count)}
 
-    rows = _texts(docs, "token long, node long, n long", posting).withColumn("comp", F.col("node"))
+    rows = _texts(docs, "token long, node long, at long", posting)
     names = [f"p{k}" for k in range(1, orders)]
 
-    def sets_for(nodes: DataFrame, whole: bool) -> DataFrame:
-        """The named sets, whole or their prefixes, stored; made anew from the texts, as most are never asked for."""
+    def sets_for(nodes: DataFrame, prefixes: bool, whole: bool) -> DataFrame:
+        """The named sets, their prefixes or whole, stored; made anew from the texts, as most are never asked for."""
+        nodes = stored(nodes.distinct(), "asked")
         bits = filter_of(nodes)
 
         def work(values, first, names_, state):
             if values is None:
                 return None
-            at = names_ & (BITS - 1)
+            at = names_ & (32 * len(bits) - 1)
             keep = (bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1
             n = np.diff(first)[keep]
             values, first = values[ranges(first[:-1][keep], n)], np.concatenate(([0], np.cumsum(n)))
             out = {"node": names_[keep], "n": n}
             if whole:
-                return out | {"whole": ragged(values.view(np.int64), first, pa.int64())}
-            for k in range(1, orders):
+                out["whole"] = ragged(values.view(np.int64), first, pa.int64())
+            for k in range(1, orders) if prefixes else ():
                 tokens, begins = prefix(values, first, levels(state), k, percent)
                 # Half of a token will do to rule a pair out, with as much allowed for as halves of the prefix coincide.
                 out[f"p{k}"] = ragged(tokens.view(np.int64).astype(np.int32), begins, pa.int32())
                 out[f"alike_p{k}"] = coinciding(tokens, begins)
             return out
 
-        columns = ["whole array<long>"] if whole else [f"{p} array<int>, alike_{p} long" for p in names]
-        return stored(_texts(docs, ", ".join(["node long", "n long", *columns]), work).dropDuplicates(["node"]), "sets")
+        columns = ["whole array<long>"] * whole + [f"{p} array<int>, alike_{p} long" for p in names if prefixes]
+        passed = _texts(docs, ", ".join(["node long", "n long", *columns]), work).join(nodes, "node", "left_semi")
+        table = stored(passed.dropDuplicates(["node"]), "sets")
+        remove(nodes)
+        return table
 
-    def joined(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    def joined(pairs: DataFrame, sets: DataFrame, columns: list[str]) -> DataFrame:
+        sets = sets.select("node", "n", *columns)
         for s in ("b", "a"):
             pairs = pairs.join(sets.select(*(F.col(c).alias(s if c == "node" else f"{c}_{s}") for c in sets.columns)), s)
         return pairs
@@ -293,31 +318,47 @@ def links(docs: DataFrame, percent: int = PERCENT, orders: int = ORDERS) -> Data
             pairs = pairs.where(shared >= F.greatest(least - rest - alike, F.lit(1).cast("long")))
         return pairs.select("a", "b")
 
-    pivots, sets, edges = PIVOTS, None, None
-    found = stored(pairs_in_groups(rows, pivots), "pairs")
+    pivots, sets, edges, whole = PIVOTS, None, None, None
+    short = [c for p in names for c in (p, f"alike_{p}")]
+    found = stored(pairs_in_groups(rows, pivots, percent), "pairs")
     while True:
         pairs = stored(found.where("kind = 0").select("a", "b").distinct(), "candidates")
         if sets is None:
-            sets = sets_for(pairs.select(F.explode(F.array("a", "b")).alias("node")), whole=False)
-        passed = stored(filtered(joined(pairs, sets)), "passed")
-        verified = joined(passed, sets_for(passed.select(F.explode(F.array("a", "b")).alias("node")), whole=True))
+            sets = sets_for(pairs.select(F.explode(F.array("a", "b")).alias("node")), True, False)
+        passed = stored(filtered(joined(pairs, sets, short)), "passed")
+        remove(pairs)
+        if whole is None:
+            whole = sets_for(passed.select(F.explode(F.array("a", "b")).alias("node")), False, True)
+        verified = joined(passed, whole, ["whole"])
         verified = verified.withColumn("i", F.size(F.array_intersect("whole_a", "whole_b")))
         verified = verified.where(100 * F.col("i") >= percent * (F.col("n_a") + F.col("n_b") - F.col("i"))).select("a", "b")
-        verified = stored(verified, "links")
-        edges = verified if edges is None else edges.union(verified)
-        labels = stored(union_labels(edges), "labels")
-        rows = found.where("kind = 1").select(F.col("b").alias("token"), F.col("a").alias("node"), "n")
-        rows = rows.join(labels.withColumnRenamed("label", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        rows = rows.select("token", "node", "n", "comp")
-        open_ = rows.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("token")
-        rows = stored(rows.join(open_, "token", "left_semi"), "groups")
+        # A few edges that span each component stand for all links so far.
+        new = verified if edges is None else verified.union(edges.select(F.col("node").alias("a"), F.col("label").alias("b")))
+        before, edges = edges, stored(union_labels(new), "labels")
+        remove(passed, before)
+        if whole is not sets:
+            remove(whole)
+            whole = None
+        left = found.where("kind = 1").select(F.col("b").alias("token"), F.col("a").alias("node"), "at")
+        left = left.join(edges.select("node", F.col("label").alias("comp")), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        left = left.select("token", "node", "at", "comp")
+        size, place = F.col("at").bitwiseAND(0xFFFFFFFF), F.shiftright("at", 32)
+        open_ = left.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.min(size).alias("least")).where("x < y")
+        # Rows with too little left even for the smallest set of the group are done there.
+        left = left.join(open_.select("token", "least"), "token").where((100 + percent) * (size - place) >= percent * (size + F.col("least")))
+        before, rows = found, stored(left.drop("least"), "groups")
+        remove(before)
         if rows.isEmpty():
-            return labels
-        if edges is verified:
-            # All that later rounds can ask for is in the groups that are open now.
-            sets = sets_for(rows.select("node").distinct(), whole=False)
+            remove(sets, rows)
+            return edges
+        if pivots <= 8 * PIVOTS:
+            # All that later rounds can ask for is in the groups that are open now; in the end that is little.
+            remove(sets)
+            sets = sets_for(rows.select("node"), True, pivots > PIVOTS)
+            whole = sets if pivots > PIVOTS else None
         pivots *= 8
-        found = stored(pairs_in_groups(rows, pivots), "pairs")
+        found = stored(pairs_in_groups(rows, pivots, percent), "pairs")
+        remove(rows)
 
 
 def components(docs: DataFrame, percent: int = PERCENT, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
