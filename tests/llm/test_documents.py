@@ -1,5 +1,6 @@
 """Measures and votes, fingerprints, line dedup, archives and mixing against plain Python."""
 
+import collections
 import hashlib
 import os
 import random
@@ -17,6 +18,9 @@ from wakeline.llm.common import fresh_path, union_labels
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
+Doc = collections.namedtuple("Doc", "doc_id text")
+
+
 def tables(odd, sample):
     return {"odd": odd, "sample": sample, "empty": odd.limit(0)}
 
@@ -156,6 +160,65 @@ def deduped_by_hand(rows, least):
     return sorted([(str(r.doc_id), *out[r.doc_id, r.text]) for r in rows], key=str)
 
 
+def deduped_pairwise(rows, least):
+    """Every two places with one line, followed as far as they agree; for tables too long for every run."""
+    distinct = sorted({(r.doc_id, r.text) for r in rows}, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None))
+    texts = [(key[1] or "").split("\n") if key[1] else [] for key in distinct]
+    words = [[len(WORD.findall(x)) for x in row] for row in texts]
+    places, out = {}, {}
+    for n, (key, row) in enumerate(zip(distinct, texts)):
+        gone, again = set(), set()
+        for i, line in enumerate(row):
+            for m, j in places.get(line, ()):
+                k = 0
+                while i + k < len(row) and j + k < len(texts[m]) and row[i + k] == texts[m][j + k]:
+                    k += 1
+                total = sum(words[n][i : i + k])
+                gone |= set(range(i, i + k)) if total >= least else set()
+                again |= set(range(i, i + k)) if total else set()
+            places.setdefault(line, []).append((n, i))
+        out[key] = (len(row), len(gone), "\n".join(x for k, x in enumerate(row) if k not in gone) if gone else key[1], len(again))
+    return sorted([(str(r.doc_id), *out[r.doc_id, r.text]) for r in rows], key=str)
+
+
+def test_both_checks_by_hand_agree():
+    rnd = random.Random(9)
+    rows = [Doc(i, "\n".join(rnd.choice(["a b", "c", "", "d e f", "b"]) for _ in range(rnd.randint(1, 9)))) for i in range(50)]
+    for least in (1, 3, 8):
+        assert [r[:4] for r in deduped_pairwise(rows, least)] == deduped_by_hand(rows, least)
+
+
+@pytest.mark.parametrize("which", ["odd", "sample", "blank"])
+@pytest.mark.parametrize("least", [1, lines.LEAST_WORDS, 50])
+def test_line_dedup_of_whole_texts(spark, odd, sample, which, least):
+    """The shipped floor and others, on texts of any length; runs of many lines, blank ones among them."""
+    base = [f"line {i}" if i % 5 else "" for i in range(70)]
+    blank = [(1, "\n".join(base)), (2, "\n".join(["x", *base[3:61], "y"])), (3, "\n" * 200 + "end"), (4, "\n" * 150 + "end\n" + "\n".join(base[:9]))]
+    docs = {**tables(odd, sample), "blank": spark.createDataFrame(blank, "doc_id long, text string")}[which]
+    docs = docs.withColumn("runs", F.lit("own")).withColumn("print", F.lit(1)).withColumn("c0", F.lit(2)).withColumn("__print", F.lit(3))
+    got = lines.without_later_copies(docs, least)
+    assert got.columns[: len(docs.columns)] == docs.columns
+    found = got.collect()
+    assert sorted(((str(r.doc_id), r["__n_lines"], r["__n_removed"], r.text, r["__n_repeated"]) for r in found), key=str) == deduped_pairwise(docs.collect(), least)
+    assert {(r.runs, r.print, r.c0, r["__print"]) for r in found} <= {("own", 1, 2, 3)}
+
+
+def test_ranks_are_a_suffix_array(spark):
+    """Ranks of a level: places before it in the order of the first lines' ids, among places whose run recurs."""
+    rnd = random.Random(3)
+    texts = [[rnd.choice("abcd") for _ in range(rnd.randint(3, 30))] for _ in range(12)]
+    docs = spark.createDataFrame([(i, "\n".join(t), i) for i, t in enumerate(texts)], "doc_id long, text string, print long")
+    ids = {r.line_text: (r.a, r.b) for i, t in enumerate(texts) for r in lines.lines_of(docs.where(f"doc_id = {i}")).selectExpr(
+        f"element_at(array({','.join(repr(x) for x in t)}), line + 1) as line_text", "a", "b").collect()}
+    for k, level in enumerate(lines.suffix_levels(docs, 6)):
+        size = 1 << k
+        runs = {(d, i): tuple(ids[x] for x in t[i : i + size]) for d, t in enumerate(texts) for i in range(len(t) - size + 1)}
+        recur = {p: r for p, r in runs.items() if sum(q == r for q in runs.values()) > 1}
+        order = sorted(recur.values())
+        assert {(r.doc_id, r.line): r["rank"] for r in level.collect()} == {p: order.index(r) for p, r in recur.items()}
+    assert k >= 2
+
+
 @pytest.mark.parametrize("which", ["odd", "sample", "small", "empty"])
 def test_line_dedup(spark, odd, sample, which):
     rnd = random.Random(4)

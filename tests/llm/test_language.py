@@ -2,11 +2,14 @@
 
 import itertools
 import os
+import random
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from wakeline.llm import language
 
@@ -49,6 +52,54 @@ def test_words_of_a_switched_text_get_their_own_language():
     assert abs(sums[0, 0] / letters[0] - 15 / 33) < 0.1 and sums[1, 0] > 0.9 * letters[1] and letters[2] == 0
 
 
+def test_switches_inside_a_sentence(spark):
+    """Words of two languages in one sentence, in stretches of 5 to 25 words; learned from the shipped sample."""
+    folder = "/root/testdata/sf0.01"
+    if not os.path.isdir(folder):
+        pytest.skip("test tables absent")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    model = language.learn(docs.where(~language.is_held_out("doc_id")))
+    words = {}
+    for r in docs.where(language.is_held_out("doc_id")).where("lang is not null and text is not null").collect():
+        words.setdefault(r.lang, []).extend(w for w in re.findall(r"[^\W\d_]+", r.text))
+    rnd = random.Random(1)
+    for a, b in itertools.combinations(sorted(words), 2):
+        text, truth = [], {a: 0, b: 0}
+        for k in range(40):
+            lang = (a, b)[k % 2]
+            at = rnd.randrange(len(words[lang]) - 25)
+            piece = words[lang][at : at + rnd.randint(5, 25)]
+            text += piece
+            truth[lang] += sum(map(len, piece))
+        sums, total = model.label(pa.array([" ".join(text)]), {})
+        share = dict(zip(model.languages, sums[0] / total[0]))
+        assert abs(share[a] - truth[a] / sum(truth.values())) < 0.03 and share[a] + share[b] > 0.97
+
+
+def test_a_rare_language_is_learned(spark):
+    """One of a thousand labels: the sample is shared out among languages."""
+    rows = [(i, f"the house and the garden of number {i} with this", "en") for i in range(3000)]
+    rows += [(5000 + i, "haus und garten der nummer mit diesem", "de") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.learn(docs, sample=200)
+    found = language.predict(spark.createDataFrame([(1, "und der garten"), (2, "the garden")], "doc_id long, text string"), model)
+    assert [r.lang_pred for r in found.orderBy("doc_id").collect()] == ["de", "en"]
+
+
+def test_unlabelled_documents_and_clashing_names_are_kept(spark):
+    docs = spark.createDataFrame([(i, f"some words {i}", None, -5.0, "own") for i in range(20)], "doc_id long, text string, lang string, score double, lang_pred string")
+    assert sorted(map(tuple, language.keep_known(docs).collect())) == sorted(map(tuple, docs.collect()))
+    labelled = docs.withColumn("lang", F.lit("en"))
+    kept = language.keep_known(labelled)
+    assert kept.columns == docs.columns and {(r.score, r.lang_pred) for r in kept.collect()} == {(-5.0, "own")}
+
+
+def test_all_letters_of_a_word_count():
+    long = "ab" * 20
+    assert len(language.features(long, {})) == len(long) + 9
+    assert language.features(long[:20] + "q" + long[20:], {}) != language.features(long, {})
+
+
 def test_odd_texts(odd):
     model = language.learn(odd.select("doc_id", "text", "lang"))
     got = language.predict(odd.withColumnRenamed("n_chars", "score"), model).collect()

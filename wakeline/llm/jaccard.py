@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline.llm.common import by_batch, parts, ragged, read, remove, stored, union_labels
@@ -398,16 +398,19 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     A null id counts as the greatest. Rows without words all stay.
     """
-    key, text_print = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)), F.xxhash64("text")
-    found = components(docs, percent)
-    first = found.where("label is not null").groupBy("label").agg(F.min(F.struct(key.alias("key"), "print")).alias("m"))
-    empty = found.where("label is null").select(key.alias("__key"), F.col("print").alias("__print")).distinct()
-    chosen = first.select(F.col("m.key").alias("__key"), F.col("m.print").alias("__print"), F.lit(True).alias("__one"))
-    chosen = chosen.union(empty.withColumn("__one", F.lit(False)))
-    rows = docs.withColumns({"__key": key, "__print": text_print}).join(chosen, ["__key", "__print"])
+    names = [f"c{i}" for i in range(len(docs.columns))]  # a column of docs may have any name
+    own_id, own_text = (names[docs.columns.index(c)] for c in ("doc_id", "text"))
+    plain = docs.toDF(*names)
+    key = F.coalesce(F.col(own_id).cast("long"), F.lit((1 << 63) - 1))
+    found = components(docs, percent).where("label is not null")
+    place = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("key_"), F.col("print").alias("print_"))
+    first = found.groupBy("label").agg(F.min(place).alias("m")).select("m.*")
+    has_words = F.coalesce(F.col(own_text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rows = plain.where(has_words).withColumns({"key": key, "print": F.xxhash64(own_text)})
     # Rows alike in id and text are one component: one of them stays.
-    place = F.row_number().over(Window.partitionBy("__key", "__print").orderBy("__key"))
-    return rows.withColumn("__place", place).where("not __one or __place = 1").select(*docs.columns)
+    one = rows.join(first, (F.col("key") == F.col("key_")) & (F.col("print") == F.col("print_"))).dropDuplicates(["key", "print"])
+    kept = one.select(*names).union(plain.where(~has_words))
+    return kept.toDF(*docs.columns)
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,8 @@ language is the one with the greatest sum of marginal probabilities over its let
 Words are runs of letters, lower-cased. A chain is a stretch of text between sentence ends, at most ``CHAIN``
 words long; longer stretches are several chains.
 
-Learning uses a bounded sample: chains of ``SAMPLE`` labelled documents, chosen by a hash of the id, and of each
+Learning uses a bounded sample: ``SAMPLE`` labelled documents, shared out evenly among the languages (one each at
+least) and chosen by a hash of the id, and of each
 document at most ``CHAINS_EACH`` chains, spread over all of it. The lexicon (words that occur in at least two sampled
 documents, where nine in ten of their uses are in one language) comes from the same sample. The model is a few
 arrays of fixed size, sent to the tasks as such. Prediction reads whole texts and nothing but the text.
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wakeline.llm.common import by_batch, read
@@ -41,7 +42,6 @@ SAMPLE = 1200
 CHAINS_EACH = 12
 ROUNDS = 30
 BUCKETS = 1 << 15
-FEATURES = 24
 DECAY = 1e-5
 CACHE = 400_000
 UNKNOWN = "und"
@@ -53,24 +53,25 @@ _APART[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 
 def features(word: str, lexicon: dict[str, int]) -> list[int]:
-    """Buckets of a word's features: affixes, n-grams with edges, the lexicon."""
+    """Buckets of a word's features: affixes, the whole word, all n-grams with edges, the lexicon."""
     edged = f"<{word}>"
-    found = [f"p{word[:k]}" for k in (1, 2, 3)] + [f"s{word[-k:]}" for k in (1, 2, 3, 4)] + [f"w{word[:12]}"]
+    found = [f"p{word[:k]}" for k in (1, 2, 3)] + [f"s{word[-k:]}" for k in (1, 2, 3, 4)] + [f"w{word}"]
     found.append(f"l{lexicon.get(word, -1)}")
-    # Of long words the n-grams are taken from both ends inwards.
-    grams = [edged[i : i + 3] for i in range(len(edged) - 2)]
-    spread = grams if len(grams) <= 15 else grams[:8] + grams[-7:]
-    found += [f"g{g}" for g in spread]
-    return [1 + zlib.crc32(f.encode()) % (BUCKETS - 1) for f in found[:FEATURES]]
+    found += [f"g{edged[i : i + 3]}" for i in range(len(edged) - 2)]
+    return [zlib.crc32(f.encode()) % BUCKETS for f in found]
 
 
-def table(words: list[str], lexicon: dict[str, int]) -> np.ndarray:
-    """Feature buckets per word, padded with bucket 0, whose weight stays 0."""
-    out = np.zeros((len(words), FEATURES), np.int32)
-    for i, w in enumerate(words):
-        row = features(w, lexicon)
-        out[i, : len(row)] = row
-    return out
+def table(words: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Feature buckets of all words, one after the other, and where each word's begin; no word is without."""
+    rows = [features(w, lexicon) for w in words]
+    count = np.array([len(r) for r in rows], np.int64)
+    return np.array([b for r in rows for b in r], np.int64), np.cumsum(count) - count
+
+
+def emissions(weights: np.ndarray, rows: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Sum of the weights of each word's features: (word, language)."""
+    flat, begins = rows
+    return np.add.reduceat(weights[flat], begins, axis=0) if len(begins) else np.zeros((0, weights.shape[1]))
 
 
 def letters(word: str) -> str:
@@ -151,6 +152,7 @@ class Model:
     def fit(self, words: list[str], code: np.ndarray, starts: np.ndarray, labels: np.ndarray, rounds: int = ROUNDS) -> None:
         """Maximum likelihood by Adam over all chains. ``code`` indexes words, ``labels`` are languages of chains."""
         rows = table(words, self.lexicon)
+        count = np.diff(np.append(rows[1], len(rows[0])))
         lengths = np.diff(np.append(starts, len(code)))
         at, order = padded(starts, lengths)
         lengths, gold = lengths[order], labels[order]
@@ -165,13 +167,12 @@ class Model:
         second = [np.zeros_like(p) for p in parameters]
         stay = np.bincount(gold, np.maximum(lengths - 1, 0), k)
         for step in range(1, rounds + 1):
-            emission = self.weights[rows].sum(axis=1)
+            emission = emissions(self.weights, rows)
             marginal, expected, _ = forward_backward(emission[at], lengths, self.start, self.moves)
             flat = np.stack([np.bincount(at[mask], marginal[:, :, j][mask], len(words)) for j in range(k)], axis=1)
             per_word = (seen - flat) / total
-            slope = np.stack([np.bincount(rows.ravel(), np.repeat(per_word[:, j], FEATURES), BUCKETS) for j in range(k)], axis=1)
+            slope = np.stack([np.bincount(rows[0], np.repeat(per_word[:, j], count), BUCKETS) for j in range(k)], axis=1)
             slope -= DECAY * self.weights
-            slope[0] = 0
             slopes = [
                 slope,
                 (np.bincount(gold, minlength=k) - marginal[:, 0].sum(axis=0)) / total,
@@ -181,7 +182,6 @@ class Model:
                 a += 0.1 * (s - a)
                 b += 0.01 * (s * s - b)
                 p += 0.15 * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.99**step)) + 1e-9)
-            self.weights[0] = 0
 
     def label(self, column: pa.Array, cache: dict) -> tuple[np.ndarray, np.ndarray]:
         """Per text and language the sum of marginals over letters, and the number of letters."""
@@ -195,7 +195,7 @@ class Model:
             cache.clear()
         new = [w for w in found if w not in cache]
         plain = [letters(w) for w in new]
-        scores = self.weights[table(plain, self.lexicon)].sum(axis=1)
+        scores = emissions(self.weights, table(plain, self.lexicon))
         for w, p, s in zip(new, plain, scores):
             cache[w] = (*s, len(p)) if p else (*([0.0] * k), 0)
         known = np.array([cache[w] for w in found])[pieces.indices.to_numpy()]
@@ -224,12 +224,16 @@ def is_held_out(id_column: str | Column) -> Column:
 def learn(docs: DataFrame, sample: int = SAMPLE, each: int = CHAINS_EACH) -> Model:
     """A model of the non-null languages of ``docs`` (doc_id, text, lang), from a bounded sample."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    rank = F.xxhash64(F.lit("language"), "doc_id")
-    # The sample's largest hash, from two columns; then only those rows' texts are read.
-    languages = sorted(r["lang"] for r in known.select("lang").distinct().collect())
-    limit = known.select(rank.alias("r")).orderBy("r").limit(sample).agg(F.max("r")).first()[0]
-    if limit is None:
+    hashed = F.xxhash64(F.lit("language"), "doc_id")
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    languages = sorted(counts)
+    if not languages:
         return Model([], {})
+    share = max(1, sample // len(languages))
+    # A language's rows whose hash, as a number from 0 to 1, is below this are some more than its share; the smallest of them count.
+    least = F.lit(0.0)
+    for lang, n in counts.items():
+        least = F.when(F.col("lang") == lang, F.lit(1.0 if n <= 4 * share else (share + 8 * share**0.5) / n)).otherwise(least)
 
     def cut(batch: pa.RecordBatch) -> Iterator[dict]:
         """Of each text up to ``each`` chains, spread over all of it."""
@@ -241,7 +245,9 @@ def learn(docs: DataFrame, sample: int = SAMPLE, each: int = CHAINS_EACH) -> Mod
             rows = [" ".join(w for w in map(letters, words[starts[c] : ends[c]]) if w) for c in picked]
             yield {"lang": [batch.column("lang")[i].as_py()] * len(rows), "doc": [i] * len(rows), "chain": rows}
 
-    rows = known.where(rank <= limit).select("text", "lang", rank.alias("r")).orderBy("r").limit(sample).drop("r")
+    some = known.where(F.shiftrightunsigned(hashed, 11) / F.lit(float(1 << 53)) <= least).select("text", "lang", hashed.alias("r"))
+    order = F.row_number().over(Window.partitionBy("lang").orderBy("r", "text"))
+    rows = some.withColumn("place", order).where(F.col("place") <= share).drop("place", "r")
     found = [r for r in by_batch(rows, "lang string, doc long, chain string", cut).collect() if r["chain"]]
     found.sort()
     return learned(found, languages)
@@ -269,10 +275,12 @@ def learned(chains: list, languages: list[str]) -> Model:
     return model
 
 
-def predict(docs: DataFrame, model: Model, text_column: str = "text", keep_text: bool = False) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, without the text unless ``keep_text``."""
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score") and (keep_text or c != text_column)]
-    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept), "lang_pred string", "score double"])
+def predict(
+    docs: DataFrame, model: Model, text_column: str = "text", keep_text: bool = False, out: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """``docs`` with the language and the score in columns ``out``, without the text unless ``keep_text``."""
+    kept = [c for c in docs.columns if c not in out and (keep_text or c != text_column)]
+    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept), f"`{out[0]}` string", f"`{out[1]}` double"])
     names = np.array([*model.languages, UNKNOWN], object)
     cache: dict = {}
 
@@ -287,7 +295,7 @@ def predict(docs: DataFrame, model: Model, text_column: str = "text", keep_text:
             else:
                 best, score = np.zeros(j - i, int), np.zeros(j - i)
             columns = {c: batch.column(c).slice(i, j - i) for c in kept}
-            yield columns | {"lang_pred": pa.array(names[best], pa.string()), "score": np.clip(score, 0.0, 1.0)}
+            yield columns | {out[0]: pa.array(names[best], pa.string()), out[1]: np.clip(score, 0.0, 1.0)}
 
     return by_batch(docs.select(*dict.fromkeys([*kept, text_column])), schema, work)
 
@@ -299,8 +307,13 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, least: float = 0.4, id_column: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` whose text has a language at a score of ``least``; learned from their own ``lang``."""
+    """Rows of ``docs`` whose text has a language at a score of ``least``; learned from their own ``lang``.
+
+    Without any label there is nothing to reject a text by, and all stay.
+    """
     model = learn(docs.where(~is_held_out(id_column)))
-    found = predict(docs, model, keep_text=True)
-    known = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
-    return known.select(*docs.columns)
+    if not model.languages:
+        return docs
+    name, score = (next(n for i in range(len(docs.columns) + 1) if (n := f"{base}_{i}") not in docs.columns) for base in ("lang", "share"))
+    found = predict(docs, model, keep_text=True, out=(name, score))
+    return found.where((F.col(name) != UNKNOWN) & (F.col(score) >= least)).select(*docs.columns)

@@ -11,6 +11,8 @@ only rows of one such chunk are ranked together.
 
 The result of a run depends on the seed and the rows alone.
 
+``mixed`` gives the rows themselves; ``mix_sources`` the copies of each row, for tables without wide columns.
+
 Defined cases: a null or wordless text has size 0 and weighs nothing, but is taken as often as its neighbours in the
 order; a null source is a source of its own, the last; a source without words is not taken at all; rows that agree
 in source, size and id may change places (they are alike for the mix); an empty table gives an empty one.
@@ -21,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import read
+from wakeline.llm.common import read, stored
 
 WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
@@ -66,6 +68,12 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, budget=BUDGET, most=MOST)
     return rows.select("source", "source_size", target.alias("target"))
 
 
+def source_offset(source: Column, seed: str) -> Column:
+    """The random offset of a source, from 0 to 1."""
+    name = F.concat(F.lit(f"{seed}/"), F.coalesce(F.concat(F.lit("s"), source), F.lit("null")))
+    return F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+
+
 def mix_sources(
     docs: DataFrame,
     weights=WEIGHTS,
@@ -96,15 +104,59 @@ def mix_sources(
     rows = rows.join(counts, same).drop(*(f"{c}_" for c in chunk))
     rank = F.row_number().over(Window.partitionBy(*chunk).orderBy("__key")) + F.col("__before")
     rate = F.when(F.col("__source_size") > 0, F.col("__target") / F.col("__source_size")).otherwise(F.lit(0.0))
-    name = F.concat(F.lit(f"{seed}/"), F.coalesce(F.concat(F.lit("s"), F.col("__source")), F.lit("null")))
-    offset = F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
-    rows = rows.withColumns({"__rank": rank.cast("double"), "__rate": rate, "__offset": offset})
+    rows = rows.withColumns({"__rank": rank.cast("double"), "__rate": rate, "__offset": source_offset(F.col("__source"), seed)})
     copies = F.floor(F.col("__rank") * F.col("__rate") + F.col("__offset")) - F.floor(
         (F.col("__rank") - 1) * F.col("__rate") + F.col("__offset")
     )
     return rows.withColumn("__copies", copies.cast("long")).drop("__source", "__key", "__chunk", "__before", "__rank", "__rate", "__offset")
 
 
+def mixed(
+    docs: DataFrame,
+    weights=WEIGHTS,
+    budget: float = BUDGET,
+    most: int = MOST,
+    seed: str = SEED,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, their columns as they are.
+
+    Copies are worked out on (source, size, key) of rows without their texts, a row for all that are wholly alike; texts are
+    shuffled once, to meet their number of copies.
+    """
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    own_id, own_text, own_source = (names[docs.columns.index(c)] for c in (id_column, text_column, source_column))
+    others = F.to_json(F.struct(*(n for n in names if n != own_text)), {"ignoreNullFields": "false"})
+    digest = F.md5(F.concat(F.coalesce(F.md5(own_text), F.lit("null")), others))
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(own_id).cast("string"), F.lit("null"))))
+    plain = docs.toDF(*names).withColumn("digest", digest)
+    narrow = plain.select("digest", F.col(own_source).alias("source"), size_of(own_text).alias("size"), key.alias("key"))
+    groups = stored(narrow.groupBy("digest", "source", "size", "key").agg(F.count("*").alias("n")), "mix")
+    # The key orders a size, and the digest what has one id.
+    groups = groups.withColumn("chunk", F.substring(F.md5(F.concat("key", "digest")), 1, DIGITS))
+    counts = groups.groupBy("source", "size", "chunk").agg(F.sum("n").alias("n"))
+    sizes = counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
+    targets = source_targets(sizes, weights, budget, most).withColumnRenamed("source", "source_")
+    before = Window.partitionBy("source").orderBy("size", "chunk").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    starts = starts.join(targets, F.col("source").eqNullSafe(F.col("source_"))).select(
+        *(F.col(c).alias(f"{c}_") for c in ("source", "size", "chunk")), "before", "source_size", "target"
+    )
+    same = F.col("source").eqNullSafe(F.col("source_")) & (F.col("size") == F.col("size_")) & (F.col("chunk") == F.col("chunk_"))
+    within = Window.partitionBy("source", "size", "chunk").orderBy("key", "digest").rowsBetween(Window.unboundedPreceding, -1)
+    rank = F.col("before") + F.coalesce(F.sum("n").over(within), F.lit(0))
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    rows = groups.join(starts, same).select("digest", "n", "source", rank.alias("rank"), rate.alias("rate"))
+    offset = source_offset(F.col("source"), seed)
+    copies = F.floor((F.col("rank") + F.col("n")) * F.col("rate") + offset) - F.floor(F.col("rank") * F.col("rate") + offset)
+    taken = rows.select(F.col("digest").alias("digest_"), copies.cast("int").alias("copies")).where("copies > 0")
+    found = plain.dropDuplicates(["digest"]).join(taken, F.col("digest") == F.col("digest_"))
+    found = found.select(F.explode(F.array_repeat(F.struct(*names), F.col("copies"))).alias("row"))
+    return found.select(*(F.col(f"row.{n}").alias(c) for n, c in zip(names, docs.columns)))
+
+
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mix_sources(docs).select(
