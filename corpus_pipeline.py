@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline.llm import jaccard, language, lines, mixing, packing
-from wakeline.llm.common import read, stored
+from wakeline.llm.common import read, remove, stored
 
 #: A document is rejected when no language has this share of its letters.
 LEAST_SCORE = 0.4
@@ -23,9 +23,9 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated runs of lines are cut out; a document of which no word is left goes."""
-    cut = lines.without_later_copies(docs)
-    left = (F.col("__n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    n_chars = F.when(F.col("__n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    cut, removed = lines.with_removed(docs)
+    left = (F.col(removed) == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    n_chars = F.when(F.col(removed) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return cut.where(left).withColumn("n_chars", n_chars).select(*docs.columns)
 
 
@@ -36,8 +36,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    mixed = mixing.mix_sources(docs).where("__copies > 0")
-    return mixed.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    return mixing.mixed(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +57,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    docs, before = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        remove(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
