@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wakeline.functions import geo, severity
+from wakeline.functions import geo, globe, severity
 from wakeline.functions.timeops import col
 from wakeline.operators.joins import salted_join
 from wakeline.operators.sliced import previous_row
@@ -157,15 +157,18 @@ def cell_counts(
     by: Sequence[str | Column] = (),
     keys: Sequence[str] = TRIP_KEYS,
     size: float = geo.CELL_SIZE,
+    level: int | None = None,
     approx: bool = False,
 ) -> DataFrame:
-    """Distinct flagged trips per cell (and ``by``); cells only other rows touch count 0.
+    """Distinct flagged trips per cell (and ``by``); cells only other rows touch count 0. With ``level`` cells are
+    those of the globe (:mod:`wakeline.functions.globe`).
 
     The distinct count runs in two aggregations, by (cell, trip) and by cell, so
     a busy harbour cell is spread over its trips. ``approx`` needs only one.
     """
     trip = F.when(F.col(flag), F.struct(*keys)).alias("_t")
-    placed = rows.select(*by, geo.hex_cell("LAT", "LON", size).alias("cell"), trip).filter("cell is not null")
+    cell = geo.hex_cell("LAT", "LON", size) if level is None else globe.global_cell("LAT", "LON", level)
+    placed = rows.select(*by, cell.alias("cell"), trip).filter("cell is not null")
     group = [c for c in placed.columns if c != "_t"]
     if approx:
         return placed.groupBy(*group).agg(

@@ -7,10 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wakeline import schema
 from wakeline.functions import geo
-from wakeline.functions.timeops import nearest_hour
+from wakeline.functions.timeops import MICROS, micros
 from wakeline.operators.joins import column_or_null, nearest_in_time, rename_clashes
 
+#: How far a reading may be, and the width of the buckets it is looked up by.
+HALF_HOUR = schema.WEATHER_TOLERANCE_SECONDS * MICROS
 WEATHER_COLUMNS = ("wind_velocity", "wind_angle", "alignment_factor")
 
 
@@ -37,31 +40,48 @@ def node_spans(df: DataFrame, *, ts: str = "ts") -> DataFrame:
     )
 
 
-def _on_half(ts: str) -> Column:
-    """Is the time exactly half past?"""
-    return F.col(ts) == F.date_trunc("hour", F.col(ts)).cast("timestamp_ntz") + F.expr("INTERVAL 30 MINUTE")
+def _half_hour(at: Column) -> Column:
+    return F.floor(micros(at) / F.lit(float(HALF_HOUR))).cast("long")
 
 
-def _slot(ts: str) -> Column:
-    """What a row looks for: its nearest hour, or, half past, that instant itself, as two hours are equally near."""
-    return F.when(_on_half(ts), F.col(ts)).otherwise(nearest_hour(ts))
+def nearest_by_half_hours(df: DataFrame, readings: DataFrame, *, ts: str, reading_ts: str, key: str = "node_name") -> DataFrame:
+    """Left join of each row to the vessel's nearest reading within half an hour, as an equi-join on half hours.
 
+    What a row can match lies in its own half hour or is the last reading of the one before or the first of the one after; so each
+    half hour carries its own readings and those two. For tables of a few readings an hour: a row looks through
+    those of its half hour. Of two equally close readings the later wins, of several at one instant the smallest.
+    """
+    payload = [c for c in readings.columns if c not in (key, reading_ts)]
+    own = F.struct(micros(reading_ts).alias("us"), *payload)
+    home = _half_hour(F.col(reading_ts))
+    placed = readings.select(
+        key,
+        own.alias("_r"),
+        F.explode(
+            F.array(*(F.struct((home + k).alias("half"), F.lit(k).alias("from")) for k in (0, 1, -1)))
+        ).alias("_p"),
+    )
+
+    def when(k: int) -> Column:
+        return F.when(F.col("_p.from") == k, F.col("_r"))
 
-def _slots(readings: DataFrame) -> DataFrame:
-    """One reading per vessel and slot. Half past takes the later hour, or where that is missing the earlier one."""
-    payload = [c for c in readings.columns if c not in ("node_name", "_reading_ts")]
-    at = F.col("_reading_ts")
-    half = F.expr("INTERVAL 30 MINUTE")
-    places = F.array(
-        F.struct(at.alias("at"), F.lit(0).alias("order")),
-        F.struct((at - half).alias("at"), F.lit(0).alias("order")),
-        F.struct((at + half).alias("at"), F.lit(1).alias("order")),
+    # The last of the half hour before is the one with the greatest time and, among those, the smallest values.
+    last = F.min(F.when(F.col("_p.from") == 1, F.struct((-F.col("_r.us")).alias("neg"), "_r")))["_r"]
+    halves = placed.groupBy(key, F.col("_p.half").alias("_half")).agg(
+        F.collect_set(when(0)).alias("_in"), last.alias("_before"), F.min(when(-1)).alias("_after")
     )
-    placed = readings.select("node_name", *payload, F.explode(places).alias("_p"))
-    best = placed.groupBy("node_name", F.col("_p.at").alias("_reading_ts")).agg(
-        F.min(F.struct("_p.order", *payload)).alias("_best")
+    around = F.array_append(F.array_append("_in", F.col("_before")), F.col("_after"))
+    halves = halves.select(key, "_half", F.filter(around, lambda r: r.isNotNull()).alias("_around"))
+    rows = df.withColumn("_half", _half_hour(F.col(ts)))
+    joined = rows.join(halves, [key, "_half"], "left")
+    now, reach = micros(ts), F.lit(HALF_HOUR)
+    near = F.filter("_around", lambda r: F.abs(r["us"] - now) <= reach)
+    ordered = F.transform(
+        near, lambda r: F.struct(F.abs(r["us"] - now).alias("gap"), (-r["us"]).alias("later"), *(r[c].alias(c) for c in payload))
     )
-    return best.select("node_name", "_reading_ts", *(F.col(f"_best.{c}").alias(c) for c in payload))
+    picked = joined.withColumn("_best", F.array_min(ordered))
+    at = F.timestamp_micros(-F.col("_best.later")).cast("timestamp_ntz")
+    return picked.select(*df.columns, at.alias(reading_ts), *(F.col(f"_best.{c}").alias(c) for c in payload))
 
 
 def add_weather(
@@ -73,9 +93,8 @@ def add_weather(
 ) -> DataFrame:
     """Wind of the nearest reading within half an hour, and the alignment to the course.
 
-    ``weather`` has ``node_name, date, wind_speed_10m, wind_direction_10m``, in any number per instant (the
-    smallest counts). Readings on full hours need an equi-join only, gaps in them or not; ``hourly=False``
-    takes readings at any times.
+    ``weather`` has ``node_name, date, wind_speed_10m, wind_direction_10m``, at any times and in any number per instant (the
+    smallest counts). With a few readings an hour an equi-join does; ``hourly=False`` is for dense ones, and gives the same.
     Without positions the weather columns are null.
     """
     if "LAT" not in df.columns or "LON" not in df.columns:
@@ -85,8 +104,7 @@ def add_weather(
         "node_name", F.col("date").alias("_reading_ts"), "wind_speed_10m", "wind_direction_10m"
     )
     if hourly:
-        placed = df.withColumn("_reading_ts", _slot(ts))
-        joined = placed.join(_slots(readings), ["node_name", "_reading_ts"], "left")
+        joined = nearest_by_half_hours(df, readings, ts=ts, reading_ts="_reading_ts")
     else:
         joined = nearest_in_time(
             df, readings, key="node_name", ts=ts, reading_ts="_reading_ts"

@@ -114,6 +114,34 @@ def j03_gaps(spark, folder):
     return windy.select("event_id", F.col("wind_velocity").alias("wind"))
 
 
+@query(
+    "j03_nearest_odd_times",
+    with_(TEL)
+    + """, readings AS (
+      SELECT node_name, date_trunc('hour', time) + to_minutes(CAST(m AS BIGINT)) AS rt, CAST((hour(time) * 7 + m) % 11 AS DOUBLE) AS wind
+      FROM tel, (VALUES (0), (30), (50)) AS t(m) WHERE hour(time) % 4 <> 1 GROUP BY ALL)
+    SELECT event_id, arg_min(wind, (gap, -epoch_us(rt))) AS wind
+    FROM (SELECT h.event_id, r.rt, r.wind, abs(epoch_us(h.time) - epoch_us(r.rt)) AS gap FROM tel h
+          LEFT JOIN readings r ON r.node_name = h.node_name AND r.rt BETWEEN h.time - INTERVAL 30 MINUTE AND h.time + INTERVAL 30 MINUTE)
+    GROUP BY event_id""",
+)
+def j03_odd(spark, folder):
+    """Readings at the hour, half past and ten to, with hours missing."""
+    tel = frames.tel(spark, folder)
+    hour = F.date_trunc("hour", "time").cast("timestamp_ntz")
+    minute = F.explode(F.array(*(F.lit(m) for m in (0, 30, 50))))
+    readings = tel.filter(F.hour("time") % 4 != 1).select("node_name", hour.alias("_h"), F.hour("time").alias("_n")).distinct()
+    readings = readings.select("node_name", "_h", "_n", minute.alias("_m")).select(
+        "node_name",
+        (col("_h") + F.make_dt_interval(mins="_m")).alias("date"),
+        ((F.col("_n") * 7 + F.col("_m")) % 11).cast("double").alias("wind_speed_10m"),
+        F.lit(0.0).alias("wind_direction_10m"),
+    )
+    rows = tel.withColumns({"LAT": F.lit(0.0), "LON": F.lit(0.0)})
+    windy = weather.add_weather(rows, readings, ts="time")
+    return windy.select("event_id", F.col("wind_velocity").alias("wind"))
+
+
 @query(
     "j03_nearest_any_grid",
     with_(TEL)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from wakeline.functions import severity
 from wakeline.functions import values as V
 from wakeline.functions.timeops import col
-from wakeline.operators import features, impute, trips, weather
+from wakeline.operators import features, impute, trips
+from wakeline.operators.weather import add_weather
 from wakeline.registry import frames
 from wakeline.registry.base import (
     ENGINE_CHAIN,
@@ -218,12 +219,15 @@ def s13(spark, folder):
 @query(
     "s13_weather_table",
     with_(TEL)
-    + """SELECT node_name, date_trunc('hour', time) AS date, arg_min(value, (time, value)) AS wind_speed_10m,
-      arg_min(value % 360, (time, value)) AS wind_direction_10m
-    FROM tel WHERE signal_name_alias = 'SOG' AND value IS NOT NULL GROUP BY ALL""",
+    + """, placed AS (SELECT node_name, time, value, unnest([date_trunc('hour', time), date_trunc('hour', time) + INTERVAL 1 HOUR]) AS date
+      FROM tel WHERE signal_name_alias = 'SOG' AND value IS NOT NULL),
+    near AS (SELECT *, abs(epoch_us(time) - epoch_us(date)) AS gap FROM placed)
+    SELECT node_name, date, arg_min(value, (gap, -epoch_us(time), value)) AS wind_speed_10m,
+      arg_min(value % 360, (gap, -epoch_us(time), value)) AS wind_direction_10m, min(gap) / 1e6 AS seconds_off
+    FROM near WHERE gap <= 1800000000 GROUP BY ALL""",
 )
 def s13_table(spark, folder):
-    """A weather table at odd times (the speed rows), written, read and brought to full hours."""
+    """A weather table at odd times (the speed rows), written, read and brought to the nearest full hours."""
     path = fresh_path(spark, "weather")
     rows = events.telemetry(spark, folder).filter("signal_name_alias = 'SOG' and value is not null")
     rows.select(
@@ -361,7 +365,7 @@ def p10(spark, folder):
 )
 def p11(spark, folder):
     """No positions: the weather columns appear, empty."""
-    rows = weather.add_weather(frames.even(spark, folder), events.weather(spark, folder))
+    rows = add_weather(frames.even(spark, folder), events.weather(spark, folder))
     return rows.select("node_name", "signal_instance", "ts", "LAT", "wind_velocity")
 
 

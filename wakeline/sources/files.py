@@ -134,6 +134,13 @@ def replace_partitions(
     )
 
 
+def drop_partitions(spark: SparkSession, path: str, partitions: Sequence[str]) -> None:
+    """Delete partition folders such as ``date=2024-01-08/hour=12``; one that is not there is no fault."""
+    for partition in partitions:
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}")
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def read_texts(spark: SparkSession, path: str, *, pattern: str = "*.html") -> DataFrame:
     """Whole files as ``(path, value)``; roll-ups written beside their inputs are left out."""
     texts = (
@@ -152,28 +159,46 @@ COLOUR_OPTION = "color"
 
 
 def extract_polygons(texts: DataFrame, *, text: str = "value") -> DataFrame:
-    """One row per polygon: ``ring`` text, parsed ``coordinates`` and ``colour`` (null where it has none).
+    """One row per polygon: ``ring`` text, parsed ``coordinates`` of its outer ring and ``colour`` (null where it has none).
 
     The text is split at the drawing calls, so that no polygon can take what belongs to the next. A call's first
-    argument is JSON and so is the second; the JSON reader finds where each ends, whatever is nested in it.
+    argument is a nested array, which ends where its brackets are balanced, whatever blanks are in it; the JSON reader
+    reads it, and what follows it, if that is an object.
     """
     keys = [c for c in texts.columns if c != text]
     # Whatever precedes the first call is no polygon.
     calls = F.slice(F.split(text, re.escape(POLYGON_CALL)), 2, 1 << 30)
     rows = texts.select(*keys, F.explode(calls).alias("_call")).withColumn("_call", F.ltrim(_flat("_call")))
+    rows = rows.filter(F.col("_call").startswith("[")).withColumn("_parts", F.split("_call", r"\]"))
+    opened = F.aggregate(
+        F.col("_parts"),
+        F.struct(F.lit(0).alias("depth"), F.lit(0).alias("at"), F.lit(0).alias("end")),
+        lambda s, part: F.struct(
+            (s["depth"] + F.length(part) - F.length(F.replace(part, F.lit("["))) - 1).alias("depth"),
+            (s["at"] + 1).alias("at"),
+            F.when((s["end"] == 0) & (s["depth"] + F.length(part) - F.length(F.replace(part, F.lit("["))) == 1), s["at"] + 1)
+            .otherwise(s["end"])
+            .alias("end"),
+        ),
+    )
+    # After the last bracket there is one part more than there are brackets; an end there means that none was found.
+    end = opened["end"]
+    rows = rows.withColumn("_end", F.when((end > 0) & (end < F.size("_parts")), end)).filter("_end is not null")
+    ring = F.concat(F.array_join(F.slice("_parts", 1, F.col("_end")), "]"), F.lit("]"))
+    rows = rows.withColumn("ring", ring)
+    nested = F.col("ring").rlike(r"^\[\s*\[\s*\[")  # with holes: the first ring is the outer one
+    outer = F.get(F.from_json("ring", "array<array<array<double>>>"), F.lit(0))
     rows = rows.withColumns(
         {
-            "ring": F.concat(F.substring_index("_call", "]]", 1), F.lit("]]")),
-            "coordinates": F.from_json("_call", "array<array<double>>"),
+            "coordinates": F.when(nested, outer).otherwise(F.from_json("ring", "array<array<double>>")),
+            "_rest": F.ltrim(F.expr("substring(_call, length(ring) + 1)")),
         }
     )
-    rest = F.ltrim(F.expr("substring(_call, length(ring) + 1)"))
     options = F.ltrim(F.expr("substring(_rest, 2)"))
     colour = F.from_json(options, f"`{COLOUR_OPTION}` string")[COLOUR_OPTION]
     return (
-        rows.withColumn("_rest", rest)
-        .withColumn("colour", F.when(F.col("_rest").startswith(",") & options.startswith("{"), colour))
-        .filter(F.col("_call").startswith("[") & F.col("coordinates").isNotNull())
+        rows.withColumn("colour", F.when(F.col("_rest").startswith(",") & options.startswith("{"), colour))
+        .filter(F.col("coordinates").isNotNull())
         .select(*keys, "ring", "colour", "coordinates")
     )
 

@@ -10,7 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wakeline import schema
 from wakeline.functions.timeops import round_time
-from wakeline.sources.files import replace_partitions
+from wakeline.session import remove
+from wakeline.session import stored as stored_table
+from wakeline.sources.files import drop_partitions, replace_partitions
 
 
 #: A time no reading has.
@@ -133,8 +135,8 @@ def refresh(
 
     A pull is first stored under its date and its name (the stream's id and the batch number, so that a stream
     started anew does not overwrite another's pulls); then the whole hours it touches are read back (pruned to their dates),
-    passed through ``body``, and their ``date``/``hour`` partitions replaced. Late rows therefore complete
-    their hour, and a repeated batch changes nothing. ``small`` is for bodies that give few rows an hour. Runs
+    passed through ``body``, and their ``date``/``hour`` partitions replaced, or dropped where ``body`` gives none. Late
+    rows therefore complete their hour, and a repeated batch changes nothing. ``small`` is for bodies that give few rows an hour. Runs
     once over everything available, or ``every`` so often (``"1 hour"``) until stopped; ``compact`` joins a
     landing folder's files.
     """
@@ -152,7 +154,12 @@ def refresh(
         stored = batch.sparkSession.read.schema(placed.schema).parquet(landing)
         touched = stored.filter(F.col("pull") == name).select("date", "hour").distinct()
         hours = stored.join(touched, ["date", "hour"], "left_semi").drop("pull")
-        replace_partitions(body(hours), path, ["date", "hour"], small=small)
+        result = stored_table(body(hours), "hours")
+        replace_partitions(result, path, ["date", "hour"], small=small)
+        # An hour that gives nothing any more must not keep what it gave before.
+        empty = touched.join(result.select("date", "hour").distinct(), ["date", "hour"], "left_anti")
+        drop_partitions(batch.sparkSession, path, [f"date={r['date']}/hour={r['hour']}" for r in empty.collect()])
+        remove(result)
 
     writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     if every is None:
