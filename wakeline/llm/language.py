@@ -43,7 +43,7 @@ CHAINS_EACH = 12
 ROUNDS = 30
 BUCKETS = 1 << 15
 DECAY = 1e-5
-CACHE = 400_000
+CACHE = 250_000
 UNKNOWN = "und"
 _EDGE = np.zeros(256, bool)
 _EDGE[[ord(c) for c in ".!?;:\n"]] = True
@@ -191,14 +191,20 @@ class Model:
         if not len(text):
             return sums, np.zeros(len(column))
         found = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
-        if len(cache) > CACHE:
-            cache.clear()
-        new = [w for w in found if w not in cache]
+        place = cache.setdefault("place", {})
+        if len(place) > CACHE:
+            place.clear()
+        new = [w for w in found if w not in place]
+        rows = cache.setdefault("rows", np.zeros((0, k + 1)))
+        if len(place) + len(new) > len(rows):
+            rows = cache["rows"] = np.concatenate((rows, np.zeros((len(new) + len(rows), k + 1))))
+        at = len(place) + np.arange(len(new))
         plain = [letters(w) for w in new]
-        scores = emissions(self.weights, table(plain, self.lexicon))
-        for w, p, s in zip(new, plain, scores):
-            cache[w] = (*s, len(p)) if p else (*([0.0] * k), 0)
-        known = np.array([cache[w] for w in found])[pieces.indices.to_numpy()]
+        count = np.array([len(p) for p in plain], np.float64)
+        rows[at, :k] = emissions(self.weights, table(plain, self.lexicon)) * (count > 0)[:, None]
+        rows[at, k] = count
+        place.update(zip(new, at.tolist()))
+        known = rows[np.array([place[w] for w in found])][pieces.indices.to_numpy()]
         lengths = np.diff(np.append(starts, len(text)))
         # Chains of like length go together, so that little is padded.
         order = np.argsort(-lengths, kind="stable")

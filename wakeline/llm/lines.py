@@ -146,7 +146,11 @@ def joined(rows: DataFrame, names: DataFrame, keys: list[str], total: int) -> Da
 
 
 def per_document(levels: list[DataFrame], schema: str, work) -> DataFrame:
-    """``work(places, words, ranks)`` for each document: per level its places and ranks, ascending; the words of level 0."""
+    """``work(places, words, ranks)`` for whole documents, a batch of them at once.
+
+    Per level there are ascending places (the document's number in the batch times 2^32, and the line) and their ranks; words are
+    those of level 0. What comes back has a ``place``, of which a column ``line`` is made, and the document's id and print.
+    """
     rows = None
     for k, level in enumerate(levels):
         words_ = F.col("words") if k == 0 else F.lit(0)
@@ -163,24 +167,24 @@ def per_document(levels: list[DataFrame], schema: str, work) -> DataFrame:
                 lists = lists.combine_chunks()
             flat = lists.flatten()
             level, line, weight, rank = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
-            ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
-            for i, (a, b) in enumerate(zip(np.append(0, ends[:-1]).tolist(), ends.tolist())):
-                order = a + np.lexsort((line[a:b], level[a:b]))
-                cuts = np.searchsorted(level[order], np.arange(height + 1))
-                some = [order[x:y] for x, y in zip(cuts, cuts[1:])]
-                out = work([line[o] for o in some], weight[some[0]], [rank[o] for o in some])
-                n = len(next(iter(out.values())))
-                if n:
-                    own = {c: batch.column(c).slice(i, 1).take(pa.array(np.zeros(n, np.int64))) for c in DOC}
-                    yield pa.RecordBatch.from_arrays(
-                        [own[f.name] if f.name in own else pa.array(out[f.name], f.type) for f in arrow], schema=arrow
-                    )
+            of = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+            place = of.astype(np.int64) << 32 | line
+            order = np.lexsort((place, level))
+            cuts = np.searchsorted(level[order], np.arange(height + 1))
+            some = [order[x:y] for x, y in zip(cuts, cuts[1:])]
+            out = work([place[o] for o in some], weight[some[0]], [rank[o] for o in some])
+            if "place" in out:
+                found = out.pop("place")
+                out |= {c: batch.column(c).take(pa.array(found >> 32)) for c in DOC} | {"line": (found & 0xFFFFFFFF).astype(np.int32)}
+            yield pa.RecordBatch.from_arrays(
+                [c if isinstance(c := out[f.name], pa.Array) else pa.array(c, f.type) for f in arrow], schema=arrow
+            )
 
     return grouped.mapInArrow(run, schema)
 
 
 def runs_at(places: np.ndarray, weight: np.ndarray, least_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(index of the first line, lines, has ``least_words``) of the shortest runs within neighbouring places."""
+    """(index of the first place, lines, has ``least_words``) of the shortest runs within neighbouring places."""
     first = np.append(np.flatnonzero(np.diff(places, prepend=-2) != 1), len(places))
     found = [np.stack(shortest_runs(weight, first, least)) for least in (1, least_words)]
     start, length = np.unique(np.concatenate(found, axis=1), axis=1)
@@ -199,7 +203,7 @@ def suffix_levels(docs: DataFrame, least_words: int) -> list[DataFrame]:
         _, length, _ = runs_at(places[0], weight, least_words)
         return {"most": [int(length.max(initial=0))]}
 
-    most = per_document(levels, "doc_id long, print long, most long", longest).agg(F.max("most")).first()[0] or 0
+    most = per_document(levels, "most long", longest).agg(F.max("most")).first()[0] or 0
     size = 1
     while 2 * size <= most and count:
         ahead = Window.partitionBy(*DOC).orderBy("line").rangeBetween(size, size)
@@ -224,12 +228,12 @@ def repeated_runs(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
             here = np.flatnonzero((length >= 1 << k) & (length < 2 << k))
             if not len(here) or not len(place):
                 continue
-            line = places[0][start[here]]
-            for out, wanted in ((a, line), (b, line + length[here] - (1 << k))):
+            first = places[0][start[here]]
+            for out, wanted in ((a, first), (b, first + length[here] - (1 << k))):
                 at = np.minimum(np.searchsorted(place, wanted), len(place) - 1)
                 out[here] = np.where(place[at] == wanted, rank[at], -1)
         both = (a >= 0) & (b >= 0)  # else a part of the run occurs nowhere else
-        return {"line": places[0][start[both]], "length": length[both], "goes": goes[both], "a": a[both], "b": b[both]}
+        return {"place": places[0][start[both]], "length": length[both], "goes": goes[both], "a": a[both], "b": b[both]}
 
     schema = "doc_id long, print long, line int, length long, goes boolean, a long, b long"
     runs = stored(per_document(levels, schema, name), "line-runs")
