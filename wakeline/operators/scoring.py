@@ -238,28 +238,30 @@ def score_windows(
     keys: Sequence[str] = ("node_name", "tripID"),
     ts: str = "ts",
     threshold: float = schema.GPS_SCORE_THRESHOLD,
+    number: str | None = None,
 ) -> DataFrame:
     """Score of each whole window of ``rows`` rows: ``score`` and the 0/1 ``anomaly``.
 
     ``model`` maps ``(n, rows, features)`` to ``n`` scores. Windows never cross
-    trips, so a window's trip is its key.
+    trips, so a window's trip is its key. ``number`` names the place in the trip of rows that are trimmed to whole windows already.
     """
     names = [f"{f}_x" for f in GPS_FEATURES]
-    windows = to_sequences(df, rows, names, keys=keys, ts=ts, whole_only=True).select(
+    windows = to_sequences(df, rows, names, keys=keys, ts=ts, whole_only=True, number=number).select(
         *keys, "seq_id", "seq"
     )
     fields = [f for f in windows.schema.fields if f.name != "seq"]
     result = T.StructType([*fields, T.StructField("score", T.DoubleType())])
+    kept, width = [f.name for f in fields], len(names)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if len(batch):
-                cube = np.stack([np.stack(list(s)) for s in batch["seq"]]).astype("float64")
-                batch = batch.drop(columns="seq")
-                batch["score"] = np.asarray(model(cube), dtype="float64").reshape(len(batch))
-                yield batch
+            if batch.num_rows:
+                flat = batch.column("seq").flatten().flatten().to_numpy(zero_copy_only=False)
+                cube = flat.reshape(batch.num_rows, rows, width)
+                score = np.asarray(model(cube), dtype="float64").reshape(batch.num_rows)
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(score)], [*kept, "score"])
 
-    scored = windows.mapInPandas(run, result)
+    scored = windows.mapInArrow(run, result)
     return scored.withColumn("anomaly", V.flag_score("score", threshold))
 
 

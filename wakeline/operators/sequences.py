@@ -34,9 +34,13 @@ def number_sequences(
     ts: str = "ts",
     tie: Sequence[str] = (),
     whole_only: bool = False,
+    number: str | None = None,
 ) -> DataFrame:
-    """``row_no`` in the trip and ``seq_id`` of its chunk of ``rows`` rows."""
-    if whole_only:
+    """``row_no`` in the trip and ``seq_id`` of its chunk of ``rows`` rows. Rows that are numbered (and trimmed) already name
+    the column in ``number``."""
+    if number:
+        counted = df if number == "row_no" else df.withColumn("row_no", F.col(number))
+    elif whole_only:
         counted = trim_to_multiple(df, rows, keys=keys, ts=ts, tie=tie)
     else:
         counted = row_numbers(df, keys, ts, tie)
@@ -53,13 +57,14 @@ def to_sequences(
     tie: Sequence[str] = (),
     carry: Sequence[str] = (),
     whole_only: bool = False,
+    number: str | None = None,
 ) -> DataFrame:
     """One row per chunk: ``length``, feature rows ``seq`` and row keys ``index``.
 
     Chunks hold at most ``rows`` rows, so no array grows with a trip. Rows
     without key or time have no place in a sequence.
     """
-    numbered = number_sequences(df, rows, keys=keys, ts=ts, tie=tie, whole_only=whole_only)
+    numbered = number_sequences(df, rows, keys=keys, ts=ts, tie=tie, whole_only=whole_only, number=number)
     numbered = numbered.filter(F.col("seq_id").isNotNull())
     item = F.struct(
         "row_no",

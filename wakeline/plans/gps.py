@@ -11,7 +11,8 @@ from wakeline import schema
 from wakeline.functions import geo, severity
 from wakeline.functions import values as V
 from wakeline.functions.text import strip_prefix
-from wakeline.operators import cells, impute, reshape, scoring, sequences, trips
+from wakeline.functions.timeops import date_of, time_of_day
+from wakeline.operators import cells, reshape, scoring, segments, sequences
 from wakeline.session import stored
 
 TRIP_KEYS = ("node_name", "tripID")
@@ -24,26 +25,37 @@ def gps_table(
     step_seconds: int = 1,
     signals: Sequence[str] = schema.GPS_SIGNALS,
     slice_seconds: int = schema.DAY_SECONDS,
+    counted: bool = False,
 ) -> DataFrame:
-    """Clean names, even seconds, trips, gaps filled, deltas, running flag.
+    """Clean names, even seconds, trips, gaps filled, deltas, running flag; with ``counted`` also ``row_no`` and ``trip_rows``.
 
     ``slice_seconds`` is what one window task holds of a vessel: an hour for sensors of many readings a second.
 
-    The even rows are stored: the scan and its aggregation run once.
+    The even rows are stored: the scan and its aggregation run once. Trips, filling and deltas are one pass over them.
     """
     named = long.withColumn("signal_name_alias", strip_prefix("signal_name_alias"))
-    wide = stored(reshape.resample_gps(named, signals=signals, step_seconds=step_seconds), "gps-even")
-    numbered = trips.number_trips(
-        wide, gap_seconds=gap_seconds, ts="ts", out="tripID", slice_seconds=slice_seconds
-    )
-    moving = impute.fill_and_deltas(
-        numbered,
+    wide = reshape.resample_gps(named, signals=signals, step_seconds=step_seconds)
+    even = stored(wide.select("node_name", "ts", *signals), "gps-even")
+    moving = segments.filled_with_deltas(
+        even,
         signals,
         [s for s in ("LAT", "LON", "SOG") if s in signals],
-        keys=TRIP_KEYS,
+        gap_seconds=gap_seconds,
+        out="tripID",
+        total="trip_rows",
         slice_seconds=slice_seconds,
     )
-    return moving.withColumn("RPM", V.is_running("RPM"))
+    deltas = [c for c in moving.columns if c.endswith("_Delta")]
+    placed = moving.withColumns({"date": date_of("ts"), "time": time_of_day("ts"), "RPM": V.is_running("RPM")})
+    return placed.select("node_name", "ts", "date", "time", *signals, "tripID", *deltas, *(["row_no", "trip_rows"] if counted else []))
+
+
+def whole_windows(gps: DataFrame, rows: int) -> DataFrame:
+    """Rows of whole windows, with their ``row_no``: a ``counted`` table is only filtered, another one numbered first."""
+    if "trip_rows" not in gps.columns:
+        return sequences.trim_to_multiple(gps, rows, keys=TRIP_KEYS)
+    whole = F.col("trip_rows") - F.pmod(F.col("trip_rows"), F.lit(rows))
+    return gps.filter(F.col("row_no") <= whole).drop("trip_rows")
 
 
 def map_tables(
@@ -60,9 +72,9 @@ def map_tables(
     The rows feed several branches, so they are written once to the shared folder.
     """
     gps = stored(gps, "gps")
-    trimmed = stored(sequences.trim_to_multiple(gps, rows, keys=TRIP_KEYS).drop("row_no"), "whole")
+    trimmed = stored(whole_windows(gps, rows), "whole")
     scored = scoring.score_windows(
-        scoring.gps_features(trimmed), model, rows=rows, threshold=threshold
+        scoring.gps_features(trimmed), model, rows=rows, threshold=threshold, number="row_no"
     )
     flagged = stored(scoring.flagged_trips(scored), "flagged")
     rows_ = scoring.mark_flagged(trimmed, flagged)
@@ -88,10 +100,10 @@ def hourly_map_table(
     ``ranges`` are the model's (``scoring.gps_ranges``).
     """
     hour = F.concat("node_name", F.lit("@"), F.col("date").cast("string"), F.lit("@"), F.col("hour").cast("string"))
-    table = gps_table(hours.withColumn("node_name", hour).drop("date", "hour"), gap_seconds=gap_seconds)
-    trimmed = stored(sequences.trim_to_multiple(table, rows, keys=TRIP_KEYS).drop("row_no"), "whole")
+    table = gps_table(hours.withColumn("node_name", hour).drop("date", "hour"), gap_seconds=gap_seconds, counted=True)
+    trimmed = stored(whole_windows(table, rows), "whole")
     features = scoring.gps_features(trimmed, ranges)
-    scored = scoring.score_windows(features, model, rows=rows, threshold=threshold)
+    scored = scoring.score_windows(features, model, rows=rows, threshold=threshold, number="row_no")
     marked = scoring.mark_flagged(trimmed, scoring.flagged_trips(scored))
     parts = F.split("node_name", "@")
     when = [F.element_at(parts, -2).cast("date").alias("date"), F.element_at(parts, -1).cast("int").alias("hour")]

@@ -318,12 +318,48 @@ hot AS (SELECT DISTINCT node_name, tripID FROM windows WHERE score >= {CUT}e0)""
     + f'SELECT node_name, tripID, seq_id, {s6("score", "score")}, CAST(score >= {CUT}e0 AS INTEGER) AS anomaly FROM windows',
 )
 def m03(spark, folder):
-    rows = stored(frames.gps_rows(spark, folder), "gps")
-    trimmed = sequences.trim_to_multiple(rows, ROWS, keys=gps.TRIP_KEYS).drop("row_no")
-    scored = scoring.score_windows(
-        scoring.gps_features(trimmed), _speed_model(), rows=ROWS, threshold=CUT
+    return _gps_scores(spark, folder, _speed_model(), CUT)
+
+
+def _gps_scores(spark, folder, model, threshold):
+    rows = stored(frames.gps_rows(spark, folder, counted=True), "gps")
+    features_ = scoring.gps_features(gps.whole_windows(rows, ROWS))
+    return rounded(scoring.score_windows(features_, model, rows=ROWS, threshold=threshold, number="row_no"), "score")
+
+
+#: How much each of the model's columns counts, in their order, and the score from which a window is marked.
+_WEIGHTS = {"LAT_Delta": 0.3, "LON_Delta": 0.2, "RPM": 0.1, "COG": 0.05, "SOG": 0.25, "CELL": 0.1}
+_ALL_CUT = 0.55
+
+
+def _weighed(name: str, weight: float) -> str:
+    if name == "RPM":
+        return f"{weight}e0 * RPM"
+    if name == "COG":
+        return f"{weight}e0 * cos(radians(COG))"
+    return f"{weight}e0 * ({name} - (SELECT min({name}) FROM trimmed)) / (SELECT max({name}) - min({name}) FROM trimmed)"
+
+
+@query(
+    "m03_six_features",
+    with_(
+        GPS,
+        SCORED,
+        f"""weighed AS (SELECT node_name, tripID, CAST((row_no - 1) // {ROWS} AS BIGINT) AS seq_id, row_no,
+          {' + '.join(_weighed(n, w) for n, w in _WEIGHTS.items())} AS x FROM trimmed),
+        scores AS (SELECT node_name, tripID, seq_id, avg(x) + max(x) / 10 AS score FROM weighed GROUP BY ALL)""",
     )
-    return rounded(scored, "score")
+    + f"SELECT node_name, tripID, seq_id, {s6('score', 'score')}, CAST(score >= {_ALL_CUT}e0 AS INTEGER) AS anomaly FROM scores",
+)
+def m03_all(spark, folder):
+    """A model that reads all six features: their weighed sum, its mean and its maximum over the window."""
+    weights = np.array([_WEIGHTS[f] for f in scoring.GPS_FEATURES])
+
+    def model(cube):
+        weighed = cube @ weights
+        return weighed.mean(axis=1) + weighed.max(axis=1) / 10
+
+    return _gps_scores(spark, folder, model, _ALL_CUT)
 
 
 _MODEL = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -584,7 +620,7 @@ counts AS (SELECT cell, count(DISTINCT CASE WHEN h.tripID IS NOT NULL THEN (p.no
 )
 def c04(spark, folder):
     coloured, _ = gps.map_tables(
-        frames.gps_rows(spark, folder), _speed_model(), rows=ROWS, threshold=CUT
+        frames.gps_rows(spark, folder, counted=True), _speed_model(), rows=ROWS, threshold=CUT
     )
     return coloured.select("cell", "trips", "colour", F.size("boundary").alias("corners"))
 
@@ -604,7 +640,7 @@ def c04(spark, folder):
 )
 def c04_trips(spark, folder):
     _, summary = gps.map_tables(
-        frames.gps_rows(spark, folder), _speed_model(), rows=ROWS, threshold=CUT
+        frames.gps_rows(spark, folder, counted=True), _speed_model(), rows=ROWS, threshold=CUT
     )
     return rounded(summary, "LAT", "LON")
 

@@ -52,8 +52,8 @@ def gps_long(spark: SparkSession, folder: str) -> DataFrame:
     return scans.gps_scan(events.positions(spark, folder), [signals])
 
 
-def gps_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return gps.gps_table(gps_long(spark, folder), gap_seconds=HOURS2)
+def gps_rows(spark: SparkSession, folder: str, counted: bool = False) -> DataFrame:
+    return gps.gps_table(gps_long(spark, folder), gap_seconds=HOURS2, counted=counted)
 
 
 def gps_stored(spark: SparkSession, folder: str) -> DataFrame:
