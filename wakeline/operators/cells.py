@@ -86,8 +86,18 @@ def _with_medians(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     return salted_join(df, medians, keys, [ts], "left")
 
 
+#: The position before a row, where a table has it.
+LAGS = ("LAT_lag", "LON_lag")
+
+
+def _lags(df: DataFrame) -> list[str]:
+    return [c for c in LAGS if c in df.columns]
+
+
 def _with_legs(df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str]) -> DataFrame:
-    """Every row with the position before it in the trip."""
+    """Every row with the position before it in the trip; a table that has it already is taken as it is."""
+    if set(LAGS) <= set(df.columns):
+        return df
     return previous_row(df, ["LAT", "LON"], keys, ts, tie)
 
 
@@ -113,7 +123,7 @@ def path_length(
     distance=geo.haversine_nm,
 ) -> DataFrame:
     """Sum of the distances between consecutive rows of a trip."""
-    lagged = _with_legs(df.select(*keys, ts, *tie, "LAT", "LON"), keys, ts, tie)
+    lagged = _with_legs(df.select(*keys, ts, *tie, "LAT", "LON", *_lags(df)), keys, ts, tie)
     legs = lagged.select(*keys, distance("LAT_lag", "LON_lag", "LAT", "LON").alias("_d"))
     return legs.groupBy(*keys).agg(F.coalesce(F.sum("_d"), F.lit(0.0)).alias("total_distance"))
 
@@ -128,7 +138,7 @@ def trip_summary(
     digits: int = 2,
 ) -> DataFrame:
     """Median position, vessels and rounded metrics: all of them in one aggregation."""
-    slim = df.select(*dict.fromkeys([*keys, "node_name", ts, *tie, "LAT", "LON", "SOG"]))
+    slim = df.select(*dict.fromkeys([*keys, "node_name", ts, *tie, "LAT", "LON", "SOG", *_lags(df)]))
     # Medians come from the rows as they are, so that the look-back is worked out once.
     medians = median_positions(slim, keys=keys).withColumnsRenamed({"LAT": "_mlat", "LON": "_mlon"})
     rows = salted_join(_with_legs(slim, keys, ts, tie), medians, keys, [ts], "left")

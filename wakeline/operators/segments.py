@@ -146,28 +146,35 @@ def filled_with_deltas(
     *,
     default: float = 0.0,
     number: str = "row_no",
+    lags: Sequence[str] = (),
     **options,
 ) -> DataFrame:
     """Trips, columns filled from the next known value of the trip, else the last, else ``default``, and ``<c>_Delta``: the change
-    of the filled value against the row before, 0 on a trip's first row. One ``segmented_scan``.
+    of the filled value against the row before, 0 on a trip's first row. ``lags`` of the columns get that row's filled value as
+    ``<c>_lag``, null on a trip's first row. One ``segmented_scan``.
 
     The filled value of the row before is that row's own, else the next one known (which is also the next known from
     here), else the last one known before.
     """
-    look = {c: [PREV, NEXT, *([BEFORE, LAG] if c in deltas else [])] for c in columns}
+    look = {c: [PREV, NEXT, *([BEFORE, LAG] if c in deltas or c in lags else [])] for c in columns}
     found = segmented_scan(df, look=look, number=number, **options)
     zero = F.lit(default)
 
     def filled(c: str) -> Column:
         return F.coalesce(f"{c}_next", f"{c}_prev", zero)
 
+    leads = F.coalesce(F.col(number), F.lit(1)) == 1
+
+    def last(c: str) -> Column:
+        return F.coalesce(f"{c}_lag", f"{c}_next", f"{c}_before", zero)
+
     def change(c: str) -> Column:
-        last = F.coalesce(f"{c}_lag", f"{c}_next", f"{c}_before", zero)
-        return F.when(F.coalesce(F.col(number), F.lit(1)) == 1, 0.0).otherwise(filled(c) - last)
+        return F.when(leads, 0.0).otherwise(filled(c) - last(c))
 
     extra = [c for c in found.columns if c not in df.columns and not any(c == f"{x}_{k}" for x in columns for k in look[x])]
     return found.select(
         *(filled(c).alias(c) if c in columns else F.col(c) for c in df.columns),
         *extra,
         *(change(c).alias(f"{c}_Delta") for c in deltas),
+        *(F.when(~leads, last(c)).alias(f"{c}_lag") for c in lags),
     )

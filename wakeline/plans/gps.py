@@ -27,7 +27,8 @@ def gps_table(
     slice_seconds: int = schema.DAY_SECONDS,
     counted: bool = False,
 ) -> DataFrame:
-    """Clean names, even seconds, trips, gaps filled, deltas, running flag; with ``counted`` also ``row_no`` and ``trip_rows``.
+    """Clean names, even seconds, trips, gaps filled, deltas, running flag; with ``counted`` also ``row_no``, ``trip_rows`` and the position before
+    as ``LAT_lag`` and ``LON_lag``.
 
     ``slice_seconds`` is what one window task holds of a vessel: an hour for sensors of many readings a second.
 
@@ -36,6 +37,7 @@ def gps_table(
     named = long.withColumn("signal_name_alias", strip_prefix("signal_name_alias"))
     wide = reshape.resample_gps(named, signals=signals, step_seconds=step_seconds)
     even = stored(wide.select("node_name", "ts", *signals), "gps-even")
+    lags = [s for s in ("LAT", "LON") if counted and s in signals]
     moving = segments.filled_with_deltas(
         even,
         signals,
@@ -43,11 +45,12 @@ def gps_table(
         gap_seconds=gap_seconds,
         out="tripID",
         total="trip_rows",
+        lags=lags,
         slice_seconds=slice_seconds,
     )
     deltas = [c for c in moving.columns if c.endswith("_Delta")]
     placed = moving.withColumns({"date": date_of("ts"), "time": time_of_day("ts"), "RPM": V.is_running("RPM")})
-    return placed.select("node_name", "ts", "date", "time", *signals, "tripID", *deltas, *(["row_no", "trip_rows"] if counted else []))
+    return placed.select("node_name", "ts", "date", "time", *signals, "tripID", *deltas, *(["row_no", "trip_rows", *(f"{s}_lag" for s in lags)] if counted else []))
 
 
 def whole_windows(gps: DataFrame, rows: int) -> DataFrame:

@@ -58,7 +58,7 @@ def gps_rows(spark: SparkSession, folder: str, counted: bool = False) -> DataFra
 
 def gps_stored(spark: SparkSession, folder: str) -> DataFrame:
     """Positions and speed of the GPS rows, for queries with several branches."""
-    rows = gps_rows(spark, folder).select("node_name", "tripID", "ts", "LAT", "LON", "SOG")
+    rows = gps_rows(spark, folder, counted=True).select("node_name", "tripID", "ts", "LAT", "LON", "SOG", "LAT_lag", "LON_lag")
     return stored(rows, "gps")
 
 

@@ -519,7 +519,7 @@ def a17(spark, folder):
     with_(GPS, _METRICS) + "SELECT node_name, tripID, round(total_distance + 3.1e-5, 3) + 0e0 AS total_distance FROM path",
 )
 def a18(spark, folder):
-    lengths = cells.path_length(frames.gps_rows(spark, folder))
+    lengths = cells.path_length(frames.gps_rows(spark, folder, counted=True))
     return lengths.withColumn("total_distance", F.round(F.col("total_distance") + F.lit(3.1e-5), 3))
 
 
