@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wakeline import schema
 from wakeline.functions import geo, severity
 from wakeline.functions import values as V
-from wakeline.operators import cells, features, reshape, scoring, upsert, weather
+from wakeline.operators import cells, features, reshape, scoring, selection, upsert, weather
 from wakeline.plans import gps, views
 from wakeline.session import fresh_path
 from wakeline.sources import files, scans, tables
@@ -167,7 +167,7 @@ def test_exact_median(frame):
     data = {k: rng.normal(size=n).round(2).tolist() for k, n in (("a", 1), ("b", 2), ("c", 101), ("d", 100))}
     data["e"] = [3.0] * 50 + [1.0] * 50 + [None]
     df = frame([(k, v) for k, vs in data.items() for v in vs], "k string, v double")
-    got = {r["k"]: r["v"] for r in cells.exact_medians(df, ["v"], keys=["k"]).collect()}
+    got = {r["k"]: r["v"] for r in selection.medians(df, ["v"], keys=["k"]).collect()}
     for k, vs in data.items():
         assert got[k] == pytest.approx(float(np.median([v for v in vs if v is not None])))
 

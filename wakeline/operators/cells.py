@@ -9,65 +9,16 @@ from pyspark.sql import functions as F
 
 from wakeline.functions import geo, globe, severity
 from wakeline.functions.timeops import col
+from wakeline.operators import selection
 from wakeline.operators.joins import salted_join
 from wakeline.operators.sliced import previous_row
 
 TRIP_KEYS = ("node_name", "tripID")
 
 
-def exact_medians(
-    df: DataFrame, columns: Sequence[str], *, keys: Sequence[str], bucket: float = 0.01
-) -> DataFrame:
-    """Exact medians per key without gathering a key in one task.
-
-    Equal values are counted first. The counts of value buckets tell which bucket
-    holds the middle ranks; only there are single values ranked. A bucket costs
-    as many rows as it has distinct values.
-    """
-    part = [*keys, "_c"]
-    counts = (
-        df.select(*keys, *columns)
-        .unpivot(list(keys), list(columns), "_c", "_v")
-        .filter("_v is not null")
-        .groupBy(*part, "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bucket", F.floor(F.col("_v") / bucket))
-    )
-    across = Window.partitionBy(*part)
-    upto = across.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    low, high = F.floor((F.col("_total") + 1) / 2), F.floor(F.col("_total") / 2) + 1
-    middle = (
-        counts.groupBy(*part, "_bucket")
-        .agg(F.sum("_n").alias("_in"))
-        .select(
-            *part,
-            "_bucket",
-            F.sum("_in").over(upto).alias("_upto"),
-            (F.sum("_in").over(upto) - F.col("_in")).alias("_before"),
-            F.sum("_in").over(across).alias("_total"),
-        )
-        .filter((F.col("_upto") >= low) & (F.col("_before") < high))
-    )
-    running = (
-        Window.partitionBy(*part, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    end = F.col("_before") + F.sum("_n").over(running)
-    ranked = counts.join(middle, [*part, "_bucket"]).select(
-        *part, "_v", "_total", end.alias("_end"), (end - F.col("_n")).alias("_start")
-    )
-
-    def at(rank, column):
-        here = (F.col("_c") == column) & (F.col("_end") >= rank) & (F.col("_start") < rank)
-        return F.min(F.when(here, F.col("_v")))
-
-    return ranked.groupBy(*keys).agg(
-        *(((at(low, c) + at(high, c)) / 2).alias(c) for c in columns)
-    )
-
-
 def median_positions(df: DataFrame, *, keys: Sequence[str] = TRIP_KEYS) -> DataFrame:
     """Median latitude and longitude per trip."""
-    return exact_medians(df, ["LAT", "LON"], keys=keys)
+    return selection.medians(df, ["LAT", "LON"], keys=keys)
 
 
 def _vessels(name: str):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wakeline import schema
 from wakeline.functions.timeops import MICROS, col, micros
 from wakeline.operators.sliced import look_around
+from wakeline.session import stored
 
 _SALT = "_salt"
 
@@ -38,6 +39,45 @@ def salted_join(
     return salted.join(copies, [*keys, _SALT], how).drop(_SALT)
 
 
+#: A node of the interval tree has so many children.
+FAN = 8
+#: Depth of the tree: more than any span of time has buckets of a microsecond.
+DEPTH = 21
+
+
+def interval_nodes(first: Column, last: Column) -> Column:
+    """The canonical nodes (level, node) of a tree over whole-numbered buckets that make up ``first`` to ``last``.
+
+    At each level what sticks out beyond whole nodes of the next one is taken; at most ``2 (FAN - 1)`` nodes a level, so
+    an interval has as many as the logarithm of its length asks for.
+    """
+    long = "long"
+
+    def step(state: Column, level: Column) -> Column:
+        low, high = state["low"], state["high"]
+        up, down = F.ceil(low / FAN).cast(long), F.floor(high / FAN).cast(long)
+        # No whole node of the next level inside: all that is left is taken here.
+        ends = up >= down
+        left_to, right_from = F.when(ends, high).otherwise(up * FAN), F.when(ends, high).otherwise(down * FAN)
+        taken = F.concat(_range(low, left_to), _range(right_from, high))
+        nodes = F.concat(state["nodes"], F.transform(taken, lambda n: F.struct(level.cast("int").alias("level"), n.alias("node"))))
+        done = low >= high
+        return F.struct(
+            F.when(done | ends, high).otherwise(up).alias("low"),
+            F.when(done | ends, high).otherwise(down).alias("high"),
+            F.when(done, state["nodes"]).otherwise(nodes).alias("nodes"),
+        )
+
+    empty = F.array().cast("array<struct<level:int,node:bigint>>")
+    start = F.struct(first.cast(long).alias("low"), (last + 1).cast(long).alias("high"), empty.alias("nodes"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(DEPTH)), start, step, lambda s: s["nodes"])
+
+
+def _range(low: Column, high: Column) -> Column:
+    """low .. high - 1 as an array, empty where that is nothing."""
+    return F.when(high > low, F.sequence(low, high - 1)).otherwise(F.array().cast("array<bigint>"))
+
+
 def in_interval(
     rows: DataFrame,
     intervals: DataFrame,
@@ -50,18 +90,23 @@ def in_interval(
 ) -> DataFrame:
     """Rows inside an interval of the same key, both ends included.
 
-    Intervals are repeated once per bucket they touch, which turns the range
-    test into an equi-join on ``(key, bucket)`` plus a residual comparison.
+    Buckets of time are the leaves of a tree with eight children to a node. An interval is cut into the nodes that make it up, a
+    number that grows with the logarithm of its length, and a row looks for the one node of each level that holds it, which
+    turns the range test into an equi-join on ``(key, level, node)`` plus a residual comparison. Rows look on those levels only
+    that intervals use; for intervals of hours or days that is one. The cut intervals are stored.
     """
     width = F.lit(float(bucket_seconds * MICROS))
     first, last = F.floor(micros(start) / width), F.floor(micros(stop) / width)
-    spans = (
-        intervals.filter(col(stop) >= col(start))
-        .withColumn("_bucket", F.explode(F.sequence(first, last)))
-    )
-    placed = rows.withColumn("_bucket", F.floor(micros(ts) / width))
-    hit = placed.join(spans, [key, "_bucket"], "inner")
-    return hit.filter((col(ts) >= col(start)) & (col(ts) <= col(stop))).drop("_bucket")
+    spans = intervals.filter(col(stop) >= col(start)).withColumn("_node", F.explode(interval_nodes(first, last)))
+    spans = stored(spans.select(*intervals.columns, "_node.level", "_node.node"), "intervals")
+    spans = spans.withColumnsRenamed({"level": "_level", "node": "_node"})
+    used = sorted(r["_level"] for r in spans.select("_level").distinct().collect())  # DEPTH + 1 at most
+    bucket = F.floor(micros(ts) / width)
+    nodes = F.array(*(F.struct(F.lit(k).alias("level"), F.floor(bucket / float(FAN**k)).cast("long").alias("node")) for k in used or [0]))
+    placed = rows.withColumn("_at", nodes[0]) if len(used) < 2 else rows.withColumn("_at", F.explode(nodes))
+    placed = placed.select(*rows.columns, F.col("_at.level").alias("_level"), F.col("_at.node").alias("_node"))
+    hit = placed.join(spans, [key, "_level", "_node"], "inner")
+    return hit.filter((col(ts) >= col(start)) & (col(ts) <= col(stop))).drop("_level", "_node")
 
 
 def nearest_in_time(
