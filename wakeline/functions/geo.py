@@ -8,12 +8,11 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from wakeline.functions import geodesic
 from wakeline.functions.timeops import col
 
-# Earth radius in nautical miles, WGS-84 axes in metres, metres per mile.
+# Earth radius in nautical miles, metres per mile.
 EARTH_RADIUS_NM = 3440.065
-WGS84_A = 6378137.0
-WGS84_F = 1.0 / 298.257223563
 METRES_PER_NM = 1852.0
 
 # Reference latitude and cell size of the hexagonal grid, in degrees.
@@ -42,61 +41,12 @@ def haversine_nm(lat1, lon1, lat2, lon2) -> Column:
 
 
 def ellipsoidal_nm(lat1, lon1, lat2, lon2) -> Column:
-    """WGS-84 distance in nautical miles (Vincenty's inverse formula), Arrow-batched.
-
-    Nearly antipodal pairs, where the iteration does not settle, give the great circle instead.
-    """
-    major, flat, per_mile = WGS84_A, WGS84_F, METRES_PER_NM
+    """WGS-84 distance in nautical miles, for any two points (:mod:`wakeline.functions.geodesic`), Arrow-batched."""
 
     @F.pandas_udf("double")
     def distance(a1: pd.Series, o1: pd.Series, a2: pd.Series, o2: pd.Series) -> pd.Series:
-        import numpy as np
-
-        p1, q1, p2, q2 = (
-            np.radians(s.to_numpy(dtype="float64", na_value=np.nan)) for s in (a1, o1, a2, o2)
-        )
-        minor = major * (1 - flat)
-        u1, u2 = np.arctan((1 - flat) * np.tan(p1)), np.arctan((1 - flat) * np.tan(p2))
-        s1, c1, s2, c2 = np.sin(u1), np.cos(u1), np.sin(u2), np.cos(u2)
-        span = q2 - q1
-        lam = span.copy()
-        step = np.full_like(lam, np.inf)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            for _ in range(200):
-                sl, cl = np.sin(lam), np.cos(lam)
-                sin_s = np.hypot(c2 * sl, c1 * s2 - s1 * c2 * cl)
-                cos_s = s1 * s2 + c1 * c2 * cl
-                sigma = np.arctan2(sin_s, cos_s)
-                sin_a = np.where(sin_s > 0, c1 * c2 * sl / sin_s, 0.0)
-                cos2_a = 1 - sin_a**2
-                mid = np.where(cos2_a > 0, cos_s - 2 * s1 * s2 / cos2_a, 0.0)
-                k = flat / 16 * cos2_a * (4 + flat * (4 - 3 * cos2_a))
-                new = span + (1 - k) * flat * sin_a * (
-                    sigma + k * sin_s * (mid + k * cos_s * (2 * mid**2 - 1))
-                )
-                step = np.abs(new - lam)
-                lam = new
-                if not np.any(step > 1e-12):
-                    break
-            u_sq = cos2_a * (major**2 - minor**2) / minor**2
-            big_a = 1 + u_sq / 16384 * (4096 + u_sq * (-768 + u_sq * (320 - 175 * u_sq)))
-            big_b = u_sq / 1024 * (256 + u_sq * (-128 + u_sq * (74 - 47 * u_sq)))
-            fix = big_b * sin_s * (
-                mid
-                + big_b
-                / 4
-                * (
-                    cos_s * (2 * mid**2 - 1)
-                    - big_b / 6 * mid * (4 * sin_s**2 - 3) * (4 * mid**2 - 3)
-                )
-            )
-            metres = minor * big_a * (sigma - fix)
-        metres = np.where(sin_s == 0, 0.0, metres)
-        # Nearly antipodal points, where the iteration does not settle: the great circle, within 0.6 percent.
-        half = np.sin((p2 - p1) / 2) ** 2 + np.cos(p1) * np.cos(p2) * np.sin(span / 2) ** 2
-        round_earth = 2 * (2 * major + minor) / 3 * np.arcsin(np.sqrt(np.clip(half, 0, 1)))
-        metres = np.where(step > 1e-9, round_earth, metres)
-        out = pd.Series(metres / per_mile)
+        columns = (s.to_numpy(dtype="float64", na_value=float("nan")) for s in (a1, o1, a2, o2))
+        out = pd.Series(geodesic.metres(*columns) / METRES_PER_NM)
         return out.where(out.notna(), None).astype("float64")
 
     return distance(col(lat1), col(lon1), col(lat2), col(lon2))

@@ -188,3 +188,36 @@ def hex_sql(lat: str, lon: str, source: str, columns: str = "*", size: float = 0
         FROM (SELECT *, round(q0) AS rq, round(r0) AS rr, round(-q0 - r0) AS rs
           FROM (SELECT *, (sqrt(3e0) / 3 * (({lon}) * cos(radians(60e0))) - ({lat}) / 3) / {size}e0 AS q0,
                        (2e0 / 3) * ({lat}) / {size}e0 AS r0 FROM {source})))"""
+
+
+def ellipsoid(name: str, lat1: str, lon1: str, lat2: str, lon2: str, source: str, steps: int = 8) -> str:
+    """CTEs up to ``name``: ``source`` plus ``enm``, the WGS-84 distance in nautical miles by Vincenty's iteration, written out; for
+    points not nearly antipodal. Each step is stored, as merged ones would grow with every step.
+    """
+    a, f = "6378137e0", "(1e0 / 298.257223563e0)"
+    b = f"({a} * (1 - {f}))"
+    start = f"""SELECT *, radians({lon2} - {lon1}) AS v_l, radians({lon2} - {lon1}) AS v_m, sin(u1) AS s1, cos(u1) AS c1, sin(u2) AS s2, cos(u2) AS c2
+      FROM (SELECT *, atan((1 - {f}) * tan(radians({lat1}))) AS u1, atan((1 - {f}) * tan(radians({lat2}))) AS u2 FROM {source})"""
+    drop = "ss, cs, sg, sa, ca, cm"
+    found = [f"{name}_0 AS MATERIALIZED ({start})"]
+
+    def sphere(inner: str) -> str:
+        sql = f"SELECT *, sqrt(pow(c2 * sin(v_m), 2) + pow(c1 * s2 - s1 * c2 * cos(v_m), 2)) AS ss, s1 * s2 + c1 * c2 * cos(v_m) AS cs FROM {inner}"
+        found.append(f"{inner}a AS MATERIALIZED ({sql})")
+        sql = f"SELECT *, atan2(ss, cs) AS sg, CASE WHEN ss > 0 THEN c1 * c2 * sin(v_m) / ss ELSE 0e0 END AS sa FROM {inner}a"
+        found.append(f"{inner}b AS MATERIALIZED ({sql})")
+        sql = f"SELECT *, 1 - sa * sa AS ca, CASE WHEN 1 - sa * sa > 0 THEN cs - 2 * s1 * s2 / (1 - sa * sa) ELSE 0e0 END AS cm FROM {inner}b"
+        found.append(f"{inner}c AS MATERIALIZED ({sql})")
+        return f"{inner}c"
+
+    for i in range(steps):
+        k = f"({f} / 16 * ca * (4 + {f} * (4 - 3 * ca)))"
+        new = f"v_l + (1 - {k}) * {f} * sa * (sg + {k} * ss * (cm + {k} * cs * (2 * cm * cm - 1)))"
+        found.append(f"{name}_{i + 1} AS MATERIALIZED (SELECT * EXCLUDE (v_m, {drop}), {new} AS v_m FROM {sphere(f'{name}_{i}')})")
+    last = sphere(f"{name}_{steps}")
+    found.append(f"{name}_w AS MATERIALIZED (SELECT *, ca * (pow({a}, 2) - pow({b}, 2)) / pow({b}, 2) AS w FROM {last})")
+    series = "1 + w / 16384 * (4096 + w * (-768 + w * (320 - 175 * w))) AS p, w / 1024 * (256 + w * (-128 + w * (74 - 47 * w))) AS r"
+    found.append(f"{name}_p AS MATERIALIZED (SELECT *, {series} FROM {name}_w)")
+    fix = "r * ss * (cm + r / 4 * (cs * (2 * cm * cm - 1) - r / 6 * cm * (4 * ss * ss - 3) * (4 * cm * cm - 3)))"
+    found.append(f"{name} AS (SELECT *, CASE WHEN ss = 0 THEN 0e0 ELSE {b} * p * (sg - {fix}) / 1852e0 END AS enm FROM {name}_p)")
+    return ",\n".join(found)

@@ -18,6 +18,7 @@ from wakeline.registry.base import (
     WX,
     WX_ONLY,
     bucket,
+    ellipsoid,
     gps_chain,
     hav,
     hex_sql,
@@ -523,6 +524,33 @@ def a18(spark, folder):
     return lengths.withColumn("total_distance", F.round(F.col("total_distance") + F.lit(3.1e-5), 3))
 
 
+@query(
+    "a16_geodesic",
+    with_(GPS, _METRICS, ellipsoid("away", "LAT", "LON", "mlat", "mlon", "(SELECT g.node_name, g.tripID, g.LAT, g.LON, m.mlat, m.mlon FROM gps g JOIN med m USING (node_name, tripID))"))
+    + "SELECT node_name, tripID, round(max(enm) + 3.1e-5, 3) + 0e0 AS max_distance FROM away GROUP BY ALL",
+)
+def a16_geodesic(spark, folder):
+    """Largest distance to the median position, on the ellipsoid."""
+    far = cells.max_distance_to_median(frames.gps_stored(spark, folder), distance=G.ellipsoidal_nm)
+    return far.withColumn("max_distance", F.round(F.col("max_distance") + F.lit(3.1e-5), 3) + F.lit(0.0))
+
+
+@query(
+    "a18_geodesic",
+    with_(
+        GPS,
+        "steps AS (SELECT node_name, tripID, LAT, LON, lag(LAT) OVER w AS plat, lag(LON) OVER w AS plon FROM gps WINDOW w AS (PARTITION BY node_name, tripID ORDER BY ts))",
+        ellipsoid("legs", "plat", "plon", "LAT", "LON", "steps"),
+    )
+    + "SELECT node_name, tripID, round(coalesce(sum(enm), 0) + 3.1e-5, 3) + 0e0 AS total_distance FROM legs GROUP BY ALL",
+)
+def a18_geodesic(spark, folder):
+    """Path length on the ellipsoid."""
+    rows = frames.gps_stored(spark, folder)
+    lengths = cells.path_length(rows, distance=G.ellipsoidal_nm)
+    return lengths.withColumn("total_distance", F.round(F.col("total_distance") + F.lit(3.1e-5), 3))
+
+
 HOURLY = (
     _CELLS
     + """, hourly AS (
