@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from wakeline.session import fresh_path, remove, stored
 
-__all__ = ["bounds", "by_batch", "free", "fresh_path", "parts", "read", "remove", "stored", "union_labels"]
+__all__ = ["bounds", "by_batch", "free", "fresh_path", "parts", "read", "release", "remove", "stored", "union_labels"]
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -55,10 +56,19 @@ def by_batch(df: DataFrame, schema: str, work: Callable[[pa.RecordBatch], Iterat
             if batch.num_rows:
                 for out in work(batch):
                     yield record(out, arrow)
+        release()
 
     return df.mapInArrow(run, schema)
 
 
+def release() -> None:
+    """Give freed memory back at the end of a task: a worker lives on, and the next stage's needs come on top."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def record(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c := columns[f.name], pa.Array) else pa.array(c, f.type, from_pandas=False) for f in schema],

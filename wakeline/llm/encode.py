@@ -18,7 +18,7 @@ import pyarrow as pa
 from wakeline.llm.words import _SPACE, fold, ranges, raw
 
 #: Distinct pieces a worker remembers; beyond that it starts afresh.
-CACHE = 300_000
+CACHE = 200_000
 _PLAIN = re.compile(r" ?[a-zA-ZÀ-ÖØ-öø-ÿ]+")
 _PLAIN_FOLDED = re.compile(r"[a-zà-öø-ÿ]+")
 #: First bytes of Unicode white space and of ``<|``, with the second bytes that make them so.

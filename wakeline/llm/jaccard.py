@@ -36,7 +36,7 @@ SHINGLE = 5
 PERCENT = 80
 ORDERS = 3
 #: Hashed levels of frequent tokens, how many such tokens make them up at most, and tokens that a task counts at once.
-BUCKETS, FREQUENT, COUNTED = 1 << 24, 1 << 20, 1 << 22
+BUCKETS, FREQUENT, COUNTED = 1 << 24, 1 << 20, 1 << 21
 #: Bits a name of the filter that goes before a semi-join, and all its bits at most; beyond them it lets more through.
 BITS, MOST_BITS = 8, 1 << 27
 #: Pivots of a group in the first round; eight times as many in each further one, as what is still open then is unlike.
@@ -120,7 +120,7 @@ def _texts(docs: DataFrame, schema: str, work) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    from wakeline.llm.common import record
+    from wakeline.llm.common import record, release
 
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
@@ -140,6 +140,9 @@ def _texts(docs: DataFrame, schema: str, work) -> DataFrame:
         out = work(None, None, None, state)
         if out is not None:
             yield record(out, arrow)
+        seen.names.clear()
+        state.clear()
+        release()
 
     return docs.select("text").mapInArrow(run, schema)
 

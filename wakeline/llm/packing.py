@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from wakeline.llm.common import read
+from wakeline.llm.common import read, release
 from wakeline.llm.encode import encoder, with_end
 from wakeline.llm.words import slices
 
@@ -227,6 +227,7 @@ def pack_texts(
         packer.finish()
         if rows := packer.drain():
             yield out(rows)
+        release()
 
     return data.mapInArrow(work, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
