@@ -92,3 +92,17 @@ def test_an_hour_that_becomes_empty_loses_its_map(spark, frame):
     assert run() == {11: 2.0}
     pull([("a", "2024-03-01 12:06:00", 4.0)])
     assert run() == {11: 2.0, 12: 4.0}
+
+
+def test_rows_without_a_complete_key_are_counted(spark, tmp_path):
+    from wakeline.sources import tables as errors
+
+    path, refused = f"{tmp_path}/errors", f"{tmp_path}/refused"
+    errors.make_error_table(spark, path)
+    rows = [("a", "2024-03-01", 1.0), (None, "2024-03-01", 2.0), ("a", None, 3.0), (None, None, 4.0)]
+    df = spark.createDataFrame(rows, "node_name string, d string, RPM double").withColumn("date", F.col("d").cast("date"))
+    df = df.withColumns({f: F.lit(0.0) for f in errors.ERRORS.fieldNames() if f not in df.columns})
+    assert errors.append_errors(spark, path, df, refused) == 3
+    assert errors.append_errors(spark, path, df) == 3
+    assert errors.read_error_table(spark, path).count() == 1
+    assert sorted(r.RPM for r in errors.read_error_table(spark, refused).collect()) == [2.0, 3.0, 4.0]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wakeline import schema
 from wakeline.operators.sliced import row_numbers
+from wakeline.session import stored
 
 
 def trim_to_multiple(
@@ -88,10 +89,11 @@ def pad_sequences(
 ) -> DataFrame:
     """Append pad rows until all sequences are equally long.
 
-    ``length`` defaults to the longest sequence present. The true length stays in
-    ``length``.
+    ``length`` defaults to the longest sequence present; the sequences are stored then, as they are read twice. The
+    true length stays in ``length``.
     """
     if length is None:
+        df = stored(df, "sequences")
         longest = df.agg(F.max("length")).scalar()
         df = df.withColumn("_longest", longest)
     else:

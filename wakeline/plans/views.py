@@ -11,6 +11,7 @@ from wakeline import schema
 from wakeline.functions import values as V
 from wakeline.functions.timeops import date_of
 from wakeline.operators import features, impute, reshape, scoring, sliced, trips
+from wakeline.session import stored
 
 
 def comparison_series(
@@ -34,7 +35,8 @@ def comparison_series(
     numbered = trips.number_trips(
         slim, gap_seconds=gap_seconds, keys=by, tie=tie, out="TRIP_ID", slice_seconds=slice_seconds
     ).withColumn("signal_instance", V.side_name("signal_instance"))
-    numbered = impute.fill_side(numbered)
+    # Read for the distribution, the rows and the trips' ends: worked out once.
+    numbered = stored(impute.fill_side(numbered), "series")
     kept = features.drop_outliers(
         numbered, ["value"], threshold=threshold, two_sided=False, by=by, spread_by=["time"]
     )

@@ -31,7 +31,7 @@ from wakeline.registry.frames import TIE
 from wakeline.registry.join_queries import _FLAG, _METRICS, GPS, HOURLY, hourly_cells
 from wakeline.session import fresh_path, stored
 from wakeline.sources import events, files, scans
-from wakeline.streaming import jobs
+from wakeline.streaming import jobs, stateful
 
 # --- incremental -------------------------------------------------------------------------
 
@@ -216,6 +216,49 @@ def t06(spark, folder):
     )
 
 
+def _unflushed(spark, folder, base):
+    rows = stored_batches(spark, folder, base)
+    return jobs.event_time(events.as_telemetry(_stored_stream(spark, base, rows.schema, batches=3)))
+
+
+_MONTH = 31 * 86400
+
+
+@query(
+    "t05_stateful_periods",
+    with_(TEL)
+    + f"""SELECT node_name, signal_name_alias, {bucket('time', 3600)} AS bucket, count(*) AS n, {s6('avg(value)', 'value')}
+    FROM tel GROUP BY ALL""",
+)
+def t05_stateful(spark, folder):
+    """Half-even periods kept in a state of their own: right after the last batch without a row that flushes them."""
+    base = fresh_path(spark, "periods")
+    versions = stateful.period_means(_unflushed(spark, folder, base), step_seconds=3600, delay_seconds=_MONTH)
+    stateful.run_versions(versions, f"{base}/out", f"{base}/checkpoint")
+    table = stateful.read_versions(spark, f"{base}/out", versions)
+    found = stateful.latest(table, ["node_name", "signal_name_alias", "bucket"])
+    return rounded(found.withColumn("bucket", F.timestamp_micros("bucket").cast("timestamp_ntz")), "value").select(
+        "node_name", "signal_name_alias", "bucket", "n", "value"
+    )
+
+
+@query(
+    "t06_dense_trips",
+    with_(TEL, f"t AS ({number_trips('tel', 1200)})")
+    + """SELECT node_name, trip_id, count(*) AS n, min(time) AS first_time, max(time) AS last_time FROM t
+    WHERE node_name IS NOT NULL GROUP BY node_name, trip_id""",
+)
+def t06_dense(spark, folder):
+    """Trips with dense numbers over several batches out of order."""
+    base = fresh_path(spark, "trips")
+    versions = stateful.dense_trips(_unflushed(spark, folder, base), gap_seconds=1200, delay_seconds=_MONTH)
+    stateful.run_versions(versions, f"{base}/out", f"{base}/checkpoint")
+    table = stateful.read_versions(spark, f"{base}/out", versions)
+    found = stateful.latest(table, ["node_name", "trip_id"]).where("node_name is not null")
+    when = {f"{c}_time": F.timestamp_micros(c).cast("timestamp_ntz") for c in ("first", "last")}
+    return found.withColumns(when).select("node_name", "trip_id", "n", "first_time", "last_time")
+
+
 @query("t07_stream_distinct", with_(TEL) + "SELECT event_id, node_name, value FROM tel")
 def t07(spark, folder):
     """Every row sent twice, over several batches; each arrives once."""

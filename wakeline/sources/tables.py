@@ -38,10 +38,20 @@ def new_errors(stored: DataFrame, incoming: DataFrame, key: Sequence[str] = KEY)
     return unique.join(stored.select(*key), list(key), "left_anti")
 
 
-def append_errors(spark: SparkSession, path: str, incoming: DataFrame) -> None:
-    """Append what is new; running it twice adds nothing."""
+def refused_errors(incoming: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+    """Incoming rows that ``new_errors`` refuses."""
+    return incoming.where(" or ".join(f"`{k}` is null" for k in key))
+
+
+def append_errors(spark: SparkSession, path: str, incoming: DataFrame, refused: str | None = None) -> int:
+    """Append what is new; running it twice adds nothing. Rows without a complete key are counted, and appended to
+    the table ``refused`` where one is named."""
     rows = incoming.select(*ERRORS.fieldNames())
     new_errors(read_error_table(spark, path), rows).write.mode("append").parquet(path)
+    left = refused_errors(rows)
+    if refused is not None:
+        left.write.mode("append").parquet(refused)
+    return left.count()
 
 
 def read_errors_csv(spark: SparkSession, path: str, features: Sequence[str] = schema.ERROR_FEATURES) -> DataFrame:
