@@ -12,6 +12,7 @@ from wakeline.functions.timeops import col
 from wakeline.operators import selection
 from wakeline.operators.joins import salted_join
 from wakeline.operators.sliced import previous_row
+from wakeline.session import stored
 
 TRIP_KEYS = ("node_name", "tripID")
 
@@ -153,6 +154,44 @@ def hourly_cells(
     return counts.withColumn("colour", severity.severity_colour("trips", palette))
 
 
+def numbered_keys(rows: DataFrame, keys: Sequence[str] = TRIP_KEYS, out: str = "trip_no") -> DataFrame:
+    """(keys, ``out``): a whole number from 1 on for every distinct key, dense, without one task for all.
+
+    Keys are put in order in ranges; each range is counted, and the counts before it are added.
+    """
+    spark = rows.sparkSession
+    distinct = stored(rows.select(*keys).distinct(), "keys")
+    dealt = distinct.repartitionByRange(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), *keys)
+    placed = stored(dealt.select(*keys, F.spark_partition_id().alias("_part")), "keys")
+    sizes = sorted(map(tuple, placed.groupBy("_part").count().collect()))  # a row a partition
+    before, offsets = 0, {}
+    for part, n in sizes:
+        offsets[part] = before
+        before += n
+    start = F.create_map(*(F.lit(x) for pair in offsets.items() for x in pair))[F.col("_part")] if offsets else F.lit(0)
+    within = F.row_number().over(Window.partitionBy("_part").orderBy(*keys))
+    return placed.select(*keys, (start + within).cast("bigint").alias(out))
+
+
+def trip_bitmaps(rows: DataFrame, numbers: DataFrame, *, by: Sequence[str], keys: Sequence[str] = TRIP_KEYS, flag: str = "anomalous") -> DataFrame:
+    """Which flagged trips each cell had, as bitmaps that can be merged: (``by``, cell, bucket, trips).
+
+    ``rows`` have ``cell``. A bitmap has 32,768 trips, one row per cell and bucket of trip numbers. Cells that only other trips
+    touch have an empty one. Bits are set once a trip, cell and hour.
+    """
+    named = rows.where("cell is not null").select(*by, "cell", *keys, F.col(flag).alias("_flag")).distinct()
+    placed = named.join(numbers, list(keys))
+    bucket = F.when(F.col("_flag"), F.bitmap_bucket_number("trip_no")).otherwise(F.lit(1).cast("long"))
+    position = F.when(F.col("_flag"), F.bitmap_bit_position("trip_no"))
+    return placed.groupBy(*by, "cell", bucket.alias("bucket")).agg(F.bitmap_construct_agg(position).alias("trips"))
+
+
+def merged_trips(bitmaps: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Distinct trips per ``by`` and cell from stored bitmaps of finer times; the rows themselves are not needed."""
+    merged = bitmaps.groupBy(*by, "cell", "bucket").agg(F.bitmap_or_agg("trips").alias("trips"))
+    return merged.groupBy(*by, "cell").agg(F.sum(F.bitmap_count("trips")).alias("trips"))
+
+
 def box_cells(
     bounds: DataFrame,
     *,

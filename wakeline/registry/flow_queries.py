@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wakeline.functions import geo as G
-from wakeline.operators import features, scoring, sequences, trips, upsert
+from wakeline.operators import cells, features, scoring, sequences, trips, upsert
 from wakeline.plans import engine, gps, views
 from wakeline.registry import frames
 from wakeline.registry.base import (
@@ -28,7 +28,7 @@ from wakeline.registry.base import (
     with_,
 )
 from wakeline.registry.frames import TIE
-from wakeline.registry.join_queries import _FLAG, _METRICS, GPS, HOURLY, hourly_cells
+from wakeline.registry.join_queries import _FLAG, _METRICS, GPS, HOURLY, flagged, hourly_cells
 from wakeline.session import fresh_path, stored
 from wakeline.sources import events, files, scans
 from wakeline.streaming import jobs, stateful
@@ -688,6 +688,24 @@ def c04_trips(spark, folder):
     return rounded(summary, "LAT", "LON")
 
 
+@query(
+    "c05_mergeable_trips",
+    with_(GPS, _FLAG, HOURLY)
+    + """SELECT CAST(c.ts AS DATE) AS date, cell, count(DISTINCT CASE WHEN f.tripID IS NOT NULL THEN (c.node_name, c.tripID) END) AS trips
+    FROM cells c LEFT JOIN flag f ON f.node_name = c.node_name AND f.tripID = c.tripID WHERE cell IS NOT NULL GROUP BY ALL""",
+)
+def c05_bitmaps(spark, folder):
+    """Distinct anomalous trips per cell and day, from the stored bitmaps of its hours."""
+    rows = stored(frames.gps_rows(spark, folder).select("node_name", "tripID", "ts", "LAT", "LON", "SOG"), "gps")
+    marked = scoring.mark_flagged(rows, flagged(rows))
+    placed = marked.withColumns({"date": F.to_date("ts"), "hour": F.hour("ts"), "cell": G.hex_cell("LAT", "LON")})
+    hours = cells.trip_bitmaps(placed, cells.numbered_keys(rows), by=["date", "hour"])
+    path = fresh_path(spark, "bitmaps")
+    files.replace_partitions(hours, path, ["date", "hour"], small=True)
+    kept = spark.read.schema("cell string, bucket bigint, trips binary, date date, hour int").parquet(path)
+    return cells.merged_trips(kept, ["date"]).select("date", "cell", "trips")
+
+
 @query(
     "c05_daily_map",
     with_(GPS, _FLAG, HOURLY)
