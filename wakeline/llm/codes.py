@@ -273,14 +273,14 @@ def _sql() -> str:
     text = f"""
 WITH sound AS (
   SELECT vec_id, label, embedding FROM embeddings
-  WHERE len(embedding) > 0 AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0),
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
 steps AS MATERIALIZED (
   SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, x) AS r, vec_id, label, x FROM (
-    SELECT vec_id, label, list_transform(embedding, c -> greatest(-33554432, least(33554432, floor({SCALE} * CAST(c AS DOUBLE))))) AS x
+    SELECT vec_id, label, list_transform(embedding, lambda c: greatest(-33554432, least(33554432, floor({SCALE} * CAST(c AS DOUBLE))))) AS x
     FROM sound WHERE len(embedding) = (SELECT max(len(embedding)) FROM sound))),
 parts AS MATERIALIZED (
   SELECT r, p, v, list_inner_product(v, v) AS q FROM (
-    SELECT r, p, list_transform(range(w), i -> coalesce(x[p * w + i + 1], 0e0)) AS v
+    SELECT r, p, list_transform(range(w), lambda i: coalesce(x[p * w + i + 1], 0e0)) AS v
     FROM (SELECT r, x, (len(x) + {PARTS - 1}) // {PARTS} AS w FROM steps), range({PARTS}) AS t(p))),
 book0 AS MATERIALIZED (SELECT p, r - 1 AS j, v, q FROM parts WHERE r <= {ENTRIES})"""
     for k in range(ROUNDS + 1):
@@ -303,7 +303,7 @@ coded AS (
   SELECT vec_id, label, string_agg(printf('%02x', m.j), '' ORDER BY p) AS code, CAST(sum(m.d) AS BIGINT) AS error
   FROM steps JOIN held{ROUNDS} USING (r) GROUP BY r, vec_id, label),
 books AS (
-  SELECT sha256(string_agg(array_to_string(list_transform(v, c -> CAST(CAST(c AS BIGINT) AS VARCHAR)), ','), ',' ORDER BY p, j)) AS codebooks_sha256
+  SELECT sha256(string_agg(array_to_string(list_transform(v, lambda c: CAST(CAST(c AS BIGINT) AS VARCHAR)), ','), ',' ORDER BY p, j)) AS codebooks_sha256
   FROM book{ROUNDS})
 SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM coded, books
 """
