@@ -111,6 +111,25 @@ def test_texts_of_a_few_tokens_need_no_padding(spark):
     assert padding == 0 and total > 9000
 
 
+@pytest.mark.parametrize("seed", [1, 6])
+def test_rests_of_cut_examples_may_exceed_the_window(spark, seed):
+    """Loss closes a sequence over and over, so that the rests of many examples wait at once."""
+    rnd = random.Random(seed)
+    rows = [(k, rnd.randint(1025, 4000), rnd.randint(1, 60)) for k in range(600)]
+    examples = spark.createDataFrame(rows, "k long, n long, quiet long").coalesce(1).sortWithinPartitions("k")
+    pieces = packing.pack_examples(examples, (2048, 16, 1024), True, "k", "n", "quiet").collect()
+    spans, used = {}, {}
+    for p in pieces:
+        spans.setdefault(p.k, []).append((p.start, p.start + p.length))
+        u = used.setdefault(p.sequence_id, [0, 0, 0])
+        for i, x in enumerate((p.length, 1, max(0, p.start + p.length - max(p.start, rows[p.k][2])))):
+            u[i] += x
+    for k, n, _ in rows:
+        ends = sorted(spans[k])
+        assert ends[0][0] == 0 and ends[-1][1] == n and all(a[1] == b[0] for a, b in zip(ends, ends[1:]))
+    assert all(u[0] <= 2048 and u[1] <= 16 and u[2] <= 1024 for u in used.values())
+
+
 def test_conversations(spark, tmp_path):
     rnd = random.Random(8)
     rows = []

@@ -43,7 +43,8 @@ class Packer:
     def __init__(self, limits: tuple[int, int, int], cut: bool = True, window: int = WINDOW, powers: bool = True):
         self.limits, self.cut, self.window, self.powers = np.array(limits, np.float64), cut, window, powers
         self.length, self.segments, self.loss = limits
-        # Candidates: key, start of what is left, tokens left, loss-bearing tokens left.
+        # Candidates: key, start of what is left, tokens left, loss-bearing tokens left. Rests of cut examples and of
+        # sequences cut down add to the window, so that it is wider for a while.
         self.pool = np.zeros((4, window + self.segments), np.int64)
         self.n = 0
         self.placed: list[tuple[int, int, int, int, int]] = []
@@ -64,11 +65,16 @@ class Packer:
             start += self.length
             loss = min(loss, tokens - start)
         if start < tokens:
-            self.pool[:, self.n] = key, start, tokens - start, loss
-            self.n += 1
+            self._hold(key, start, tokens - start, loss)
             while self.n >= self.window:
                 self._step()
 
+    def _hold(self, key: int, start: int, tokens: int, loss: int) -> None:
+        if self.n == self.pool.shape[1]:
+            self.pool = np.concatenate((self.pool, np.zeros_like(self.pool)), axis=1)
+        self.pool[:, self.n] = key, start, tokens, loss
+        self.n += 1
+
     def _room(self) -> tuple[int, int, int]:
         return self.length - self.used[0], self.segments - self.used[1], self.loss - self.used[2]
 
@@ -81,8 +87,7 @@ class Packer:
             if here:
                 self.placed.append((key, start, here, self.sequence, offset))
             if here < n:  # an example's loss is at its end
-                self.pool[:, self.n] = key, start + here, n - here, min(loss, n - here)
-                self.n += 1
+                self._hold(key, start + here, n - here, min(loss, n - here))
         self.sequence += 1
 
     def _put(self, i: int, tokens: int) -> None:
