@@ -4,6 +4,7 @@ import itertools
 import os
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -37,6 +38,36 @@ def test_forward_backward_is_enumeration():
     assert not marginal[2, 1:].any()
 
 
+def fitted(lengths, k=2, rounds=3):
+    """A model of chains of these lengths over twenty words."""
+    rng = np.random.default_rng(0)
+    model = language.Model([f"l{i}" for i in range(k)], {})
+    words, code = [f"w{i}" for i in range(20)], rng.integers(0, 20, sum(lengths))
+    model.fit(words, code, np.cumsum(lengths) - lengths, rng.integers(0, k, len(lengths)), rounds)
+    return model
+
+
+@pytest.mark.parametrize("cells", [1, 100])
+def test_learning_in_blocks_is_learning_at_once(monkeypatch, cells):
+    lengths = np.random.default_rng(1).integers(1, 12, 60)
+    monkeypatch.setattr(language, "CELLS", 1 << 30)
+    whole = fitted(lengths)
+    monkeypatch.setattr(language, "CELLS", cells)
+    parts = fitted(lengths)
+    for a, b in ((whole.weights, parts.weights), (whole.start, parts.start), (whole.moves, parts.moves)):
+        assert a.any() and np.allclose(a, b, rtol=0, atol=1e-9)
+
+
+def test_learning_pads_no_short_chain_to_the_longest():
+    """The driver learns: its memory follows the words, not the chains times the longest of them."""
+    tracemalloc.start()
+    try:
+        fitted(np.array([64] + [2] * 20_000), rounds=1)
+        assert tracemalloc.get_traced_memory()[1] < 60e6
+    finally:
+        tracemalloc.stop()
+
+
 def test_chains_cover_every_word():
     texts = pa.array(["Ab cd. Ef-gh\nÉtè 12 x", None, "", "... 1", " ".join(["w"] * 200)])
     words, text, starts = language.chains_of(texts)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import by_batch, read
+from wakeline.llm.common import by_batch, read, release
 from wakeline.llm.words import raw, slices
 
 CHAIN = 64
@@ -42,6 +42,8 @@ SAMPLE = 1200
 CHAINS_EACH = 12
 ROUNDS = 30
 BUCKETS = 1 << 15
+#: Words times languages worked on at once in learning, which the driver does: some ten arrays of so many doubles.
+CELLS = 1 << 18
 DECAY = 1e-5
 CACHE = 250_000
 UNKNOWN = "und"
@@ -133,11 +135,16 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, start: np.ndarray,
     return marginal, expected, (np.log(scale) + top[:, :, 0]).sum(axis=1, where=mask)
 
 
-def padded(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word positions as (chain, word), chains of falling length; order of the chains."""
+def blocks(starts: np.ndarray, lengths: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Chains of falling length, some at a time: their lengths and their words' places as (chain, word).
+
+    A block has at most ``most`` places, or one chain.
+    """
     order = np.argsort(-lengths, kind="stable")
-    at = starts[order][:, None] + np.arange(max(1, int(lengths.max(initial=1))))
-    return at, order
+    while len(order):
+        longest = max(1, int(lengths[order[0]]))
+        some, order = np.split(order, [max(1, most // longest)])
+        yield lengths[some], starts[some][:, None] + np.arange(longest)
 
 
 class Model:
@@ -154,28 +161,30 @@ class Model:
         rows = table(words, self.lexicon)
         count = np.diff(np.append(rows[1], len(rows[0])))
         lengths = np.diff(np.append(starts, len(code)))
-        at, order = padded(starts, lengths)
-        lengths, gold = lengths[order], labels[order]
-        mask = np.arange(at.shape[1]) < lengths[:, None]
-        at = code[np.minimum(at, len(code) - 1)]
         k = len(self.languages)
         total = float(lengths.sum())
         seen = np.zeros((len(words), k))
-        np.add.at(seen, (at[mask], np.repeat(gold, lengths)), 1)
+        np.add.at(seen, (code, np.repeat(labels, lengths)), 1)
         parameters = [self.weights, self.start, self.moves]
         first = [np.zeros_like(p) for p in parameters]
         second = [np.zeros_like(p) for p in parameters]
-        stay = np.bincount(gold, np.maximum(lengths - 1, 0), k)
+        stay = np.bincount(labels, np.maximum(lengths - 1, 0), k)
         for step in range(1, rounds + 1):
             emission = emissions(self.weights, rows)
-            marginal, expected, _ = forward_backward(emission[at], lengths, self.start, self.moves)
-            flat = np.stack([np.bincount(at[mask], marginal[:, :, j][mask], len(words)) for j in range(k)], axis=1)
+            flat, begun, expected = np.zeros((len(words), k)), np.zeros(k), np.zeros((k, k))
+            for size, at in blocks(starts, lengths, CELLS // k):
+                at, mask = code[np.minimum(at, len(code) - 1)], np.arange(at.shape[1]) < size[:, None]
+                marginal, moved, _ = forward_backward(emission[at], size, self.start, self.moves)
+                for j in range(k):
+                    flat[:, j] += np.bincount(at[mask], marginal[:, :, j][mask], len(words))
+                begun += marginal[:, 0].sum(axis=0)
+                expected += moved
             per_word = (seen - flat) / total
             slope = np.stack([np.bincount(rows[0], np.repeat(per_word[:, j], count), BUCKETS) for j in range(k)], axis=1)
             slope -= DECAY * self.weights
             slopes = [
                 slope,
-                (np.bincount(gold, minlength=k) - marginal[:, 0].sum(axis=0)) / total,
+                (np.bincount(labels, minlength=k) - begun) / total,
                 (np.diag(stay) - expected) / total - DECAY * self.moves,
             ]
             for p, s, a, b in zip(parameters, slopes, first, second):
@@ -256,7 +265,9 @@ def learn(docs: DataFrame, sample: int = SAMPLE, each: int = CHAINS_EACH) -> Mod
     rows = some.withColumn("place", order).where(F.col("place") <= share).drop("place", "r")
     found = [r for r in by_batch(rows, "lang string, doc long, chain string", cut).collect() if r["chain"]]
     found.sort()
-    return learned(found, languages)
+    model = learned(found, languages)
+    release()
+    return model
 
 
 def learned(chains: list, languages: list[str]) -> Model:
